@@ -18,6 +18,9 @@ def file_stats(spark: SparkSession, table: Table) -> DataFrame:
     """``<partition columns>, files, bytes`` for each partition, without reading contents."""
     files = spark.read.format("binaryFile").load(catalog.location(spark, table))
     types = {f.name: f.dataType for f in spark.table(table.name).schema}
+    if not set(table.partition_by) <= set(files.columns):
+        # A table without files has no partition folders to take the columns from.
+        files = files.select("*", *[F.lit(None).alias(c) for c in table.partition_by])
     by = [F.col(c).cast(types[c]).alias(c) for c in table.partition_by]
     return (
         files.select(*by, "length")

@@ -109,6 +109,8 @@ def empty_partition(spark: SparkSession, table: Table, partition: Row) -> None:
         spark.sql(
             f"INSERT OVERWRITE TABLE {table.name} PARTITION ({spec}) SELECT {nulls} WHERE false"
         )
+    if None not in partition:
+        spark.sql(f"ALTER TABLE {table.name} DROP IF EXISTS PARTITION ({spec})")
 
 
 def insert_only(

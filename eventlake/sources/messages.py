@@ -43,9 +43,9 @@ def message_stream(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
         return spark.readStream.format("kafka").options(**kafka_read_options(cfg)).load()
     # Only the raw topic's folder is listed; the others have no reader here.
     return (
-        spark.readStream.schema(schemas.MESSAGE)
+        spark.readStream.schema(schemas.LANDED)
         .options(**file_read_options(cfg))
-        .parquet(f"{cfg.landing}/topic={cfg.topics.raw}")
+        .parquet(f"{cfg.landing}/topic={cfg.topics.raw}/batch=*")
     )
 
 
