@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventlake.config import PipelineConfig
@@ -29,7 +30,13 @@ def start_bronze(
     table = cfg.raw_events
     bronze = to_bronze(message_stream(spark, cfg))
     if extra:
+        known = bronze.columns
         bronze = bronze.select("*", *extra)
+        # Nullable in the files, so that they can be read together with files without it.
+        nullable = {
+            c: F.when(F.col(c).isNotNull(), F.col(c)) for c in bronze.columns if c not in known
+        }
+        bronze = bronze.withColumns(nullable)
     if table.provider != "delta" and catalog.exists(spark, table):
         catalog.add_missing_columns(spark, table, bronze)
     writer = (
