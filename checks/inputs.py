@@ -18,6 +18,7 @@ from eventlake.config import PipelineConfig, Table
 from eventlake.plans.bronze import to_bronze
 from eventlake.session import fresh_dir
 from eventlake.sources import catalog
+from eventlake.sources.archive import spread
 
 RAW_TOPIC = "events.raw"
 STAR_TYPE = "view"
@@ -68,7 +69,7 @@ def event_json(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFra
 
     ``dirty`` events with a value below 10 have no id, and below 20 no type.
     """
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     event_type = F.expr(
         "CASE event_type WHEN 'view' THEN 'WatchEvent' WHEN 'click' THEN 'PushEvent' "
         "WHEN 'purchase' THEN 'PullRequestEvent' ELSE event_type END"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +16,15 @@ from eventlake.sources import catalog
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
 
-def file_stats(spark: SparkSession, table: Table) -> DataFrame:
-    """``<partition columns>, files, bytes`` for each partition, without reading contents."""
-    files = spark.read.format("binaryFile").load(catalog.location(spark, table))
+def file_stats(spark: SparkSession, table: Table, only: list[Row] | None = None) -> DataFrame:
+    """``<partition columns>, files, bytes`` for each partition, without reading contents.
+    With ``only`` no other partition is listed."""
+    root = catalog.location(spark, table)
+    paths = [root]
+    if only is not None:
+        chosen = spark.table(table.name).where(in_partitions(table.partition_by, only))
+        paths = [unquote(path) for path in chosen.inputFiles()] or paths
+    files = spark.read.format("binaryFile").option("basePath", root).load(paths)
     types = {f.name: f.dataType for f in spark.table(table.name).schema}
     if not set(table.partition_by) <= set(files.columns):
         # A table without files has no partition folders to take the columns from.
@@ -53,9 +61,9 @@ def compact(
         spark.sql(f"OPTIMIZE {table.name}")
         return []
     by = list(table.partition_by)
-    stats = file_stats(spark, table)
-    if only is not None:
-        stats = stats.where(in_partitions(by, only))
+    if only == []:
+        return []
+    stats = file_stats(spark, table, only)
     # At most one entry per table partition.
     crowded = crowded_partitions(stats, table, min_files, target_bytes).collect()
     if crowded:

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 WATERMARK = "ingested_at"
 
@@ -39,10 +40,21 @@ def affected_dates(new_rows: DataFrame, column: str = "event_date") -> DataFrame
     return new_rows.select(column).distinct()
 
 
+def small(dates: DataFrame) -> DataFrame:
+    """Broadcast distinct dates, and nothing else.
+
+    Event times have a four-digit year, so there are at most 3.7 million distinct dates
+    (some 60 MB) however many rows there are. Any other type is left to the planner.
+    """
+    if len(dates.columns) == 1 and isinstance(dates.schema[0].dataType, DateType):
+        return F.broadcast(dates)
+    return dates
+
+
 def on_dates(df: DataFrame, dates: DataFrame, column: str = "event_date") -> DataFrame:
-    """All rows on the given dates. On a table partitioned by the date only those
-    partitions are read; NULL dates match nothing."""
-    return df.join(dates, column, "left_semi")
+    """All rows on the given distinct dates, without a shuffle of the rows. On a table
+    partitioned by the date only those partitions are read; NULL dates match nothing."""
+    return df.join(small(dates), column, "left_semi")
 
 
 def rows_per_date(df: DataFrame, column: str = "event_date") -> DataFrame:
@@ -65,6 +77,17 @@ def dates_out_of_step(source: DataFrame, target: DataFrame, column: str = "event
     )
 
 
+def in_key_range(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """The target rows whose key lies between the smallest and largest key of the source.
+
+    Drops no match. Keys that grow over time, as event ids do, let the scan skip the files
+    and row groups of all earlier loads by their statistics.
+    """
+    # One row.
+    low, high = source.agg(F.min(key), F.max(key)).first()
+    return target.where(F.col(key).between(F.lit(low), F.lit(high)))
+
+
 def partition_values(df: DataFrame, columns: Sequence[str]) -> list[Row]:
     """The distinct partitions of some rows. At most one entry per table partition, a
     list the driver holds anyway to plan a scan."""

@@ -13,7 +13,12 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.config import Table
-from eventlake.operators.incremental import in_partitions, partition_values
+from eventlake.operators.incremental import (
+    in_key_range,
+    in_partitions,
+    partition_values,
+    small,
+)
 from eventlake.operators.quality import DataQualityError, duplicate_keys
 from eventlake.session import setting
 from eventlake.sources import catalog
@@ -33,7 +38,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
 
 def overwrite_partitions(target: DataFrame, source: DataFrame, partition_by: str) -> DataFrame:
     """The target with each partition that occurs in the source replaced by it."""
-    replaced = source.select(F.col(partition_by).alias("_replaced")).distinct()
+    replaced = small(source.select(F.col(partition_by).alias("_replaced")).distinct())
     kept = target.join(
         replaced, target[partition_by].eqNullSafe(replaced["_replaced"]), "left_anti"
     )
@@ -46,8 +51,15 @@ def overwrite_partitions(target: DataFrame, source: DataFrame, partition_by: str
 def _laid_out(df: DataFrame, table: Table) -> DataFrame:
     """Rows of a partition together in files of sensible size. Adaptive execution splits
     a partition that is too big for one task and joins small ones, so a dominant event
-    type is written by many tasks."""
-    return df.hint("rebalance", *table.partition_by) if table.partition_by else df
+    type is written by many tasks.
+
+    The writer sorts by the partition columns in any case; the key is added to that sort
+    so that lookups by key skip row groups.
+    """
+    if not table.partition_by:
+        return df
+    order = [*table.partition_by, *([table.key] if table.key else [])]
+    return df.hint("rebalance", *table.partition_by).sortWithinPartitions(*order)
 
 
 def _save(df: DataFrame, table: Table, mode: str) -> None:
@@ -120,8 +132,8 @@ def insert_only(
 
     The source is read more than once, so pass a stored one (see ``staging.stage``), and
     it must hold each key once. The table is first reduced to the keys that occur in the
-    source: when the source is small this is a scan of one column without a shuffle, and
-    only the few matching keys meet the source again.
+    source: a scan of one column, limited to the source's key range, and without a shuffle
+    when the source is small. Only the matching keys meet the source again.
 
     ``fixed_partitions`` limits the lookup to the partitions of the source. It is right
     only where a key can never come back with other partition values.
@@ -138,7 +150,8 @@ def insert_only(
     if fixed_partitions:
         touched = partition_values(source, table.partition_by)
         target = target.where(in_partitions(table.partition_by, touched))
-    present = target.select(key).join(source.select(key), key, "left_semi")
+    keys = source.select(key)
+    present = in_key_range(target.select(key), keys, key).join(keys, key, "left_semi")
     append(spark, source.join(present, key, "left_anti"), table)
 
 
@@ -176,7 +189,8 @@ def upsert(spark: SparkSession, source: DataFrame, table: Table) -> None:
     by = table.partition_by
     if not by:
         raise ValueError(f"upsert needs a partitioned table: {table.name}")
-    matched = partition_values(target.join(keys, key, "left_semi"), by)
+    candidates = in_key_range(target.select(key, *by), keys, key)
+    matched = partition_values(candidates.join(keys, key, "left_semi"), by)
     if not matched:
         append(spark, source, table)
         return

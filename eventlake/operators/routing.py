@@ -38,8 +38,8 @@ def reconcile(lines: DataFrame, messages: DataFrame, topics: Topics) -> DataFram
         F.count_if(F.col("topic") == topics.raw).alias("raw_messages"),
         F.count_if(F.col("topic") != topics.raw).alias("routed_messages"),
     )
-    # Both sides are one row.
-    return source.crossJoin(sink).withColumn(
+    both = source.unionByName(sink, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns]).withColumn(
         "missing",
         F.col("expected_messages") - F.col("raw_messages") - F.col("routed_messages"),
     )

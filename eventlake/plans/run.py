@@ -8,7 +8,7 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Iterable
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -76,14 +76,21 @@ def ingest_archive(
 # ---------------------------------------------------------------------------------- raw
 
 
-def run_bronze(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
+def run_bronze(
+    spark: SparkSession, cfg: PipelineConfig, audit_table: bool = False
+) -> DataFrame:
     """Drain the message log into the raw table, check it, and return row count and
-    latest ingestion time."""
+    latest ingestion time.
+
+    The rules cover the partitions this run can have written, or all with ``audit_table``.
+    """
     use_utc(spark)
     catalog.create_schemas(spark, cfg)
+    today = datetime.now(timezone.utc).date()
     start_bronze(spark, cfg).awaitTermination()
     table = spark.table(cfg.raw_events.name)
-    quality.enforce(table, cfg.raw_events.name, bronze_plan.RULES)
+    recent = table if audit_table else table.where(F.col("ingestion_date") >= F.lit(today))
+    quality.enforce(recent, cfg.raw_events.name, bronze_plan.RULES)
     return bronze_plan.bronze_summary(table)
 
 
@@ -191,6 +198,7 @@ def run_gold(
     latest_name: bool = False,
     rules: str | None = "warn",
     audit_table: bool = False,
+    dimensions: bool = True,
     top: int = 20,
 ) -> DataFrame:
     """Build or update the star schema and return the repositories with the most stars.
@@ -199,6 +207,8 @@ def run_gold(
     dimension row per id where names change; without it a rename breaks the uniqueness
     rule of a dimension. ``rules`` is what a violation does: ``warn``, ``fail``, or None to
     skip the rules. They cover the touched partitions, or all with ``audit_table``.
+    The dimensions are rebuilt from all events; ``dimensions=False`` leaves that to another
+    run.
     """
     if mode not in ("safe", "strict"):
         raise ValueError(f"mode must be 'safe' or 'strict': {mode}")
@@ -212,19 +222,22 @@ def run_gold(
     else:
         facts = load_fact(spark, cfg, events, mode)
         days = load_daily(spark, cfg, events, mode)
-    merge.overwrite(gold.dim_repos(events, latest_name), cfg.dim_repos)
-    merge.overwrite(gold.dim_users(events, latest_name), cfg.dim_users)
+    if dimensions:
+        merge.overwrite(gold.dim_repos(events, latest_name), cfg.dim_repos)
+        merge.overwrite(gold.dim_users(events, latest_name), cfg.dim_users)
     # The daily aggregate is far smaller than the events and already holds the counts.
     daily = spark.table(cfg.agg_daily_activity.name)
     merge.overwrite(gold.stars_from_daily(daily), cfg.top_repos_by_stars)
     if rules is not None:
-        everything = F.lit(True)
-        for table, table_rules, part in (
-            (cfg.dim_repos, gold.DIM_REPOS_RULES, everything),
-            (cfg.dim_users, gold.DIM_USERS_RULES, everything),
-            (cfg.fact_events, gold.FACT_RULES, everything if audit_table else facts),
-            (cfg.agg_daily_activity, gold.AGG_RULES, everything if audit_table else days),
-        ):
+        whole = F.lit(True)
+        audits = [
+            (cfg.fact_events, gold.FACT_RULES, whole if audit_table else facts),
+            (cfg.agg_daily_activity, gold.AGG_RULES, whole if audit_table else days),
+        ]
+        if dimensions:
+            audits.append((cfg.dim_repos, gold.DIM_REPOS_RULES, whole))
+            audits.append((cfg.dim_users, gold.DIM_USERS_RULES, whole))
+        for table, table_rules, part in audits:
             quality.enforce(spark.table(table.name).where(part), table.name, table_rules, rules)
     return gold.top_repos(spark.table(cfg.top_repos_by_stars.name), top)
 

@@ -49,12 +49,13 @@ def read_archive(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     A gzip file cannot be split, so one file is one task. A backfill has enough files;
     a run over a few hours is spread over the cluster before the parsing starts.
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    lines = spark.read.text(paths)
-    slots = spark.sparkContext.defaultParallelism
-    if len(lines.inputFiles()) < slots:
-        lines = lines.repartition(slots)
-    return lines
+    return spread(spark.read.text([paths] if isinstance(paths, str) else list(paths)))
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a scan with fewer tasks than the cluster has cores a task per core."""
+    slots = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(slots) if scan.rdd.getNumPartitions() < slots else scan
 
 
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
