@@ -48,7 +48,11 @@ def _org():
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean event table, as if it had been loaded already."""
-    return table(spark, sf_dir, "events").select(
+    return as_silver(table(spark, sf_dir, "events"))
+
+
+def as_silver(events: DataFrame) -> DataFrame:
+    return events.select(
         F.col("event_id").cast("string").alias("event_id"),
         "event_type",
         F.col("user_id").alias("actor_id"),
@@ -92,12 +96,13 @@ def event_json(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFra
         F.date_format(_seconds(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created_at"),
         F.struct(_repo().cast("bigint").alias("k")).alias("payload"),
     )
+    # A generator, so that a later filter on the text does not build it a second time.
     return events.select(
         "event_id",
         event_type.alias("event_type"),
         "value",
         _seconds().alias("event_timestamp"),
-        F.to_json(body).alias("raw_json"),
+        F.explode(F.array(F.to_json(body))).alias("raw_json"),
     )
 
 

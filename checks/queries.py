@@ -70,10 +70,8 @@ def archive_read(spark, sf_dir):
 @query
 def archive_hour_filter(spark, sf_dir):
     """The events of one hour."""
-    events = inputs.silver(spark, sf_dir)
-    hour = F.expr("TIMESTAMP '2024-01-15 12:00:00'")
-    in_hour = F.date_trunc("hour", "event_timestamp") == hour
-    return events.where(in_hour).select("event_id", "event_type", "event_timestamp")
+    events = archive.in_hour(inputs.table(spark, sf_dir, "events"), "ts", "2024-01-15", 12)
+    return inputs.as_silver(events).select("event_id", "event_type", "event_timestamp")
 
 
 @query
@@ -368,8 +366,7 @@ def incremental_highwater(spark, sf_dir):
 def incremental_affected_dates(spark, sf_dir):
     """All events of the dates that have new ones."""
     events = inputs.silver(spark, sf_dir)
-    daily = gold.agg_daily_activity(_old(events))
-    new = incremental.newer_than(events, daily)
+    new = incremental.newer_than(events, gold.fact_events(_old(events)))
     return incremental.on_dates(gold.fact_events(events), incremental.affected_dates(new))
 
 

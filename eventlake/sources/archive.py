@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import date, datetime, timedelta, timezone
+from datetime import date, datetime, time, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +36,14 @@ def archive_path(base: str, day: str | date, hour: int) -> str:
     return f"{base.rstrip('/')}/{day}-{hour}.json.gz"
 
 
+def in_hour(events: DataFrame, column: str, day: str | date, hour: int) -> DataFrame:
+    """The events of one archive hour. A range on the plain column, so it reaches the scan."""
+    start = datetime.combine(date.fromisoformat(str(day)), time(hour))
+    kind = events.schema[column].dataType
+    first, end = (F.lit(str(t)).cast(kind) for t in (start, start + timedelta(hours=1)))
+    return events.where((F.col(column) >= first) & (F.col(column) < end))
+
+
 def archive_paths(base: str, first: datetime, last: datetime) -> list[str]:
     """Paths of all hours from ``first`` to ``last``, both included, for a backfill."""
     hours = int((last - first) / timedelta(hours=1))
