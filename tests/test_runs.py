@@ -132,6 +132,14 @@ def test_bad_increment_stops_before_the_write(spark, lake):
     assert spark.table(lake.events.name).count() == 3
 
 
+def test_dropped_rows_are_counted(spark, lake, caplog):
+    send(spark, lake, event("1"), "{bad", '{"type":"A"}', event("1"))
+    run_bronze(spark, lake)
+    with caplog.at_level("INFO", logger="eventlake"):
+        run_silver(spark, lake)
+    assert "'raw_rows': 4, 'malformed': 2" in caplog.text
+
+
 def test_lookback_and_full_refresh(spark, lake):
     send(spark, lake, event("1"))
     run_bronze(spark, lake)
