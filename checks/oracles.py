@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-SILVER = """
-silver AS (
+# Fixed value: the types the test types stand for in event JSON.
+JSON_TYPE = """CASE event_type WHEN 'view' THEN 'WatchEvent' WHEN 'click' THEN 'PushEvent'
+    WHEN 'purchase' THEN 'PullRequestEvent' ELSE event_type END"""
+
+BASE = f"""
+base AS (
     SELECT CAST(event_id AS VARCHAR) AS event_id,
            event_type,
            user_id AS actor_id,
@@ -15,22 +19,19 @@ silver AS (
            date_trunc('second', ts) AS event_timestamp,
            date_trunc('second', ts) + INTERVAL 1 HOUR AS ingested_at,
            CAST(CAST(ts AS DATE) AS VARCHAR) AS event_date,
-           CAST(extract(hour FROM ts) AS INTEGER) AS event_hour
+           CAST(extract(hour FROM ts) AS INTEGER) AS event_hour,
+           value,
+           {JSON_TYPE} AS json_type
     FROM events
 )"""
 
-JSON_TYPE = """CASE event_type WHEN 'view' THEN 'WatchEvent' WHEN 'click' THEN 'PushEvent'
-    WHEN 'purchase' THEN 'PullRequestEvent' ELSE event_type END"""
+# The clean table.
+SILVER = f"""{BASE},
+silver AS (SELECT * EXCLUDE (value, json_type) FROM base)"""
 
-# The clean table as it comes out of the event JSON.
-PARSED = f"""{SILVER},
-parsed AS (
-    SELECT s.* REPLACE (t.json_type AS event_type), t.value
-    FROM silver AS s
-    JOIN (
-        SELECT CAST(event_id AS VARCHAR) AS event_id, value, {JSON_TYPE} AS json_type FROM events
-    ) AS t ON s.event_id = t.event_id
-)"""
+# The clean table as it comes out of the event JSON, with the value of the event.
+PARSED = f"""{BASE},
+parsed AS (SELECT * EXCLUDE (json_type) REPLACE (json_type AS event_type) FROM base)"""
 
 
 def _messages(dirty: bool) -> str:
@@ -39,9 +40,7 @@ def _messages(dirty: bool) -> str:
     has_type = "(value < 10 OR value >= 20)" if dirty else "true"
     return f"""{PARSED},
 msg AS (
-    SELECT event_id,
-           value,
-           event_timestamp,
+    SELECT event_id, actor_id, repo_id, org_login, value, event_timestamp,
            CASE WHEN {has_id} THEN event_id END AS id,
            CASE WHEN {has_type} THEN event_type END AS type,
            '{{'
@@ -241,13 +240,13 @@ ORACLES: dict[str, str] = {
     "insert_overwrite_partitions": CORRECTED,
     "insert_overwrite_table": CORRECTED,
     "dq_not_null": f"""WITH {_messages(True)}
-        SELECT count(*) FILTER (m.id IS NULL) AS event_id,
-               count(*) FILTER (m.type IS NULL) AS event_type,
-               count(*) FILTER (p.actor_id IS NULL) AS actor_id,
-               count(*) FILTER (p.repo_id IS NULL) AS repo_id,
-               count(*) FILTER (p.org_login IS NULL) AS org_login,
-               count(*) FILTER (p.event_timestamp IS NULL) AS event_timestamp
-        FROM msg AS m JOIN parsed AS p ON m.event_id = p.event_id""",
+        SELECT count(*) FILTER (id IS NULL) AS event_id,
+               count(*) FILTER (type IS NULL) AS event_type,
+               count(*) FILTER (actor_id IS NULL) AS actor_id,
+               count(*) FILTER (repo_id IS NULL) AS repo_id,
+               count(*) FILTER (org_login IS NULL) AS org_login,
+               count(*) FILTER (event_timestamp IS NULL) AS event_timestamp
+        FROM msg""",
     "dq_unique": """SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
         GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "dq_check_constraint": """SELECT count(*) AS violations FROM orders

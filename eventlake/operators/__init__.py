@@ -26,6 +26,7 @@ from eventlake.operators.quality import (
     Unique,
     audit,
     enforce,
+    enforce_all,
 )
 from eventlake.operators.ranking import first_n, top_k
 from eventlake.operators.routing import keyed_messages, reconcile, route
@@ -43,6 +44,7 @@ __all__ = [
     "compact",
     "create",
     "enforce",
+    "enforce_all",
     "file_stats",
     "first_n",
     "first_per_key",

@@ -24,7 +24,9 @@ def file_stats(spark: SparkSession, table: Table, only: list[Row] | None = None)
     if only is not None:
         chosen = spark.table(table.name).where(in_partitions(table.partition_by, only))
         paths = [unquote(path) for path in chosen.inputFiles()] or paths
-    files = spark.read.format("binaryFile").option("basePath", root).load(paths)
+    # Partition values as text: guessing a type would change some of them.
+    with setting(spark, "spark.sql.sources.partitionColumnTypeInference.enabled", "false"):
+        files = spark.read.format("binaryFile").option("basePath", root).load(paths)
     types = {f.name: f.dataType for f in spark.table(table.name).schema}
     if not set(table.partition_by) <= set(files.columns):
         # A table without files has no partition folders to take the columns from.

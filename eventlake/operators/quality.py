@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -124,36 +125,49 @@ def audit(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             )
     if not parts:
         return spark.createDataFrame([], "rule string, violations bigint")
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, parts)
 
 
-def enforce(df: DataFrame, name: str, rules: Sequence[Rule], mode: str = "fail") -> dict[str, int]:
-    """Evaluate the rules and raise on violations, or log them with ``mode="warn"``.
+def enforce_all(
+    audits: Sequence[tuple[DataFrame, str, Sequence[Rule]]], mode: str = "fail"
+) -> dict[str, dict[str, int]]:
+    """Evaluate the rules of several named tables as one query. Raise on violations, or
+    log them with ``mode="warn"``.
 
-    Returns the violation count of each rule.
+    Returns the violation count of each rule by table.
     """
     if mode not in ("fail", "warn"):
         raise ValueError(f"mode must be 'fail' or 'warn': {mode}")
-    problems, counted = [], []
-    for rule in rules:
-        if isinstance(rule, RequiredColumns):
-            if rule.missing(df):
-                problems.append(f"{rule.label}: missing {', '.join(rule.missing(df))}")
-        elif isinstance(rule, NotNull | Unique) and rule.column not in df.columns:
-            problems.append(f"{rule.label}: no such column")
-        else:
-            counted.append(rule)
-    # One row per rule, however large the table is.
-    counts = {row["rule"]: row["violations"] for row in audit(df, counted).collect()}
-    for rule in counted:
-        if counts[rule.label]:
-            problems.append(f"{rule.label}: {counts[rule.label]} violations")
-    if problems:
-        message = f"DATA QUALITY FAILURE: {name}: " + "; ".join(problems)
+    problems: dict[str, list[str]] = {}
+    frames = []
+    for df, name, rules in audits:
+        found, counted = problems.setdefault(name, []), []
+        for rule in rules:
+            if isinstance(rule, RequiredColumns):
+                if rule.missing(df):
+                    found.append(f"{rule.label}: missing {', '.join(rule.missing(df))}")
+            elif isinstance(rule, NotNull | Unique) and rule.column not in df.columns:
+                found.append(f"{rule.label}: no such column")
+            else:
+                counted.append(rule)
+        if counted:
+            frames.append(audit(df, counted).select(F.lit(name).alias("name"), "*"))
+    counts: dict[str, dict[str, int]] = {name: {} for name in problems}
+    if frames:
+        # One row per rule, however large the tables are.
+        for name, rule, violations in reduce(DataFrame.unionByName, frames).collect():
+            counts[name][rule] = violations
+            if violations:
+                problems[name].append(f"{rule}: {violations} violations")
+    messages = [f"{name}: " + "; ".join(found) for name, found in problems.items() if found]
+    if messages:
+        message = "DATA QUALITY FAILURE: " + " | ".join(messages)
         if mode == "fail":
             raise DataQualityError(message)
         logger.warning(message)
     return counts
+
+
+def enforce(df: DataFrame, name: str, rules: Sequence[Rule], mode: str = "fail") -> dict[str, int]:
+    """The same for one table."""
+    return enforce_all([(df, name, rules)], mode)[name]

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from zlib import crc32
+
 from pyspark.sql import DataFrame, SparkSession
 
+from eventlake.config import Table
 from eventlake.session import work_dir
 
 
-def stage(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    """Store an intermediate result in the shared folder and read it back.
+def stage(spark: SparkSession, df: DataFrame, table: Table) -> DataFrame:
+    """Store rows bound for a table in the shared folder and read them back.
 
     What follows then starts from files: nothing is computed twice, the planner knows the
-    real size, and a lost executor costs no recomputation. Each run replaces the previous
-    one's files.
+    real size, and a lost executor costs no recomputation. Each run replaces the files of
+    the table's previous one.
     """
-    path = f"{work_dir(spark)}/stage/{label}"
+    tag = crc32((table.path or "").encode())
+    path = f"{work_dir(spark)}/stage/{table.name}-{tag:08x}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -147,9 +147,7 @@ def load_fact(
         return F.lit(True)
     target = spark.table(table.name)
     if mode == "strict":
-        new = stage(
-            spark, incremental.rows_after(fact, incremental.stored_mark(target)), table.name
-        )
+        new = stage(spark, incremental.rows_after(fact, incremental.stored_mark(target)), table)
         merge.upsert(spark, new, table)
         touched = incremental.partition_values(new, table.partition_by)
         return incremental.in_partitions(table.partition_by, touched)
@@ -237,8 +235,10 @@ def run_gold(
         if dimensions:
             audits.append((cfg.dim_repos, gold.DIM_REPOS_RULES, whole))
             audits.append((cfg.dim_users, gold.DIM_USERS_RULES, whole))
-        for table, table_rules, part in audits:
-            quality.enforce(spark.table(table.name).where(part), table.name, table_rules, rules)
+        quality.enforce_all(
+            [(spark.table(t.name).where(part), t.name, checked) for t, checked, part in audits],
+            rules,
+        )
     return gold.top_repos(spark.table(cfg.top_repos_by_stars.name), top)
 
 
