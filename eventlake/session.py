@@ -55,12 +55,13 @@ def work_dir(spark: SparkSession) -> str:
     Clusters name it in ``spark.checkpoint.dir``. Only a local session without the
     setting gets a folder of its own, since there every task sees the same disk.
     """
-    folder = spark.conf.get(WORK_DIR_SETTING, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(WORK_DIR_SETTING, None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError(f"set {WORK_DIR_SETTING} to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="eventlake-")
-        spark.conf.set(WORK_DIR_SETTING, folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="eventlake-"))
+        folder = context.getCheckpointDir()
     return f"{folder.rstrip('/')}/eventlake"
 
 

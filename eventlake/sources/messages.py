@@ -30,7 +30,7 @@ def kafka_read_options(cfg: PipelineConfig) -> dict[str, str]:
 def file_read_options(cfg: PipelineConfig) -> dict[str, str]:
     # Files count as unread however old they are; by default a stream skips files much
     # older than the newest one.
-    options = {"basePath": cfg.landing, "maxFileAge": "36500d"}
+    options = {"maxFileAge": "36500d"}
     if cfg.max_files_per_trigger:
         options["maxFilesPerTrigger"] = str(cfg.max_files_per_trigger)
     if cfg.max_bytes_per_trigger:
@@ -45,7 +45,7 @@ def message_stream(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     # Only the raw topic's folder is listed; the others have no reader here.
     return (
         spark.readStream.schema(schemas.LANDED)
-        .options(**file_read_options(cfg))
+        .options(basePath=cfg.landing, **file_read_options(cfg))
         .parquet(f"{cfg.landing}/topic={cfg.topics.raw}/batch=*")
     )
 

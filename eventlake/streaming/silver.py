@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eventlake.config import PipelineConfig
 from eventlake.plans.silver import load_silver
+from eventlake.sources.messages import file_read_options
 from eventlake.streaming.bronze import checkpoint_path
 
 
@@ -19,7 +20,8 @@ def start_silver(spark: SparkSession, cfg: PipelineConfig) -> StreamingQuery:
     def load(batch: DataFrame, batch_id: int) -> None:
         load_silver(batch.sparkSession, cfg, batch)
 
-    raw = spark.readStream.table(cfg.raw_events.name)
+    options = file_read_options(cfg) if cfg.raw_events.provider == "parquet" else {}
+    raw = spark.readStream.options(**options).table(cfg.raw_events.name)
     return (
         raw.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint_path(spark, cfg, cfg.events.name))

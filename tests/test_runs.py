@@ -156,7 +156,9 @@ def test_silver_stream_equals_silver_batch(spark, lake):
     start_silver(spark, lake).awaitTermination()
     send(spark, lake, event("2", repo=99), event("3"), batch="b2")
     run_bronze(spark, lake)
-    start_silver(spark, lake).awaitTermination()
+    limited = start_silver(spark, replace(lake, max_files_per_trigger=1))
+    limited.awaitTermination()
+    assert len([p for p in limited.recentProgress if p.numInputRows > 0]) == 2
     streamed = rows(spark, lake.events)
     batch = replace(lake, silver_db=lake.silver_db + "x")
     run_silver(spark, batch)
