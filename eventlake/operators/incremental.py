@@ -62,7 +62,9 @@ def rows_per_date(df: DataFrame, column: str = "event_date") -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
 
 
-def dates_out_of_step(source: DataFrame, target: DataFrame, column: str = "event_date") -> DataFrame:
+def dates_out_of_step(
+    source: DataFrame, target: DataFrame, column: str = "event_date"
+) -> DataFrame:
     """Dates for which two ``date, n`` frames disagree.
 
     The source only ever gains rows, and the target only has rows of the source, so equal

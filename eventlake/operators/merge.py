@@ -23,6 +23,8 @@ from eventlake.operators.quality import DataQualityError, duplicate_keys
 from eventlake.session import setting
 from eventlake.sources import catalog
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 # ---------------------------------------------------------------- merges as DataFrames
 
 
@@ -86,7 +88,8 @@ def create(df: DataFrame, table: Table) -> None:
 
 def overwrite(df: DataFrame, table: Table) -> None:
     """Replace a table, its schema included. The input must not read the table."""
-    _save(df, table, "overwrite")
+    with setting(df.sparkSession, OVERWRITE_MODE, "static"):
+        _save(df, table, "overwrite")
 
 
 def append(spark: SparkSession, df: DataFrame, table: Table) -> None:
@@ -102,7 +105,7 @@ def replace_partitions(spark: SparkSession, df: DataFrame, table: Table) -> None
     if not catalog.exists(spark, table):
         create(df, table)
         return
-    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+    with setting(spark, OVERWRITE_MODE, "dynamic"):
         _insert(spark, df, table, overwrite=True)
 
 
@@ -117,7 +120,7 @@ def empty_partition(spark: SparkSession, table: Table, partition: Row) -> None:
     spec = ", ".join(f"`{c}` = {_literal(partition[c])}" for c in table.partition_by)
     fields = [f for f in spark.table(table.name).schema if f.name not in table.partition_by]
     nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in fields)
-    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
+    with setting(spark, OVERWRITE_MODE, "static"):
         spark.sql(
             f"INSERT OVERWRITE TABLE {table.name} PARTITION ({spec}) SELECT {nulls} WHERE false"
         )

@@ -13,7 +13,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.config import PipelineConfig
+from eventlake.config import PipelineConfig, Table
 from eventlake.operators import compaction, incremental, merge, quality
 from eventlake.operators.ranking import first_n
 from eventlake.operators.routing import keyed_messages, route
@@ -188,6 +188,12 @@ def load_daily(
     return chosen
 
 
+def rebuild(spark: SparkSession, df: DataFrame, table: Table) -> None:
+    """Overwrite a table with rows that are stored already, so that a failure while they
+    are computed leaves the old table."""
+    merge.overwrite(stage(spark, df, table), table)
+
+
 def run_gold(
     spark: SparkSession,
     cfg: PipelineConfig,
@@ -221,11 +227,11 @@ def run_gold(
         facts = load_fact(spark, cfg, events, mode)
         days = load_daily(spark, cfg, events, mode)
     if dimensions:
-        merge.overwrite(gold.dim_repos(events, latest_name), cfg.dim_repos)
-        merge.overwrite(gold.dim_users(events, latest_name), cfg.dim_users)
+        rebuild(spark, gold.dim_repos(events, latest_name), cfg.dim_repos)
+        rebuild(spark, gold.dim_users(events, latest_name), cfg.dim_users)
     # The daily aggregate is far smaller than the events and already holds the counts.
     daily = spark.table(cfg.agg_daily_activity.name)
-    merge.overwrite(gold.stars_from_daily(daily), cfg.top_repos_by_stars)
+    rebuild(spark, gold.stars_from_daily(daily), cfg.top_repos_by_stars)
     if rules is not None:
         whole = F.lit(True)
         audits = [

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -10,6 +11,8 @@ from pyspark.sql import SparkSession
 
 WORK_DIR_SETTING = "spark.checkpoint.dir"
 
+_SETTINGS = threading.RLock()
+
 
 def build_session(app_name: str = "eventlake", master: str | None = None, **conf) -> SparkSession:
     """A session for these jobs. Pass Spark settings as ``{"spark.x.y": value}`` keywords."""
@@ -37,16 +40,20 @@ def use_utc(spark: SparkSession) -> None:
 
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str):
-    """Set a runtime setting for the duration of one write."""
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+    """Set a runtime setting for the duration of one write.
+
+    Settings belong to the session, so threads that share one take turns.
+    """
+    with _SETTINGS:
+        before = spark.conf.get(key, None)
+        spark.conf.set(key, value)
+        try:
+            yield
+        finally:
+            if before is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, before)
 
 
 def work_dir(spark: SparkSession) -> str:

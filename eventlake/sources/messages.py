@@ -89,5 +89,5 @@ def write_messages(messages: DataFrame, cfg: PipelineConfig, batch: str) -> None
 
 def landed_messages(spark: SparkSession, cfg: PipelineConfig, batch: str) -> DataFrame:
     """What one call of ``write_messages`` left in the file log."""
-    log = spark.read.schema(schemas.LANDED).parquet(cfg.landing)
-    return log.where(F.col("batch") == batch)
+    log = spark.read.schema(schemas.LANDED).option("basePath", cfg.landing)
+    return log.parquet(f"{cfg.landing}/topic=*/batch={batch}")

@@ -8,17 +8,17 @@ import pytest
 from conftest import event
 from pyspark.sql import functions as F
 
-from eventlake import ingest_archive, run_all, run_bronze, run_gold, run_silver, schemas
+from eventlake import run_all, run_bronze, run_gold, run_silver, schemas
 from eventlake.operators import DataQualityError, enforce
 from eventlake.plans import bronze, gold
-from eventlake.plans.run import load_daily, load_fact
 from eventlake.plans.silver import load_silver
 from eventlake.sources import catalog, messages
 from eventlake.streaming import start_bronze, start_silver
 
 
 def send(spark, cfg, *texts, batch="b1", topic=None):
-    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "key string, value string")
+    keyed = [(str(i), t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(keyed, "key string, value string")
     messages.write_messages(
         df.withColumn("topic", F.lit(topic or cfg.topics.raw)), cfg, batch
     )

@@ -175,9 +175,9 @@ def test_random_loads_against_a_dictionary(spark, table):
             f"{k:02d}": (step + rng.random(), f"2024-01-0{rng.randint(1, 4)}", rng.choice("xy"))
             for k in keys
         }
-        df = spark.createDataFrame(
-            [(k, v, d, t) for k, (v, d, t) in load.items()], "k string, v double, d string, t string"
-        ).withColumn("d", F.to_date("d"))
+        rows = [(k, v, d, t) for k, (v, d, t) in load.items()]
+        df = spark.createDataFrame(rows, "k string, v double, d string, t string")
+        df = df.withColumn("d", F.to_date("d"))
         if step % 2:
             upsert(spark, stage(spark, df, table), table)
             model.update(load)

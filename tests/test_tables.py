@@ -1,5 +1,6 @@
 """Table writes: merges, partition replacement, compaction."""
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 import pytest
@@ -22,7 +23,8 @@ from eventlake.operators import (
     upsert,
 )
 from eventlake.operators.incremental import in_partitions, partition_values
-from eventlake.operators.merge import empty_partition
+from eventlake.operators.merge import OVERWRITE_MODE, empty_partition
+from eventlake.session import setting
 from eventlake.sources import catalog
 
 D1, D2, D3 = date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)
@@ -139,6 +141,37 @@ def test_overwrite_replaces_schema(spark, table):
     ]
 
 
+def test_overwrite_removes_old_partitions_whatever_the_session_says(spark, table):
+    create(rows(spark, ("a", 1, D1), ("b", 1, D2)), table)
+    with setting(spark, OVERWRITE_MODE, "dynamic"):
+        overwrite(rows(spark, ("c", 1, D2)), table)
+        assert spark.conf.get(OVERWRITE_MODE) == "dynamic"
+    assert content(spark, table) == [("c", 1, D2)]
+    assert spark.read.parquet(catalog.location(spark, table)).count() == 1
+
+
+def test_overwrites_from_several_threads(spark, table):
+    """One thread replaces single partitions while others overwrite tables as a whole."""
+    create(rows(spark, ("a", 1, D1), ("b", 1, D2)), table)
+    flats = [Table(f"{table.name}_{n}", ("d",), "k") for n in range(3)]
+
+    def replace(n):
+        replace_partitions(spark, rows(spark, ("b", n, D2)), table)
+
+    def refill(flat):
+        for d in (D1, D2, D3):
+            overwrite(rows(spark, ("x", 1, d)), flat)
+
+    with ThreadPoolExecutor(6) as pool:
+        jobs = [pool.submit(replace, n) for n in range(4)]
+        jobs += [pool.submit(refill, flat) for flat in flats]
+        for job in jobs:
+            job.result()
+    assert [(k, d) for k, _, d in content(spark, table)] == [("a", D1), ("b", D2)]
+    for flat in flats:
+        assert content(spark, flat) == [("x", 1, D3)]
+
+
 def test_attach_after_the_catalog_forgot_the_table(spark, table):
     if table.path is None:
         pytest.skip("managed tables live with their catalog")
