@@ -65,11 +65,12 @@ def compact(
     by = list(table.partition_by)
     if only == []:
         return []
+    current = catalog.read(spark, table)
     stats = file_stats(spark, table, only)
     # At most one entry per table partition.
     crowded = crowded_partitions(stats, table, min_files, target_bytes).collect()
     if crowded:
-        rows = spark.table(table.name).where(in_partitions(by, crowded))
+        rows = current.where(in_partitions(by, crowded))
         with setting(
             spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes)
         ):

@@ -149,7 +149,7 @@ def insert_only(
         same = F.col(f"{table.name}.{key}") == F.col(f"_source.{key}")
         source.alias("_source").mergeInto(table.name, same).whenNotMatched().insertAll().merge()
         return
-    target = spark.table(table.name)
+    target = catalog.read(spark, table)
     if fixed_partitions:
         touched = partition_values(source, table.partition_by)
         target = target.where(in_partitions(table.partition_by, touched))
@@ -187,7 +187,7 @@ def upsert(spark: SparkSession, source: DataFrame, table: Table) -> None:
             .merge()
         )
         return
-    target = spark.table(table.name)
+    target = catalog.read(spark, table)
     keys = source.select(key)
     by = table.partition_by
     if not by:

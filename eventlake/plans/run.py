@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Iterable
 from datetime import date, datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.config import PipelineConfig, Table
@@ -23,6 +23,7 @@ from eventlake.plans import gold, silver
 from eventlake.session import use_utc
 from eventlake.sources import archive, catalog, messages
 from eventlake.streaming.bronze import start_bronze
+from eventlake.streaming.silver import start_silver
 
 logger = logging.getLogger(__name__)
 
@@ -88,7 +89,7 @@ def run_bronze(
     catalog.create_schemas(spark, cfg)
     today = datetime.now(timezone.utc).date()
     start_bronze(spark, cfg).awaitTermination()
-    table = spark.table(cfg.raw_events.name)
+    table = catalog.read(spark, cfg.raw_events)
     recent = table if audit_table else table.where(F.col("ingestion_date") >= F.lit(today))
     quality.enforce(recent, cfg.raw_events.name, bronze_plan.RULES)
     return bronze_plan.bronze_summary(table)
@@ -100,6 +101,7 @@ def run_bronze(
 def run_silver(
     spark: SparkSession,
     cfg: PipelineConfig,
+    stream: bool = False,
     full_refresh: bool = False,
     mode: str = "fail",
     audit_table: bool = False,
@@ -109,19 +111,32 @@ def run_silver(
     """Load the raw rows of the lookback window, or all with ``full_refresh``, into the
     clean table. Returns the number of events per type.
 
+    With ``stream`` it loads the raw rows that no earlier ``stream`` run has seen instead,
+    so that each raw row is parsed once and not again in every run of its window.
     ``audit_table`` checks the whole table afterwards; the increment is always checked.
     ``compact_min_files=None`` leaves the files as they are.
     """
+    if stream and full_refresh:
+        raise ValueError("a full refresh does not use the stream")
     use_utc(spark)
     catalog.create_schemas(spark, cfg)
-    raw = spark.table(cfg.raw_events.name)
-    if not full_refresh:
-        raw = silver.in_lookback(raw, cfg.run_date, cfg.lookback_days)
-    increment = silver.load_silver(spark, cfg, raw, mode, fixed_partitions)
-    if compact_min_files is not None:
-        touched = incremental.partition_values(increment, cfg.events.partition_by)
-        compaction.compact(spark, cfg.events, touched, compact_min_files)
-    table = spark.table(cfg.events.name)
+    by = cfg.events.partition_by
+    touched: set[Row] = set()
+
+    def note(increment: DataFrame) -> None:
+        if compact_min_files is not None:
+            touched.update(incremental.partition_values(increment, by))
+
+    if stream:
+        start_silver(spark, cfg, mode, fixed_partitions, note).awaitTermination()
+    else:
+        raw = catalog.read(spark, cfg.raw_events)
+        if not full_refresh:
+            raw = silver.in_lookback(raw, cfg.run_date, cfg.lookback_days)
+        note(silver.load_silver(spark, cfg, raw, mode, fixed_partitions))
+    if touched:
+        compaction.compact(spark, cfg.events, list(touched), compact_min_files)
+    table = catalog.read(spark, cfg.events)
     if audit_table:
         quality.enforce(table, cfg.events.name, silver.TABLE_RULES, mode)
     catalog.create_silver_view(spark, cfg)
@@ -145,7 +160,7 @@ def load_fact(
     if not catalog.exists(spark, table):
         merge.create(fact, table)
         return F.lit(True)
-    target = spark.table(table.name)
+    target = catalog.read(spark, table)
     if mode == "strict":
         new = stage(spark, incremental.rows_after(fact, incremental.stored_mark(target)), table)
         merge.upsert(spark, new, table)
@@ -174,7 +189,7 @@ def load_daily(
     if not catalog.exists(spark, table):
         merge.create(gold.agg_daily_activity(events), table)
         return F.lit(True)
-    target = spark.table(table.name)
+    target = catalog.read(spark, table)
     if mode == "strict":
         new = incremental.rows_after(events, incremental.stored_mark(target))
         dates = incremental.affected_dates(new)
@@ -230,7 +245,7 @@ def run_gold(
         rebuild(spark, gold.dim_repos(events, latest_name), cfg.dim_repos)
         rebuild(spark, gold.dim_users(events, latest_name), cfg.dim_users)
     # The daily aggregate is far smaller than the events and already holds the counts.
-    daily = spark.table(cfg.agg_daily_activity.name)
+    daily = catalog.read(spark, cfg.agg_daily_activity)
     rebuild(spark, gold.stars_from_daily(daily), cfg.top_repos_by_stars)
     if rules is not None:
         whole = F.lit(True)
@@ -242,10 +257,10 @@ def run_gold(
             audits.append((cfg.dim_repos, gold.DIM_REPOS_RULES, whole))
             audits.append((cfg.dim_users, gold.DIM_USERS_RULES, whole))
         quality.enforce_all(
-            [(spark.table(t.name).where(part), t.name, checked) for t, checked, part in audits],
+            [(catalog.read(spark, t).where(part), t.name, checked) for t, checked, part in audits],
             rules,
         )
-    return gold.top_repos(spark.table(cfg.top_repos_by_stars.name), top)
+    return gold.top_repos(catalog.read(spark, cfg.top_repos_by_stars), top)
 
 
 # ----------------------------------------------------------------------------- all of it
@@ -258,10 +273,12 @@ def run_all(
     day: str | date | None = None,
     hour: int | None = None,
     limit: int | None = None,
+    stream: bool = False,
 ) -> DataFrame:
-    """One hourly run: the given hour, or the previous one, from archive to star schema."""
+    """One hourly run: the given hour, or the previous one, from archive to star schema.
+    ``stream`` is that of ``run_silver``."""
     day, hour = archive.resolve_hour(day, hour)
     ingest_archive(spark, cfg, archive.archive_path(archive_base, day, hour), limit)
     run_bronze(spark, cfg)
-    run_silver(spark, cfg)
+    run_silver(spark, cfg, stream)
     return run_gold(spark, cfg)

@@ -19,6 +19,13 @@ def exists(spark: SparkSession, table: Table) -> bool:
     return spark.catalog.tableExists(table.name)
 
 
+def read(spark: SparkSession, table: Table) -> DataFrame:
+    """The table as it is now. A session caches a table's file list; refreshing it brings
+    in what another session wrote, and a stream batch is one."""
+    spark.catalog.refreshTable(table.name)
+    return spark.table(table.name)
+
+
 def _path_has_data(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -60,6 +67,7 @@ def silver_columns(events: DataFrame) -> DataFrame:
 
 def create_silver_view(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     columns = ", ".join(schemas.SILVER.fieldNames())
+    spark.catalog.refreshTable(cfg.events.name)
     spark.sql(
         f"CREATE OR REPLACE VIEW {cfg.silver_view} AS SELECT {columns} FROM {cfg.events.name}"
     )

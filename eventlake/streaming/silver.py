@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -11,14 +13,24 @@ from eventlake.sources.messages import file_read_options
 from eventlake.streaming.bronze import checkpoint_path
 
 
-def start_silver(spark: SparkSession, cfg: PipelineConfig) -> StreamingQuery:
+def start_silver(
+    spark: SparkSession,
+    cfg: PipelineConfig,
+    mode: str = "fail",
+    fixed_partitions: bool = False,
+    loaded: Callable[[DataFrame], None] | None = None,
+) -> StreamingQuery:
     """Clean each new part of the raw table and insert the events not there yet.
 
-    A batch that is run again after a failure finds its rows present and adds nothing.
+    A batch that is run again after a failure finds its rows present and adds nothing. A
+    batch that violates a rule stops the stream there until it runs with ``mode="warn"``.
+    ``loaded`` is called with each cleaned batch.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_silver(batch.sparkSession, cfg, batch)
+        increment = load_silver(batch.sparkSession, cfg, batch, mode, fixed_partitions)
+        if loaded is not None:
+            loaded(increment)
 
     options = file_read_options(cfg) if cfg.raw_events.provider == "parquet" else {}
     raw = spark.readStream.options(**options).table(cfg.raw_events.name)

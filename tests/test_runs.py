@@ -6,6 +6,7 @@ from datetime import date
 
 import pytest
 from conftest import event
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from eventlake import run_all, run_bronze, run_gold, run_silver, schemas
@@ -166,6 +167,29 @@ def test_silver_stream_equals_silver_batch(spark, lake):
     spark.sql(f"DROP SCHEMA {batch.silver_db} CASCADE")
 
 
+def test_run_silver_as_a_stream(spark, lake):
+    send(spark, lake, event("1"), event("2"))
+    run_bronze(spark, lake)
+    run_silver(spark, lake, stream=True)
+    send(spark, lake, event("2", repo=9), event("3"), batch="b2")
+    run_bronze(spark, lake)
+    by_type = run_silver(spark, lake, stream=True, compact_min_files=1, audit_table=True)
+    assert [tuple(r) for r in by_type.collect()] == [("WatchEvent", 3)]
+    files = spark.table(lake.events.name).inputFiles()
+    assert len(files) == 1
+    run_silver(spark, lake, stream=True)
+    assert spark.table(lake.events.name).inputFiles() == files
+    send(spark, lake, event("4", at="nope"), batch="b3")
+    run_bronze(spark, lake)
+    with pytest.raises(StreamingQueryException, match="DATA QUALITY FAILURE"):
+        run_silver(spark, lake, stream=True)
+    assert spark.table(lake.events.name).count() == 3
+    run_silver(spark, lake, stream=True, mode="warn")
+    assert spark.table(lake.events.name).count() == 4
+    with pytest.raises(ValueError):
+        run_silver(spark, lake, stream=True, full_refresh=True)
+
+
 def stored_silver(spark, cfg, specs):
     """Insert events given as (id, type, actor, repo, time, hour of ingestion)."""
     df = spark.createDataFrame(
@@ -270,7 +294,8 @@ def test_rules_fail_on_a_rename(spark, lake):
     run_gold(spark, lake, rules="fail", latest_name=True)
 
 
-def test_hourly_run(spark, lake, tmp_path):
+@pytest.mark.parametrize("stream", [False, True])
+def test_hourly_run(spark, lake, tmp_path, stream):
     folder = tmp_path / "arc"
     folder.mkdir()
     for hour in (5, 6):
@@ -279,7 +304,7 @@ def test_hourly_run(spark, lake, tmp_path):
                 f.write(event(f"{hour}-{n}", actor=n, at=f"2024-01-15T0{hour}:00:00Z") + "\n")
             f.write("{broken\n")
     for day, hour in (("2024-01-15", 5), (date(2024, 1, 15), 6), ("2024-01-15", 5)):
-        top = run_all(spark, lake, str(folder), day, hour)
+        top = run_all(spark, lake, str(folder), day, hour, stream=stream)
     assert [tuple(r) for r in top.collect()] == [(10, "repo_10", 11)]
     assert spark.table(lake.raw_events.name).count() == 16
     assert spark.table(lake.fact_events.name).count() == 11

@@ -172,6 +172,21 @@ def test_overwrites_from_several_threads(spark, table):
         assert content(spark, flat) == [("x", 1, D3)]
 
 
+@pytest.mark.parametrize("change", ["compact", "upsert", "insert_only"])
+def test_files_of_another_session_are_not_lost(spark, table, change):
+    create(rows(spark, ("a", 1, D1)), table)
+    assert spark.table(table.name).count() == 1
+    other = spark.newSession()
+    append(other, rows(other, ("b", 1, D1)), table)
+    if change == "compact":
+        compact(spark, table, min_files=1)
+    elif change == "upsert":
+        upsert(spark, rows(spark, ("a", 1, D1)), table)
+    else:
+        insert_only(spark, rows(spark, ("b", 9, D1)), table)
+    assert content(spark, table) == [("a", 1, D1), ("b", 1, D1)]
+
+
 def test_attach_after_the_catalog_forgot_the_table(spark, table):
     if table.path is None:
         pytest.skip("managed tables live with their catalog")
