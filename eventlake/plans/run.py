@@ -66,8 +66,9 @@ def ingest_archive(
     messages.write_messages(out, cfg, batch)
     counts = {**seen.get, **sent.get}
     if cfg.message_source == "files":
-        landed = messages.landed_messages(spark, cfg, batch)
-        counts["delivered"] = landed.count() if counts["messages"] else 0
+        counts["delivered"] = 0
+        if counts["messages"]:
+            counts["delivered"] = messages.landed_messages(spark, cfg, batch).count()
         if counts["delivered"] != counts["messages"]:
             raise DeliveryError(f"sent {counts['messages']}, delivered {counts['delivered']}")
     logger.info("archive: %s", counts)
