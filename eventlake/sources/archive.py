@@ -54,16 +54,19 @@ def archive_paths(base: str, first: datetime, last: datetime) -> list[str]:
 def read_archive(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     """Lines of the given files, column ``value``.
 
-    A gzip file cannot be split, so one file is one task. A backfill has enough files;
-    a run over a few hours is spread over the cluster before the parsing starts.
+    A gzip file cannot be split, so one file is one task. A backfill has files enough for
+    all cores; where one file has more than twice a core's even share, as in a run over
+    a few hours, the lines are spread before the parsing starts.
     """
-    return spread(spark.read.text([paths] if isinstance(paths, str) else list(paths)))
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Give a scan with fewer tasks than the cluster has cores a task per core."""
-    slots = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(slots) if scan.rdd.getNumPartitions() < slots else scan
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    lines = spark.read.text(paths)
+    sizes = spark.read.format("binaryFile").load(paths).select("length")
+    # One row, from the file listing.
+    largest, total = sizes.agg(F.max("length"), F.sum("length")).first()
+    slots = spark.sparkContext.defaultParallelism
+    if largest and largest * slots > 2 * total:
+        return lines.repartition(max(slots, lines.rdd.getNumPartitions()))
+    return lines
 
 
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:

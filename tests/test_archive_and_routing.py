@@ -157,10 +157,26 @@ def test_lost_messages_fail_the_run(spark, cfg, tmp_path, monkeypatch):
         ingest_archive(spark, cfg, path)
 
 
+def _shuffles(df):
+    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_few_files_are_spread_over_the_cluster(spark, tmp_path):
     path = _write_hour(tmp_path / "arc", "2024-01-15", 12, LINES)
     lines = archive.read_archive(spark, path)
     assert lines.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert _shuffles(lines)
+
+
+def test_files_of_even_size_are_not_shuffled_but_a_dominant_one_is(spark, tmp_path):
+    for hour in range(8):
+        _write_hour(tmp_path / "arc", "2024-01-15", hour, LINES)
+    lines = archive.read_archive(spark, str(tmp_path / "arc"))
+    assert not _shuffles(lines) and lines.count() == 8 * len(LINES)
+    many = [event(str(n * 7919), "PushEvent", n * 31, n * 17) for n in range(400)]
+    _write_hour(tmp_path / "arc", "2024-01-15", 8, many)
+    lines = archive.read_archive(spark, str(tmp_path / "arc"))
+    assert _shuffles(lines) and lines.count() == 8 * len(LINES) + 400
 
 
 def test_kafka_options():
