@@ -200,8 +200,9 @@ def upsert(spark: SparkSession, source: DataFrame, table: Table) -> None:
     incoming = partition_values(source, by)
     touched = list({*matched, *incoming})
     kept = target.where(in_partitions(by, touched)).join(keys, key, "left_anti")
-    still_used = {*incoming, *partition_values(kept, by)}
+    left = list({*matched} - {*incoming})
+    still_used = partition_values(kept.where(in_partitions(by, left)), by) if left else []
     replace_partitions(spark, kept.unionByName(source), table)
-    for partition in matched:
+    for partition in left:
         if partition not in still_used:
             empty_partition(spark, table, partition)

@@ -9,8 +9,14 @@ from eventlake.config import PipelineConfig, Table
 
 
 def create_schemas(spark: SparkSession, cfg: PipelineConfig) -> None:
+    """Create the schemas that are not there and register tables that have files.
+
+    With a warehouse folder the schemas' own location is beside the tables, not around
+    them: dropping a schema must not remove the files of external tables.
+    """
     for db in (cfg.bronze_db, cfg.silver_db, cfg.gold_db):
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {cfg.schema_name(db)}")
+        place = f" LOCATION '{cfg.schema_path('_schemas')}/{db}'" if cfg.warehouse else ""
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {cfg.schema_name(db)}{place}")
     for table in cfg.tables:
         attach(spark, table)
 
