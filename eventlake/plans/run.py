@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
@@ -147,14 +147,23 @@ def run_silver(
 # ------------------------------------------------------------------------- star schema
 
 
+def _within(df: DataFrame, dates: Sequence[date] | None) -> DataFrame:
+    return df if dates is None else df.where(F.col("event_date").isin(list(dates)))
+
+
 def load_fact(
-    spark: SparkSession, cfg: PipelineConfig, events: DataFrame, mode: str = "safe"
+    spark: SparkSession,
+    cfg: PipelineConfig,
+    events: DataFrame,
+    mode: str = "safe",
+    dates: Sequence[date] | None = None,
 ) -> Column:
     """Bring the event fact up to date. Returns the condition on its touched partitions.
 
     ``strict`` upserts the events ingested after everything in the fact, and so misses
     events that arrive with an earlier ingestion time. ``safe`` finds the dates whose
-    counts differ and adds their missing events; it needs no rewrite.
+    counts differ and adds their missing events; it needs no rewrite. ``dates`` limits the
+    latter to these event dates.
     """
     table = cfg.fact_events
     fact = gold.fact_events(events)
@@ -163,13 +172,15 @@ def load_fact(
         return F.lit(True)
     target = catalog.read(spark, table)
     if mode == "strict":
-        new = stage(spark, incremental.rows_after(fact, incremental.stored_mark(target)), table)
+        mark = incremental.stored_mark(target)
+        new = stage(spark, incremental.rows_after(fact, mark), table)
         merge.upsert(spark, new, table)
         touched = incremental.partition_values(new, table.partition_by)
         return incremental.in_partitions(table.partition_by, touched)
     behind = incremental.partition_values(
         incremental.dates_out_of_step(
-            incremental.rows_per_date(events), incremental.rows_per_date(target)
+            incremental.rows_per_date(_within(events, dates)),
+            incremental.rows_per_date(_within(target, dates)),
         ),
         table.partition_by,
     )
@@ -181,23 +192,30 @@ def load_fact(
 
 
 def load_daily(
-    spark: SparkSession, cfg: PipelineConfig, events: DataFrame, mode: str = "safe"
+    spark: SparkSession,
+    cfg: PipelineConfig,
+    events: DataFrame,
+    mode: str = "safe",
+    dates: Sequence[date] | None = None,
 ) -> Column:
     """Recompute the daily aggregate for the dates with new events and replace those
     dates. Distinct counts do not add up, so a date is always recomputed as a whole.
-    Returns the condition on the replaced dates."""
+    Returns the condition on the replaced dates. ``mode`` and ``dates`` are those of
+    ``load_fact``."""
     table = cfg.agg_daily_activity
     if not catalog.exists(spark, table):
         merge.create(gold.agg_daily_activity(events), table)
         return F.lit(True)
     target = catalog.read(spark, table)
     if mode == "strict":
-        new = incremental.rows_after(events, incremental.stored_mark(target))
-        dates = incremental.affected_dates(new)
+        mark = incremental.stored_mark(target)
+        changed = incremental.affected_dates(incremental.rows_after(events, mark))
     else:
-        counted = target.groupBy("event_date").agg(F.sum("event_count").alias("n"))
-        dates = incremental.dates_out_of_step(incremental.rows_per_date(events), counted)
-    behind = incremental.partition_values(dates, table.partition_by)
+        present = incremental.rows_per_date(_within(events, dates))
+        counted = _within(target, dates).groupBy("event_date")
+        counted = counted.agg(F.sum("event_count").alias("n"))
+        changed = incremental.dates_out_of_step(present, counted)
+    behind = incremental.partition_values(changed, table.partition_by)
     chosen = incremental.in_partitions(table.partition_by, behind)
     if behind:
         merge.replace_partitions(spark, gold.agg_daily_activity(events.where(chosen)), table)
@@ -215,6 +233,7 @@ def run_gold(
     cfg: PipelineConfig,
     full_refresh: bool = False,
     mode: str = "safe",
+    dates: Sequence[date] | None = None,
     latest_name: bool = False,
     rules: str | None = "warn",
     audit_table: bool = False,
@@ -223,15 +242,20 @@ def run_gold(
 ) -> DataFrame:
     """Build or update the star schema and return the repositories with the most stars.
 
-    ``mode`` is ``safe`` or ``strict``, see ``load_fact``. ``latest_name`` gives one
-    dimension row per id where names change; without it a rename breaks the uniqueness
-    rule of a dimension. ``rules`` is what a violation does: ``warn``, ``fail``, or None to
-    skip the rules. They cover the touched partitions, or all with ``audit_table``.
-    The dimensions are rebuilt from all events; ``dimensions=False`` leaves that to another
-    run.
+    ``mode`` is ``safe`` or ``strict``, see ``load_fact``. In ``safe`` mode ``dates`` limits
+    the search for new events to these event dates and leaves all others to another run;
+    in ``strict`` mode the others would then be behind the mark.
+
+    ``latest_name`` gives one dimension row per id where names change; without it a rename
+    breaks the uniqueness rule of a dimension. ``rules`` is what a violation does: ``warn``,
+    ``fail``, or None to skip the rules. They cover the touched partitions, or all with
+    ``audit_table``. The dimensions are rebuilt from all events; ``dimensions=False`` leaves
+    that to another run.
     """
     if mode not in ("safe", "strict"):
         raise ValueError(f"mode must be 'safe' or 'strict': {mode}")
+    if dates is not None and (mode == "strict" or full_refresh):
+        raise ValueError("dates go with the safe mode only")
     use_utc(spark)
     catalog.create_schemas(spark, cfg)
     events = catalog.create_silver_view(spark, cfg)
@@ -240,8 +264,8 @@ def run_gold(
         merge.overwrite(gold.agg_daily_activity(events), cfg.agg_daily_activity)
         facts = days = F.lit(True)
     else:
-        facts = load_fact(spark, cfg, events, mode)
-        days = load_daily(spark, cfg, events, mode)
+        facts = load_fact(spark, cfg, events, mode, dates)
+        days = load_daily(spark, cfg, events, mode, dates)
     if dimensions:
         rebuild(spark, gold.dim_repos(events, latest_name), cfg.dim_repos)
         rebuild(spark, gold.dim_users(events, latest_name), cfg.dim_users)

@@ -190,6 +190,32 @@ def test_run_silver_as_a_stream(spark, lake):
         run_silver(spark, lake, stream=True, full_refresh=True)
 
 
+def test_replayed_silver_batch_adds_nothing(spark, lake):
+    """The driver dies after a batch was written and before it was committed."""
+    send(spark, lake, event("1"), event("2"))
+    run_bronze(spark, lake)
+
+    def die(increment):
+        raise RuntimeError("driver lost")
+
+    with pytest.raises(StreamingQueryException, match="driver lost"):
+        start_silver(spark, lake, loaded=die).awaitTermination()
+    assert catalog.read(spark, lake.events).count() == 2
+    start_silver(spark, lake).awaitTermination()
+    assert catalog.read(spark, lake.events).count() == 2
+
+
+def test_replayed_bronze_batch_adds_nothing(spark, lake, tmp_path):
+    """The same for the raw table: the batch runs again and its files count once."""
+    send(spark, lake, event("1"), event("2"))
+    run_bronze(spark, lake)
+    commits = tmp_path / "progress" / lake.raw_events.name / "commits"
+    for name in ("0", ".0.crc"):
+        (commits / name).unlink(missing_ok=True)
+    assert run_bronze(spark, lake).first()["rows"] == 2
+    assert (commits / "0").exists()
+
+
 def stored_silver(spark, cfg, specs):
     """Insert events given as (id, type, actor, repo, time, hour of ingestion)."""
     df = spark.createDataFrame(
@@ -266,6 +292,19 @@ def test_rows_behind_the_mark_need_safe_mode(spark, lake):
     assert_equals_full_refresh(spark, lake)
 
 
+def test_update_of_chosen_dates(spark, lake):
+    stored_silver(spark, lake, FIRST)
+    run_gold(spark, lake)
+    stored_silver(spark, lake, LATE)
+    run_gold(spark, lake, dates=[date(2024, 1, 17)], dimensions=False)
+    ids = {r.event_id for r in spark.table(lake.fact_events.name).collect()}
+    assert ids == {"1", "2", "3", "5"}
+    run_gold(spark, lake)
+    assert_equals_full_refresh(spark, lake)
+    with pytest.raises(ValueError):
+        run_gold(spark, lake, mode="strict", dates=[date(2024, 1, 17)])
+
+
 def test_split_input_equals_one_load(spark, lake):
     for part in (BEHIND, FIRST[:1], LATE, FIRST[1:]):
         stored_silver(spark, lake, part)
