@@ -50,22 +50,24 @@ def overwrite_partitions(target: DataFrame, source: DataFrame, partition_by: str
 # ------------------------------------------------------------------------ table writes
 
 
-def _laid_out(df: DataFrame, table: Table) -> DataFrame:
+def _laid_out(df: DataFrame, table: Table, aligned: bool = False) -> DataFrame:
     """Rows of a partition together in files of sensible size. Adaptive execution splits
     a partition that is too big for one task and joins small ones, so a dominant event
     type is written by many tasks.
 
     The writer sorts by the partition columns in any case; the key is added to that sort
-    so that lookups by key skip row groups.
+    so that lookups by key skip row groups. ``aligned`` rows are not shuffled: they come
+    from a table with the same partitions, so each task holds few of them already.
     """
     if not table.partition_by:
         return df
     order = [*table.partition_by, *([table.key] if table.key else [])]
-    return df.hint("rebalance", *table.partition_by).sortWithinPartitions(*order)
+    rows = df if aligned else df.hint("rebalance", *table.partition_by)
+    return rows.sortWithinPartitions(*order)
 
 
-def _save(df: DataFrame, table: Table, mode: str) -> None:
-    writer = _laid_out(df, table).write.format(table.provider).mode(mode)
+def _save(df: DataFrame, table: Table, mode: str, aligned: bool) -> None:
+    writer = _laid_out(df, table, aligned).write.format(table.provider).mode(mode)
     if table.partition_by:
         writer = writer.partitionBy(*table.partition_by)
     if table.path:
@@ -81,15 +83,15 @@ def _insert(spark: SparkSession, df: DataFrame, table: Table, overwrite: bool) -
     rows.write.insertInto(table.name, overwrite=overwrite)
 
 
-def create(df: DataFrame, table: Table) -> None:
-    """Write a new table."""
-    _save(df, table, "errorifexists")
+def create(df: DataFrame, table: Table, aligned: bool = False) -> None:
+    """Write a new table. ``aligned`` input comes from a table with the same partitions."""
+    _save(df, table, "errorifexists", aligned)
 
 
-def overwrite(df: DataFrame, table: Table) -> None:
+def overwrite(df: DataFrame, table: Table, aligned: bool = False) -> None:
     """Replace a table, its schema included. The input must not read the table."""
     with setting(df.sparkSession, OVERWRITE_MODE, "static"):
-        _save(df, table, "overwrite")
+        _save(df, table, "overwrite", aligned)
 
 
 def append(spark: SparkSession, df: DataFrame, table: Table) -> None:

@@ -168,7 +168,7 @@ def load_fact(
     table = cfg.fact_events
     fact = gold.fact_events(events)
     if not catalog.exists(spark, table):
-        merge.create(fact, table)
+        merge.create(fact, table, aligned=True)
         return F.lit(True)
     target = catalog.read(spark, table)
     if mode == "strict":
@@ -260,7 +260,7 @@ def run_gold(
     catalog.create_schemas(spark, cfg)
     events = catalog.create_silver_view(spark, cfg)
     if full_refresh:
-        merge.overwrite(gold.fact_events(events), cfg.fact_events)
+        merge.overwrite(gold.fact_events(events), cfg.fact_events, aligned=True)
         merge.overwrite(gold.agg_daily_activity(events), cfg.agg_daily_activity)
         facts = days = F.lit(True)
     else:

@@ -22,6 +22,7 @@ from eventlake.operators import (
     upsert,
 )
 from eventlake.operators.incremental import in_key_range, in_partitions, partition_values
+from eventlake.operators.merge import _laid_out
 from eventlake.plans import gold
 from eventlake.session import setting
 
@@ -70,6 +71,16 @@ def test_files_are_sorted_by_key(spark, table):
         assert keys == sorted(keys)
 
 
+def test_fact_is_built_from_the_clean_table_without_a_shuffle(spark, table):
+    create(numbered(spark, 8_000), table)
+    by_date = Table(f"{table.name}_by_date", ("d",), "k")
+    rows = spark.table(table.name).select("k", "v", "d")
+    assert "Exchange" not in plan(_laid_out(rows, by_date, aligned=True))
+    assert "Exchange" in plan(_laid_out(rows, by_date))
+    create(rows, by_date, aligned=True)
+    assert spark.table(by_date.name).count() == 8_000
+
+
 def test_lookup_reads_the_key_column_and_its_range_without_a_shuffle(spark, table, tmp_path):
     create(numbered(spark, 8_000), table)
     numbered(spark, 8_000).where("k > '000007900'").write.parquet(str(tmp_path / "s"))
