@@ -15,7 +15,7 @@ from eventlake.functions.events import event_fields
 def previous_hour(now: datetime | None = None) -> tuple[str, int]:
     """Date and hour of the most recently completed UTC hour."""
     hour_ago = (now or datetime.now(timezone.utc)).astimezone(timezone.utc) - timedelta(hours=1)
-    return hour_ago.strftime("%Y-%m-%d"), hour_ago.hour
+    return hour_ago.date().isoformat(), hour_ago.hour
 
 
 def resolve_hour(
