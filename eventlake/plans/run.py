@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Iterable, Sequence
 from datetime import date, datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.config import PipelineConfig, Table
@@ -151,14 +151,21 @@ def _within(df: DataFrame, dates: Sequence[date] | None) -> DataFrame:
     return df if dates is None else df.where(F.col("event_date").isin(list(dates)))
 
 
+def _touched(df: DataFrame, table: Table, partitions: list[Row] | None) -> DataFrame:
+    """The rows in the given partitions, all of them for None."""
+    if partitions is None:
+        return df
+    return df.where(incremental.in_partitions(table.partition_by, partitions))
+
+
 def load_fact(
     spark: SparkSession,
     cfg: PipelineConfig,
     events: DataFrame,
     mode: str = "safe",
     dates: Sequence[date] | None = None,
-) -> Column:
-    """Bring the event fact up to date. Returns the condition on its touched partitions.
+) -> list[Row] | None:
+    """Bring the event fact up to date. Returns its touched partitions, None for all.
 
     ``strict`` upserts the events ingested after everything in the fact, and so misses
     events that arrive with an earlier ingestion time. ``safe`` finds the dates whose
@@ -169,14 +176,13 @@ def load_fact(
     fact = gold.fact_events(events)
     if not catalog.exists(spark, table):
         merge.create(fact, table, aligned=True)
-        return F.lit(True)
+        return None
     target = catalog.read(spark, table)
     if mode == "strict":
         mark = incremental.stored_mark(target)
         new = stage(spark, incremental.rows_after(fact, mark), table)
         merge.upsert(spark, new, table)
-        touched = incremental.partition_values(new, table.partition_by)
-        return incremental.in_partitions(table.partition_by, touched)
+        return incremental.partition_values(new, table.partition_by)
     behind = incremental.partition_values(
         incremental.dates_out_of_step(
             incremental.rows_per_date(_within(events, dates)),
@@ -184,11 +190,11 @@ def load_fact(
         ),
         table.partition_by,
     )
-    chosen = incremental.in_partitions(table.partition_by, behind)
     if behind:
-        present = target.where(chosen).select(table.key)
-        merge.append(spark, fact.where(chosen).join(present, table.key, "left_anti"), table)
-    return chosen
+        present = _touched(target, table, behind).select(table.key)
+        missing = _touched(fact, table, behind).join(present, table.key, "left_anti")
+        merge.append(spark, missing, table)
+    return behind
 
 
 def load_daily(
@@ -197,15 +203,15 @@ def load_daily(
     events: DataFrame,
     mode: str = "safe",
     dates: Sequence[date] | None = None,
-) -> Column:
+) -> list[Row] | None:
     """Recompute the daily aggregate for the dates with new events and replace those
     dates. Distinct counts do not add up, so a date is always recomputed as a whole.
-    Returns the condition on the replaced dates. ``mode`` and ``dates`` are those of
+    Returns the replaced partitions, None for all. ``mode`` and ``dates`` are those of
     ``load_fact``."""
     table = cfg.agg_daily_activity
     if not catalog.exists(spark, table):
         merge.create(gold.agg_daily_activity(events), table)
-        return F.lit(True)
+        return None
     target = catalog.read(spark, table)
     if mode == "strict":
         mark = incremental.stored_mark(target)
@@ -216,10 +222,10 @@ def load_daily(
         counted = counted.agg(F.sum("event_count").alias("n"))
         changed = incremental.dates_out_of_step(present, counted)
     behind = incremental.partition_values(changed, table.partition_by)
-    chosen = incremental.in_partitions(table.partition_by, behind)
     if behind:
-        merge.replace_partitions(spark, gold.agg_daily_activity(events.where(chosen)), table)
-    return chosen
+        days = gold.agg_daily_activity(_touched(events, table, behind))
+        merge.replace_partitions(spark, days, table)
+    return behind
 
 
 def rebuild(spark: SparkSession, df: DataFrame, table: Table) -> None:
@@ -238,6 +244,7 @@ def run_gold(
     rules: str | None = "warn",
     audit_table: bool = False,
     dimensions: bool = True,
+    compact_min_files: int | None = 8,
     top: int = 20,
 ) -> DataFrame:
     """Build or update the star schema and return the repositories with the most stars.
@@ -250,7 +257,7 @@ def run_gold(
     breaks the uniqueness rule of a dimension. ``rules`` is what a violation does: ``warn``,
     ``fail``, or None to skip the rules. They cover the touched partitions, or all with
     ``audit_table``. The dimensions are rebuilt from all events; ``dimensions=False`` leaves
-    that to another run.
+    that to another run. ``compact_min_files`` is that of ``run_silver``, for the fact.
     """
     if mode not in ("safe", "strict"):
         raise ValueError(f"mode must be 'safe' or 'strict': {mode}")
@@ -262,10 +269,12 @@ def run_gold(
     if full_refresh:
         merge.overwrite(gold.fact_events(events), cfg.fact_events, aligned=True)
         merge.overwrite(gold.agg_daily_activity(events), cfg.agg_daily_activity)
-        facts = days = F.lit(True)
+        facts = days = None
     else:
         facts = load_fact(spark, cfg, events, mode, dates)
         days = load_daily(spark, cfg, events, mode, dates)
+        if facts and compact_min_files is not None:
+            compaction.compact(spark, cfg.fact_events, facts, compact_min_files)
     if dimensions:
         rebuild(spark, gold.dim_repos(events, latest_name), cfg.dim_repos)
         rebuild(spark, gold.dim_users(events, latest_name), cfg.dim_users)
@@ -273,16 +282,18 @@ def run_gold(
     daily = catalog.read(spark, cfg.agg_daily_activity)
     rebuild(spark, gold.stars_from_daily(daily), cfg.top_repos_by_stars)
     if rules is not None:
-        whole = F.lit(True)
         audits = [
-            (cfg.fact_events, gold.FACT_RULES, whole if audit_table else facts),
-            (cfg.agg_daily_activity, gold.AGG_RULES, whole if audit_table else days),
+            (cfg.fact_events, gold.FACT_RULES, None if audit_table else facts),
+            (cfg.agg_daily_activity, gold.AGG_RULES, None if audit_table else days),
         ]
         if dimensions:
-            audits.append((cfg.dim_repos, gold.DIM_REPOS_RULES, whole))
-            audits.append((cfg.dim_users, gold.DIM_USERS_RULES, whole))
+            audits.append((cfg.dim_repos, gold.DIM_REPOS_RULES, None))
+            audits.append((cfg.dim_users, gold.DIM_USERS_RULES, None))
         quality.enforce_all(
-            [(catalog.read(spark, t).where(part), t.name, checked) for t, checked, part in audits],
+            [
+                (_touched(catalog.read(spark, t), t, partitions), t.name, checked)
+                for t, checked, partitions in audits
+            ],
             rules,
         )
     return gold.top_repos(catalog.read(spark, cfg.top_repos_by_stars), top)

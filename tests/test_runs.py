@@ -292,6 +292,16 @@ def test_rows_behind_the_mark_need_safe_mode(spark, lake):
     assert_equals_full_refresh(spark, lake)
 
 
+def test_fact_is_compacted(spark, lake):
+    parts = [[(str(n), "PushEvent", n, 1, "2024-01-15T01:00:00Z", n)] for n in range(1, 5)]
+    for part in parts:
+        stored_silver(spark, lake, part)
+        run_gold(spark, lake, dimensions=False, rules="fail", compact_min_files=2)
+    assert len(catalog.read(spark, lake.fact_events).inputFiles()) == 2
+    run_gold(spark, lake)
+    assert_equals_full_refresh(spark, lake)
+
+
 def test_update_of_chosen_dates(spark, lake):
     stored_silver(spark, lake, FIRST)
     run_gold(spark, lake)
