@@ -16,12 +16,17 @@ from eventlake.llm import (
     secret_scan,
     sharding,
     spotsigs,
+    suffix_dedup,
     topk,
     toxicity,
 )
 from eventlake.llm.work import table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.measure(table(spark, sf_dir, "documents"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.detect(table(spark, sf_dir, "documents")))
 
@@ -66,6 +71,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_suffix_dedup,
         op2_pii,
         op3_sharding,
         op4_toxicity,
