@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.llm import jaccard_join, packing, secret_scan, toxicity
+from eventlake.llm import jaccard_join, packing, secret_scan, suffix_dedup, toxicity
 from eventlake.llm.work import stored, table
 
 
@@ -24,6 +24,10 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return jaccard_join.keep_one(docs, words=5, percent=80)
 
 
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(docs)
+
+
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return secret_scan.redact(docs)
 
@@ -35,6 +39,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", without_toxic),
     ("jaccard_join", one_of_near_copies),
+    ("suffix_dedup", without_repeats),
     ("secrets", without_secrets),
     ("packing", packed),
 ]
