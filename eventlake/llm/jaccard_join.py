@@ -55,7 +55,7 @@ class Shingles:
         cache = self.cache
         if len(cache) > CACHED:
             cache.clear()
-        for w in set(found) - cache.keys():
+        for w in {w for w in found if w not in cache}:
             cache[w] = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
         hashes = np.fromiter(map(cache.__getitem__, found), np.uint64, len(found))
         n = min(self.words, len(found))
