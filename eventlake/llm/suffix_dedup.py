@@ -197,28 +197,31 @@ def cut(batches):
     step = -(-WINDOW // PARTS)
     for batch in batches:
         out = []
-        for row, text, found in zip(batch["row"], batch["text"], batch["found"], strict=True):
+        columns = (batch[c] for c in ("row", "text", "place", "key", "size"))
+        for row, text, places, keys, sizes in zip(*columns, strict=True):
             data = text.encode()
-            for x in found:
-                p, key = x["place"], x["key"]
-                if x["size"] <= GROUP:
+            for p, key, size in zip(places.tolist(), keys.tolist(), sizes.tolist(), strict=True):
+                if size <= GROUP:
                     start, end = max(0, p - LEFT), min(len(data), p + SPAN)
                     if end - start >= SPAN:
-                        out.append((key, False, row, start, data[start:end]))
+                        out.append((key, row, start, data[start:end]))
                     continue
                 for low in range(0, WINDOW, step):
                     high = min(LEFT, low + step - 1)
                     start, end = max(0, p - high), min(len(data), p - low + SPAN)
                     if p >= low and end - start >= SPAN and p - high + SPAN <= len(data):
                         part = data[p - low : p - high + SPAN]
-                        out.append((digest64(part + bytes([low])), True, row, start, data[start:end]))
-        yield pd.DataFrame(out, columns=["key", "part", "row", "start", "data"])
+                        out.append((digest64(part + bytes([low])), row, start, data[start:end]))
+        yield pd.DataFrame(out, columns=["key", "row", "start", "data"])
 
 
-CUT = "key long, part boolean, row long, start int, data binary"
+CUT = "key long, row long, start int, data binary"
 
 
-def repeats_in(groups: list[list[tuple[int, int, bytes]]]) -> list[tuple[int, int, int]]:
+NOTHING = (np.zeros(0, np.int64),) * 3
+
+
+def repeats_in(groups: list[list[tuple[int, int, bytes]]]) -> tuple[np.ndarray, ...]:
     """(row, start, end) of the strings of ``SPAN`` bytes that repeat within groups."""
     texts, rows, starts, bounds = [], [], [], [0]
     for group in groups:
@@ -243,7 +246,7 @@ def repeats_in(groups: list[list[tuple[int, int, bytes]]]) -> list[tuple[int, in
     text_of[at], left[at] = owner, (heads + sizes)[owner] - at
     order = order[left[order] >= SPAN]
     if len(order) < 2:
-        return []
+        return NOTHING
     # neighbours in the suffix array that share SPAN bytes (and so a group) are one class
     strings = np.lib.stride_tricks.sliding_window_view(codes.astype(np.uint16), SPAN)
     same = np.zeros(len(order), dtype=bool)
@@ -268,12 +271,19 @@ def repeats_in(groups: list[list[tuple[int, int, bytes]]]) -> list[tuple[int, in
     fresh[1:] |= place[1:] > place[:-1] + 1
     at = np.flatnonzero(fresh)
     if not len(at):
-        return []
+        return NOTHING
     ends = place[np.append(at[1:], len(place)) - 1] + SPAN
-    return list(zip(row[at].tolist(), place[at].tolist(), ends.tolist(), strict=True))
+    return row[at], place[at], ends
+
 
+SORTED = "single boolean, row long, start int, end int, high long, low long"
 
-SORTED = "row long, start int, end int, high long, low long"
+
+def strings_of(row: int, start: int, data: bytes):
+    """Row, place and digest of every string of ``SPAN`` bytes."""
+    n = len(data) - SPAN + 1
+    digests = [hashlib.blake2b(data[i : i + SPAN], digest_size=16).digest() for i in range(n)]
+    return row, start, n, b"".join(digests)
 
 
 def sort_groups(batches):
@@ -281,19 +291,32 @@ def sort_groups(batches):
     groups, group, key, size = [], [], None, 0
 
     def flush():
-        found = repeats_in([g for g in groups if len(g) > 1])
-        return pd.DataFrame([(*f, None, None) for f in found], columns=["row", "start", "end", "high", "low"])
+        row, start, end = repeats_in([g for g in groups if len(g) > 1])
+        zero = np.zeros(len(row), np.int64)
+        return pd.DataFrame(
+            {"single": zero > 0, "row": row, "start": start, "end": end, "high": zero, "low": zero}
+        )
 
     for batch in batches:
-        spread = []
-        columns = (batch[c] for c in ("key", "n", "row", "start", "data"))
-        for k, n, row, start, data in zip(*columns, strict=True):
-            if n > GROUP:
-                for i in range(len(data) - SPAN + 1):
-                    h = hashlib.blake2b(data[i : i + SPAN], digest_size=16).digest()
-                    high, low = np.frombuffer(h, dtype=np.int64).tolist()
-                    spread.append((row, start + i, start + i + SPAN, high, low))
-                continue
+        large = batch["n"].to_numpy() > GROUP
+        if large.any():
+            columns = (batch[c][large] for c in ("row", "start", "data"))
+            found = [strings_of(*x) for x in zip(*columns, strict=True)]
+            n = np.array([x[2] for x in found])
+            at, owner = ranges(np.array([x[1] for x in found]), np.array([x[1] for x in found]) + n)
+            digest = np.frombuffer(b"".join([x[3] for x in found]), dtype=np.int64).reshape(-1, 2)
+            yield pd.DataFrame(
+                {
+                    "single": np.ones(len(at), bool),
+                    "row": np.array([x[0] for x in found])[owner],
+                    "start": at,
+                    "end": at + SPAN,
+                    "high": digest[:, 0],
+                    "low": digest[:, 1],
+                }
+            )
+        columns = (batch[c][~large] for c in ("key", "row", "start", "data"))
+        for k, row, start, data in zip(*columns, strict=True):
             if k != key:
                 if group:
                     groups.append(group)
@@ -303,8 +326,6 @@ def sort_groups(batches):
                 group, key = [], k
             group.append((row, start, bytes(data)))
             size += len(data) + 2
-        if spread:
-            yield pd.DataFrame(spread, columns=["row", "start", "end", "high", "low"])
     groups.append(group)
     yield flush()
 
@@ -328,35 +349,33 @@ def repeats(texts: DataFrame) -> DataFrame:
     members = Window.partitionBy("key")
     groups = (
         texts.join(at, "row")
+        .select("row", "text", "found.place", "found.key", "found.size")
         .mapInPandas(cut, CUT)
         .withColumn("n", F.count("*").over(members))
         .where("n > 1")
-        .drop("part")
     )
     sorted_ = stored(groups.mapInPandas(sort_groups, SORTED), "sorted")
     place = F.struct("row", "start")
     string = Window.partitionBy("high", "low")
     single = (
-        sorted_.where("high is not null")
+        sorted_.where("single")
         .withColumn("first", F.min(place).over(string))
         .where(F.col("first") < place)
     )
     three = ("row", "start", "end")
     return (
-        whole_.union(sorted_.where("high is null").select(*three)).union(single.select(*three))
+        whole_.union(sorted_.where("not single").select(*three)).union(single.select(*three))
     )
 
 
-def kept_parts(data: bytes, found) -> tuple[bytearray | np.ndarray, int]:
+def kept_parts(data: bytes, starts, ends) -> tuple[np.ndarray, int]:
     """Which bytes to remove, and in how many runs."""
-    gone = np.zeros(len(data) + 1, dtype=np.int32)
-    for x in found:
-        start, end = max(0, x["start"]), min(len(data), x["end"])
-        if end - start >= SPAN:
-            gone[start] += 1
-            gone[end] -= 1
-    gone = np.cumsum(gone)[:-1] > 0
-    return gone, int((gone & ~np.concatenate([[False], gone[:-1]])).sum()) if len(gone) else 0
+    starts, ends = np.maximum(0, starts), np.minimum(len(data), ends)
+    whole_ = ends - starts >= SPAN
+    change = np.bincount(starts[whole_], minlength=len(data) + 1)
+    change -= np.bincount(ends[whole_], minlength=len(data) + 1)
+    gone = np.cumsum(change)[:-1] > 0
+    return gone, int(gone[:1].sum() + (gone[1:] > gone[:-1]).sum())
 
 
 def numbered_rows(docs: DataFrame) -> DataFrame:
@@ -374,11 +393,12 @@ def numbered_rows(docs: DataFrame) -> DataFrame:
 
 
 def with_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``row`` and ``found``, the repeats of each text."""
+    """``docs`` with ``row``, and the ``starts`` and ``ends`` of each text's repeats."""
     ship(docs.sparkSession)
     rows = numbered_rows(docs)
     all_ = repeats(rows.select("row", whole().alias("text")))
     by_row = all_.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("found"))
+    by_row = by_row.select("row", F.col("found.start").alias("starts"), F.col("found.end").alias("ends"))
     return rows.join(by_row, "row", "left")
 
 
@@ -388,15 +408,18 @@ def measure(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             out = []
-            for doc_id, text, found in zip(batch["doc_id"], batch["text"], batch["found"], strict=True):
-                data = text.encode()
-                gone, spans = kept_parts(data, found if found is not None else ())
-                kept = np.frombuffer(data, dtype=np.uint8)[~gone].tobytes() if spans else data
+            columns = (batch[c] for c in ("doc_id", "text", "starts", "ends"))
+            for doc_id, text, starts, ends in zip(*columns, strict=True):
+                kept = data = text.encode()
+                spans = 0
+                if starts is not None:
+                    gone, spans = kept_parts(data, starts, ends)
+                    kept = np.frombuffer(data, dtype=np.uint8)[~gone].tobytes()
                 out.append((doc_id, len(data), len(data) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
             yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     rows = with_repeats(docs.select("doc_id", whole().alias("text")))
-    return rows.select("doc_id", "text", "found").mapInPandas(
+    return rows.select("doc_id", "text", "starts", "ends").mapInPandas(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
 
@@ -411,12 +434,12 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             texts = []
-            for text, found in zip(batch["text"], batch["found"], strict=True):
-                if not isinstance(text, str) or found is None:
+            for text, starts, ends in zip(batch["text"], batch["_starts"], batch["_ends"], strict=True):
+                if not isinstance(text, str) or starts is None:
                     texts.append(text)
                     continue
                 data = text.encode()
-                gone, _ = kept_parts(data, found)
+                gone, _ = kept_parts(data, starts, ends)
                 raw = np.frombuffer(data, dtype=np.uint8)
                 heads = np.flatnonzero(raw & 0xC0 != 0x80)
                 stays = np.logical_or.reduceat(~gone, heads) if len(heads) else gone
@@ -424,12 +447,13 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             yield batch.assign(text=texts)[columns]
 
     columns = docs.columns
-    mark = {c: f"_own_{c}" for c in ("row", "found") if c in columns}
-    marked = docs.withColumnsRenamed(mark)
-    found = with_repeats(marked).select(*marked.columns, "found")
-    back = {v: k for k, v in mark.items()}
-    columns = [*marked.columns]
-    clean = found.mapInPandas(run, marked.schema).withColumnsRenamed(back)
+    schema = docs.schema
+    mark = {c: f"_own_{c}" for c in ("row", "starts", "ends") if c in columns}
+    found = with_repeats(docs.withColumnsRenamed(mark)).withColumnsRenamed(
+        {"starts": "_starts", "ends": "_ends"}
+    )
+    found = found.drop("row").withColumnsRenamed({v: k for k, v in mark.items()})
+    clean = found.select(*columns, "_starts", "_ends").mapInPandas(run, schema)
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
     return clean.select(*docs.columns)
