@@ -8,14 +8,16 @@ where it holds one; unrelated documents that merely share a passage or common sh
 agree on a whole combination. d depends on the sizes, so sets are indexed by size class, and
 those near a class's upper end in the next class too.
 
-Equal sets are one entry. In each index entry all sets are compared with the smallest one; linked
-sets form components, and only sets of an entry that are still in different components are then
-compared with each other. All comparisons are exact on 64-bit shingle hashes, and no link between
-different sets is lost.
+Equal sets are one entry, and index entries with the same members are one group. Sets of a group
+are compared by sketches (sums of token hashes by class, of which a pair that reaches the
+threshold can differ in d at most). The closest pairs that span a group are verified token by
+token; then pairs of a group whose sets are still in different components are, too. So a group of
+near copies costs a link for each member and not each pair, and no link between different sets
+that would join two components is lost. Groups too large for a task are compared in blocks.
 
 A missing or blank text has an empty set and is its own component. Rows with equal ids are compared
-by their sets like any others. A missing id never names a component; a component without ids has
-none.
+by their sets like any others. A row without an id is in the component of rows with an equal set, and
+otherwise in none.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ from eventlake.llm.graph import components
 from eventlake.llm.work import ship, stored, whole
 
 WIDER = 1.63
+#: Members of a group that are compared in one task.
+MEMBERS = 1024
 CACHED = 400_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -97,44 +101,146 @@ def set_key(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """Sums of token hashes, modulo 256, by class; a power of two of classes, one for 2 to 4 tokens.
+
+    Adding the halves gives the sketch with half as many classes.
+    """
+    classes = max(16, 1 << (len(tokens) // 2).bit_length() - 1)
+    h = mixed(tokens ^ MIX)
+    own = (h % np.uint64(classes)).astype(np.int64)
+    sums = np.bincount(own, weights=(h >> np.uint64(40) & np.uint64(255)).astype(float), minlength=classes)
+    return sums.astype(np.int64).astype(np.uint8)
+
+
 def index(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, key, n_shingles, entries) of every document."""
+    """(entry, key, doc_id, n_shingles): index entries, where the last two are missing, and one
+    row per document, whose entry stands for itself."""
 
     def run(batches):
         shingles = Shingles(words)
         for batch in batches:
             sets = [shingles.of(t) for t in batch["text"]]
+            keys = [set_key(s) for s in sets]
+            fresh = {k: s for k, s in zip(keys, sets, strict=True) if len(s)}
             yield pd.DataFrame(
                 {
                     "doc_id": batch["doc_id"],
-                    "key": [set_key(s) for s in sets],
+                    "key": keys,
                     "n_shingles": [len(s) for s in sets],
-                    "entries": [combinations(s, percent) if len(s) else [] for s in sets],
+                    "entries": [combinations(s, percent) if (s := fresh.pop(k, None)) is not None else [] for k in keys],
                 }
             )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", whole().alias("text")).mapInPandas(
+    found = docs.select("doc_id", whole().alias("text")).mapInPandas(
         run, f"doc_id {kind}, key long, n_shingles long, entries array<long>"
     )
+    own = F.struct(F.xxhash64("doc_id", "key").alias("entry"), "doc_id", "n_shingles")
+    entries = F.transform(
+        "entries",
+        lambda e: F.struct(
+            e.alias("entry"), F.lit(None).cast(kind).alias("doc_id"), F.lit(None).cast("long").alias("n_shingles")
+        ),
+    )
+    return found.select("key", F.explode(F.concat(F.array(own), entries)).alias("x")).select("key", "x.*")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(key, tokens) of the documents named in ``wanted`` (key, doc_id)."""
+    """(key, tokens, sketch) of the documents named in ``wanted`` (key, doc_id)."""
 
     def run(batches):
         shingles = Shingles(words)
         for batch in batches:
-            sets = [shingles.of(t) for t in batch["text"]]
+            found = [(k, shingles.of(t)) for k, t in zip(batch["key"], batch["text"], strict=True)]
+            found = [(k, s) for k, s in found if set_key(s) == k]
             yield pd.DataFrame(
-                {"key": [set_key(s) for s in sets], "tokens": [s.view(np.int64) for s in sets]}
+                {
+                    "key": [k for k, _ in found],
+                    "tokens": [s.view(np.int64) for _, s in found],
+                    "sketch": [sketch(s).tobytes() for _, s in found],
+                }
             )
 
-    texts = docs.select("doc_id", whole().alias("text")).join(
-        wanted.select("doc_id").distinct(), "doc_id", "left_semi"
+    texts = docs.select("doc_id", whole().alias("text")).join(wanted.select("doc_id", "key"), "doc_id")
+    return texts.select("key", "text").mapInPandas(run, "key long, tokens array<long>, sketch binary")
+
+
+def close_pairs(sketches: list[bytes], sizes: np.ndarray, percent: int, left: np.ndarray):
+    """(i, j, differing classes) of members that may reach the threshold, i on the left side."""
+    width = min(map(len, sketches))
+    rows = np.zeros((len(sketches), width), dtype=np.uint8)
+    for i, s in enumerate(sketches):
+        rows[i] = np.frombuffer(s, dtype=np.uint8).reshape(-1, width).sum(axis=0, dtype=np.uint8)
+    found = []
+    for i in left:
+        differ = np.count_nonzero(rows != rows[i], axis=1)
+        most = (sizes + sizes[i]) * (100 - percent) // (100 + percent)
+        near = np.minimum(sizes, sizes[i]) * 100 >= percent * np.maximum(sizes, sizes[i])
+        j = np.flatnonzero(near & (differ <= most))
+        j = j[j != i]
+        found.append(np.stack([np.full(len(j), i), j, differ[j]], axis=1))
+    return np.concatenate(found) if found else np.zeros((0, 3), dtype=np.int64)
+
+
+def compare(percent: int, spanning: bool):
+    """Pairs (a, b) of a group's block whose sketches are close, across components only.
+
+    With ``spanning`` the closest pairs that connect the members, as if all were links.
+    """
+
+    def run(block: pd.DataFrame) -> pd.DataFrame:
+        block = block.drop_duplicates("key")
+        keys, parts = block["key"].to_numpy(), block["component"].to_numpy()
+        sides = block["side"].to_numpy()
+        left = np.flatnonzero(sides == sides.min())
+        pairs = close_pairs(block["sketch"].tolist(), block["n"].to_numpy(), percent, left)
+        i, j, differ = pairs[np.lexsort((pairs[:, 1], pairs[:, 0], pairs[:, 2]))].T
+        across = parts[i] != parts[j]
+        i, j = i[across], j[across]
+        if spanning:
+            root = list(range(len(keys)))
+
+            def find(x: int) -> int:
+                while root[x] != x:
+                    root[x] = root[root[x]]
+                    x = root[x]
+                return x
+
+            chosen = []
+            for n, (x, y) in enumerate(zip(i.tolist(), j.tolist(), strict=True)):
+                x, y = find(x), find(y)
+                if x != y:
+                    root[x] = y
+                    chosen.append(n)
+            i, j = i[chosen], j[chosen]
+        a, b = np.minimum(keys[i], keys[j]), np.maximum(keys[i], keys[j])
+        return pd.DataFrame({"a": a, "b": b}).drop_duplicates()
+
+    return run
+
+
+def candidates(groups: DataFrame, sets: DataFrame, percent: int, spanning: bool) -> DataFrame:
+    """Distinct pairs to verify, from (entry, m, key, component).
+
+    A group of m members is dealt into chunks of ``MEMBERS``; every two chunks meet in one block.
+    """
+    chunks = F.ceil(F.col("m") / MEMBERS).cast("int")
+    own = F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int")
+    blocks = (
+        groups.withColumn("chunks", chunks)
+        .withColumn("side", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .withColumn("low", F.least("side", "other"))
+        .withColumn("high", F.greatest("side", "other"))
+        .join(sets.select("key", "sketch", F.size("tokens").cast("long").alias("n")), "key")
+    )
+    return (
+        blocks.select("entry", "low", "high", "side", "key", "component", "sketch", "n")
+        .groupBy("entry", "low", "high")
+        .applyInPandas(compare(percent, spanning), "a long, b long")
+        .distinct()
     )
-    found = texts.select("text").mapInPandas(run, "key long, tokens array<long>")
-    return found.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"])
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -144,53 +250,56 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return (
         pairs.join(sets.select(F.col("key").alias("b"), F.col("tokens").alias("y")), "b")
         .join(sets.select(F.col("key").alias("a"), F.col("tokens").alias("x")), "a")
-        .where(100 * F.least(F.size("x"), F.size("y")) >= percent * F.greatest(F.size("x"), F.size("y")))
         .where(100 * shared >= percent * union)
         .select("a", "b")
     )
 
 
+def groups_of(entries: DataFrame) -> DataFrame:
+    """(entry, m, key) of one entry for each distinct set of members."""
+    members = (
+        entries.groupBy("entry")
+        .agg(
+            F.count("*").alias("m"),
+            F.sum(F.xxhash64("key").cast("decimal(20)")).alias("sum"),
+            F.bit_xor(F.xxhash64("key", F.lit(1))).alias("xor"),
+        )
+    )
+    kept = members.groupBy("m", "sum", "xor").agg(F.min("entry").alias("entry")).select("entry", "m")
+    return entries.join(kept, "entry")
+
+
 def join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest id reachable by links, of every row."""
     ship(docs.sparkSession)
-    found = index(docs, words, percent)
-    keys = stored(found.select("doc_id", "key", "n_shingles"), "keys")
     entry = Window.partitionBy("entry")
-    posts = found.select(F.explode("entries").alias("entry"), "key")
-    groups = stored(
-        posts.withColumn("first", F.min("key").over(entry))
-        .withColumn("last", F.max("key").over(entry))
-        .where("first <> last")
-        .distinct(),
+    found = stored(
+        index(docs, words, percent)
+        .withColumn("shared", F.min("key").over(entry) != F.max("key").over(entry))
+        .where("shared or n_shingles is not null"),
         "entries",
     )
-    star = stored(
-        groups.where("first <> key").select(F.col("first").alias("a"), F.col("key").alias("b")).distinct(),
-        "star",
-    )
+    keys = found.where("n_shingles is not null").select("doc_id", "key", "n_shingles")
+    shared = found.where("shared and n_shingles is null").select("entry", "key").distinct()
+    groups = stored(groups_of(shared), "groups")
     named = keys.where("doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    in_pairs = star.select(F.col("a").alias("key")).union(star.select("b")).distinct()
-    sets = stored(sets_of(docs, named.join(in_pairs, "key", "left_semi"), words), "sets")
-    links = stored(linked(star, sets, percent), "links")
-    first = components(links)
-    # entries whose sets are not yet in one component: compare across components
-    own = F.coalesce("component", "key").alias("component")
-    placed = groups.select("entry", "key").join(first, F.col("key") == F.col("node"), "left").select("entry", "key", own)
+    wanted = named.join(groups.select("key").distinct(), "key", "left_semi")
+    sets = stored(sets_of(docs, wanted, words), "sets")
+    apart = groups.withColumn("component", F.col("key"))
+    tried = stored(candidates(apart, sets, percent, spanning=True), "pairs")
+    links = stored(linked(tried, sets, percent), "links")
+    placed = groups.join(components(links), F.col("key") == F.col("node"), "left").select(
+        "entry", "m", "key", F.coalesce("component", "key").alias("component")
+    )
     split = (
         placed.groupBy("entry")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .where("low <> high")
         .select("entry")
     )
-    open_ = stored(placed.join(split, "entry", "left_semi"), "open")
-    x, y = open_.alias("x"), open_.alias("y")
-    across = (
-        x.join(y, (F.col("x.entry") == F.col("y.entry")) & (F.col("x.component") < F.col("y.component")))
-        .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"))
-        .distinct()
-        .join(star, ["a", "b"], "left_anti")
-    )
-    more = stored(linked(across, sets, percent), "links")
+    open_ = placed.join(split, "entry", "left_semi")
+    left = stored(candidates(open_, sets, percent, spanning=False).join(tried, ["a", "b"], "left_anti"), "pairs")
+    more = stored(linked(left, sets, percent), "links")
     by_set = components(links.union(more)).select(F.col("node").alias("key"), "component")
     classes = keys.join(by_set, "key", "left").select(
         "doc_id", "key", "n_shingles", F.coalesce("component", "key").alias("component")
