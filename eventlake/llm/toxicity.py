@@ -241,7 +241,7 @@ def grams_of(unit: str) -> set[str]:
 
 def train_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 600):
     """Linear machine with squared hinge loss by gradient steps of a safe size."""
-    ones = np.concatenate([x, np.ones((len(x), 1))], axis=1)
+    ones = np.concatenate([x, np.ones((len(x), 1))], axis=1).astype(np.float64)
     w = np.zeros(ones.shape[1])
     ridge = 1e-3
     step = 1 / (2 * (weight[:, None] * ones * ones).sum() + ridge)
@@ -271,11 +271,11 @@ def fit(
     row = {d: i for i, d in enumerate(ids)}
     toxic = np.array([label[d] for d in ids])
     units_of: list[set[str]] = [set() for _ in ids]
-    seen: set[tuple] = set()
+    seen: set[int] = set()
     for d, sentence in sorted(sentences, key=lambda x: (label[x[0]], x)):
         for place in placed_tokens(sentence):
-            if place not in seen:
-                seen.add(place)
+            if (known := hash(place)) not in seen:
+                seen.add(known)
                 units_of[row[d]].update(windows(letters(place[0])))
     picked = choose_landmarks(units_of, toxic, most)
     if not picked:
@@ -288,8 +288,8 @@ def fit(
     root = vectors @ np.diag(np.maximum(values, 1e-4) ** -0.5) @ vectors.T
     units = sorted(set().union(*units_of))
     number = {u: i for i, u in enumerate(units)}
-    near = model.kernels(units).astype(np.float64)
-    phi, related = near @ root, near.any(axis=1)
+    near = model.kernels(units)
+    phi, related = (near @ root).astype(np.float32), near.any(axis=1)
     members = [np.array([number[u] for u in us], dtype=int) for us in units_of]
     of_toxic = [m for m, y in zip(members, toxic, strict=True) if y and len(m)]
     of_clean = [m for m, y in zip(members, toxic, strict=True) if not y and len(m)]
@@ -336,7 +336,7 @@ def held_out(key: str = "doc_id"):
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, sample: int = 1500, max_sentences: int = 300_000, most: int = 64
+    docs: DataFrame, labels: DataFrame, sample: int = 750, max_sentences: int = 150_000, most: int = 64
 ) -> Model:
     """Fit on labelled documents that are not held out."""
     known = (
