@@ -102,11 +102,11 @@ def set_key(tokens: np.ndarray) -> int:
 
 
 def sketch(tokens: np.ndarray) -> np.ndarray:
-    """Sums of token hashes, modulo 256, by class; a power of two of classes, one for 2 to 4 tokens.
+    """Sums of token hashes, modulo 256, by class; a power of two of classes, up to 2 for a token.
 
     Adding the halves gives the sketch with half as many classes.
     """
-    classes = max(16, 1 << (len(tokens) // 2).bit_length() - 1)
+    classes = max(16, 1 << (len(tokens) - 1).bit_length())
     h = mixed(tokens ^ MIX)
     own = (h % np.uint64(classes)).astype(np.int64)
     sums = np.bincount(own, weights=(h >> np.uint64(40) & np.uint64(255)).astype(float), minlength=classes)
@@ -183,43 +183,81 @@ def close_pairs(sketches: list[bytes], sizes: np.ndarray, percent: int, left: np
     return np.concatenate(found) if found else np.zeros((0, 3), dtype=np.int64)
 
 
+def spanning_pairs(i: np.ndarray, j: np.ndarray, members: int) -> list[int]:
+    """Of pairs, best first, those that connect members that the ones before do not."""
+    root = list(range(members))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    chosen = []
+    for n, (x, y) in enumerate(zip(i.tolist(), j.tolist(), strict=True)):
+        x, y = find(x), find(y)
+        if x != y:
+            root[x] = y
+            chosen.append(n)
+    return chosen
+
+
 def compare(percent: int, spanning: bool):
-    """Pairs (a, b) of a group's block whose sketches are close, across components only.
+    """Pairs (a, b) of blocks, which come sorted, whose sketches are close, across components only.
 
-    With ``spanning`` the closest pairs that connect the members, as if all were links.
+    With ``spanning`` the closest pairs that connect a block's members, as if all were links.
     """
 
-    def run(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.drop_duplicates("key")
-        keys, parts = block["key"].to_numpy(), block["component"].to_numpy()
-        sides = block["side"].to_numpy()
-        left = np.flatnonzero(sides == sides.min())
-        pairs = close_pairs(block["sketch"].tolist(), block["n"].to_numpy(), percent, left)
-        i, j, differ = pairs[np.lexsort((pairs[:, 1], pairs[:, 0], pairs[:, 2]))].T
-        across = parts[i] != parts[j]
-        i, j = i[across], j[across]
-        if spanning:
-            root = list(range(len(keys)))
-
-            def find(x: int) -> int:
-                while root[x] != x:
-                    root[x] = root[root[x]]
-                    x = root[x]
-                return x
-
-            chosen = []
-            for n, (x, y) in enumerate(zip(i.tolist(), j.tolist(), strict=True)):
-                x, y = find(x), find(y)
-                if x != y:
-                    root[x] = y
-                    chosen.append(n)
-            i, j = i[chosen], j[chosen]
-        a, b = np.minimum(keys[i], keys[j]), np.maximum(keys[i], keys[j])
-        return pd.DataFrame({"a": a, "b": b}).drop_duplicates()
+    def pairs_of(block: pd.DataFrame):
+        sketches, sizes = block["sketch"].tolist(), block["n"].to_numpy()
+        keys, parts, sides = (block[c].to_numpy() for c in ("key", "component", "side"))
+        heads = np.flatnonzero(block_starts(block))
+        for start, end in zip(heads, np.append(heads[1:], len(block)), strict=True):
+            if end - start < 2:
+                continue
+            own = slice(start, end)
+            left = np.flatnonzero(sides[own] == sides[own].min())
+            if end - start == 2:
+                left = left[:1]
+            pairs = close_pairs(sketches[own], sizes[own], percent, left)
+            i, j, differ = pairs.T
+            across = parts[own][i] != parts[own][j]
+            i, j, differ = i[across], j[across], differ[across]
+            if spanning and len(i) > 1:
+                best = np.argsort(differ, kind="stable")
+                chosen = best[spanning_pairs(i[best], j[best], end - start)]
+                i, j = i[chosen], j[chosen]
+            if len(i):
+                yield np.stack([keys[own][i], keys[own][j]], axis=1)
+
+    def run(batches):
+        rest = None
+        for batch in batches:
+            batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            last = int(np.flatnonzero(block_starts(batch))[-1]) if len(batch) else 0
+            rest = batch.iloc[last:]
+            yield sorted_pairs(pairs_of(batch.iloc[:last]))
+        if rest is not None:
+            yield sorted_pairs(pairs_of(rest))
 
     return run
 
 
+def block_starts(rows: pd.DataFrame) -> np.ndarray:
+    out = np.zeros(len(rows), dtype=bool)
+    out[:1] = True
+    for c in ("entry", "low", "high"):
+        x = rows[c].to_numpy()
+        out[1:] |= x[1:] != x[:-1]
+    return out
+
+
+def sorted_pairs(found) -> pd.DataFrame:
+    pairs = [*found]
+    ab = np.sort(np.concatenate(pairs), axis=1) if pairs else np.zeros((0, 2), np.int64)
+    return pd.DataFrame({"a": ab[:, 0], "b": ab[:, 1]}).drop_duplicates()
+
+
 def candidates(groups: DataFrame, sets: DataFrame, percent: int, spanning: bool) -> DataFrame:
     """Distinct pairs to verify, from (entry, m, key, component).
 
@@ -237,8 +275,9 @@ def candidates(groups: DataFrame, sets: DataFrame, percent: int, spanning: bool)
     )
     return (
         blocks.select("entry", "low", "high", "side", "key", "component", "sketch", "n")
-        .groupBy("entry", "low", "high")
-        .applyInPandas(compare(percent, spanning), "a long, b long")
+        .repartition("entry", "low", "high")
+        .sortWithinPartitions("entry", "low", "high")
+        .mapInPandas(compare(percent, spanning), "a long, b long")
         .distinct()
     )
 
