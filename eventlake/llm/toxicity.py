@@ -39,6 +39,8 @@ FEW = 12
 #: Kernel with some landmark that a unit needs to be a witness.
 SEEN = 0.3
 CACHED = 400_000
+#: Texts whose words are scored together.
+SLICE = 500
 #: Signs that stand for letters.
 LOOKALIKES = str.maketrans("0134578@$!", "oieastbasi")
 APART = re.compile(r"(?<!\S)(?:\S\s+){2,}\S(?!\S)")
@@ -372,27 +374,21 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             model.prepare()
         cache: dict[str, float] = {}
         for batch in batches:
+            texts = batch["text"].tolist()
             scores = []
-            for text in batch["text"]:
-                if not model.landmarks:
-                    scores.append(model.share)
-                    continue
-                found = tokens(text) if isinstance(text, str) else set()
-                new = [t for t in found if t not in cache]
-                scores.append((found, new))
-                cache.update(dict.fromkeys(new, 0.0))
-            if model.landmarks:
-                new = [t for _, fresh in scores for t in fresh]
-                for i in range(0, len(new), 200_000):
-                    part = new[i : i + 200_000]
-                    cache.update(zip(part, model.margins(part).tolist(), strict=True))
-                scores = [
-                    model.score([cache[t] for t in found])
-                    for found, _ in scores
-                ]
-                if len(cache) > CACHED:
-                    cache.clear()
-            yield batch.assign(toxic_score=scores)
+            for i in range(0, len(texts), SLICE):
+                scores += scores_of(texts[i : i + SLICE], cache)
+            yield batch.assign(toxic_score=np.array(scores, dtype=float))
+
+    def scores_of(texts: list, cache: dict[str, float]) -> list[float]:
+        if not model.landmarks:
+            return [model.share] * len(texts)
+        if len(cache) > CACHED:
+            cache.clear()
+        found = [tokens(t) if isinstance(t, str) else set() for t in texts]
+        new = sorted({t for ts in found for t in ts if t not in cache})
+        cache.update(zip(new, model.margins(new).tolist(), strict=True))
+        return [model.score([cache[t] for t in ts]) for ts in found]
 
     schema = StructType([*docs.schema.fields, StructField("toxic_score", DoubleType())])
     return docs.mapInPandas(run, schema)
