@@ -102,15 +102,23 @@ def set_key(tokens: np.ndarray) -> int:
 
 
 def sketch(tokens: np.ndarray) -> np.ndarray:
-    """Sums of token hashes, modulo 256, by class; a power of two of classes, up to 2 for a token.
+    """Sums of token hashes, modulo 16, by class, two to a byte; a power of two of classes, one to
+    two for each token.
 
     Adding the halves gives the sketch with half as many classes.
     """
     classes = max(16, 1 << (len(tokens) - 1).bit_length())
     h = mixed(tokens ^ MIX)
     own = (h % np.uint64(classes)).astype(np.int64)
-    sums = np.bincount(own, weights=(h >> np.uint64(40) & np.uint64(255)).astype(float), minlength=classes)
-    return sums.astype(np.int64).astype(np.uint8)
+    sums = np.bincount(own, weights=(h >> np.uint64(40) & np.uint64(15)).astype(float), minlength=classes)
+    sums = sums.astype(np.int64).astype(np.uint8) & 15
+    return sums[: classes // 2] | sums[classes // 2 :] << 4
+
+
+def unpacked(raw: bytes, width: int) -> np.ndarray:
+    """A sketch with ``width`` classes."""
+    both = np.frombuffer(raw, dtype=np.uint8)
+    return np.concatenate([both & 15, both >> 4]).reshape(-1, width).sum(axis=0, dtype=np.uint8) & 15
 
 
 def index(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -168,10 +176,10 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
 def close_pairs(sketches: list[bytes], sizes: np.ndarray, percent: int, left: np.ndarray):
     """(i, j, differing classes) of members that may reach the threshold, i on the left side."""
-    width = min(map(len, sketches))
+    width = 2 * min(map(len, sketches))
     rows = np.zeros((len(sketches), width), dtype=np.uint8)
     for i, s in enumerate(sketches):
-        rows[i] = np.frombuffer(s, dtype=np.uint8).reshape(-1, width).sum(axis=0, dtype=np.uint8)
+        rows[i] = unpacked(s, width)
     found = []
     for i in left:
         differ = np.count_nonzero(rows != rows[i], axis=1)
