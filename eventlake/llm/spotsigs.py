@@ -89,7 +89,8 @@ def next_rows(ids: DataFrame, width: int = 1000, levels: int = 3) -> DataFrame:
 
 
 def with_next(docs: DataFrame, per_bucket: int = 64) -> DataFrame:
-    """Every document with the text of the one after it by id, the first after the last.
+    """Every document with its signatures and the text and signatures of the one after it by id,
+    the first after the last.
 
     Neighbours meet in buckets of ``per_bucket`` consecutive ids, so the texts are shuffled once;
     only the last row of a bucket needs the first of a later one. Missing ids sort first.
@@ -100,7 +101,12 @@ def with_next(docs: DataFrame, per_bucket: int = 64) -> DataFrame:
         F.coalesce(F.floor(F.col("doc_id") / per_bucket), F.lit(-(1 << 60))).alias("bucket"),
     )
     order = Window.partitionBy("bucket").orderBy("doc_id", F.xxhash64("text"))
-    inner = rows.withColumn("after", F.lead("text").over(order))
+    # signatures are made after the shuffle, which then carries texts alone
+    inner = (
+        rows.repartition("bucket")
+        .withColumn("own", spots(F.col("text")))
+        .withColumns({"after": F.lead("text").over(order), "following": F.lead("own").over(order)})
+    )
     lowest = F.struct("doc_id", F.xxhash64("text").alias("tie"), "text")
     heads = stored(
         rows.groupBy("bucket").agg(F.min(lowest).getField("text").alias("head")), "heads"
@@ -113,7 +119,11 @@ def with_next(docs: DataFrame, per_bucket: int = 64) -> DataFrame:
         .select("bucket", F.coalesce("head", "first").alias("head"))
     )
     return inner.join(following, "bucket").select(
-        "doc_id", "text", F.coalesce("after", "head").alias("after")
+        "doc_id",
+        "text",
+        "own",
+        F.coalesce("after", "head").alias("after"),
+        F.coalesce("following", spots(F.col("head"))).alias("following"),
     )
 
 
@@ -129,9 +139,9 @@ def compare_edited(docs: DataFrame) -> DataFrame:
         "doc_id",
         n.cast("long").alias("n_chars"),
         F.sha2(edited, 256).alias("edited_sha256"),
-        spots(F.col("text")).alias("own"),
+        "own",
         spots(edited).alias("changed"),
-        spots(F.col("after")).alias("following"),
+        "following",
     )
     return rows.select(
         "doc_id",
