@@ -36,7 +36,9 @@ from eventlake.llm.work import ship, stored, whole
 WIDER = 1.63
 #: Members of a group that are compared in one task.
 MEMBERS = 1024
-CACHED = 400_000
+CACHED = 200_000
+#: Documents whose sets are in memory together.
+SLICE = 500
 ODD = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -121,19 +123,25 @@ def unpacked(raw: bytes, width: int) -> np.ndarray:
     return np.concatenate([both & 15, both >> 4]).reshape(-1, width).sum(axis=0, dtype=np.uint8) & 15
 
 
+def sliced(batches):
+    for batch in batches:
+        for i in range(0, len(batch), SLICE):
+            yield batch.iloc[i : i + SLICE]
+
+
 def index(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(entry, key, doc_id, n_shingles): index entries, where the last two are missing, and one
     row per document, whose entry stands for itself."""
 
     def run(batches):
         shingles = Shingles(words)
-        for batch in batches:
+        for batch in sliced(batches):
             sets = [shingles.of(t) for t in batch["text"]]
             keys = [set_key(s) for s in sets]
             fresh = {k: s for k, s in zip(keys, sets, strict=True) if len(s)}
             yield pd.DataFrame(
                 {
-                    "doc_id": batch["doc_id"],
+                    "doc_id": batch["doc_id"].to_numpy(),
                     "key": keys,
                     "n_shingles": [len(s) for s in sets],
                     "entries": [combinations(s, percent) if (s := fresh.pop(k, None)) is not None else [] for k in keys],
@@ -159,7 +167,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
     def run(batches):
         shingles = Shingles(words)
-        for batch in batches:
+        for batch in sliced(batches):
             found = [(k, shingles.of(t)) for k, t in zip(batch["key"], batch["text"], strict=True)]
             found = [(k, s) for k, s in found if set_key(s) == k]
             yield pd.DataFrame(

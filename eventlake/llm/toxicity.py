@@ -38,9 +38,9 @@ NEAR = 0.65
 FEW = 12
 #: Kernel with some landmark that a unit needs to be a witness.
 SEEN = 0.3
-CACHED = 400_000
+CACHED = 150_000
 #: Texts whose words are scored together.
-SLICE = 500
+SLICE = 300
 #: Signs that stand for letters.
 LOOKALIKES = str.maketrans("0134578@$!", "oieastbasi")
 APART = re.compile(r"(?<!\S)(?:\S\s+){2,}\S(?!\S)")
@@ -148,7 +148,7 @@ class Model:
         """
         out = np.zeros((len(units), len(self.landmarks)), dtype=np.float32)
         order = np.argsort([len(u) for u in units], kind="stable")
-        for part in np.array_split(order, max(1, len(order) // 50_000)):
+        for part in np.array_split(order, max(1, len(order) // 20_000)):
             if not len(part):
                 continue
             codes = padded([units[i] for i in part], max(4, len(units[part[-1]])))
