@@ -107,16 +107,16 @@ def with_next(docs: DataFrame, per_bucket: int = 64) -> DataFrame:
         .withColumn("own", spots(F.col("text")))
         .withColumns({"after": F.lead("text").over(order), "following": F.lead("own").over(order)})
     )
-    lowest = F.struct("doc_id", F.xxhash64("text").alias("tie"), "text")
+    first = F.struct("doc_id", F.xxhash64("text").alias("tie"), "text")
     heads = stored(
-        rows.groupBy("bucket").agg(F.min(lowest).getField("text").alias("head")), "heads"
+        rows.groupBy("bucket").agg(F.min(first).getField("text").alias("head")), "heads"
     )
-    links = next_rows(heads.select("bucket"))
-    first = heads.agg(F.min_by("head", "bucket").alias("first"))
+    lowest = heads.agg(F.min("bucket")).first()[0]
     following = (
-        links.join(heads.select(F.col("bucket").alias("next"), "head"), "next", "left")
-        .crossJoin(F.broadcast(first))  # one row
-        .select("bucket", F.coalesce("head", "first").alias("head"))
+        next_rows(heads.select("bucket"))
+        .withColumn("next", F.coalesce("next", F.lit(lowest)))
+        .join(heads.select(F.col("bucket").alias("next"), "head"), "next")
+        .select("bucket", "head")
     )
     return inner.join(following, "bucket").select(
         "doc_id",
