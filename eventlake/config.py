@@ -67,7 +67,7 @@ class PipelineConfig:
     topics: Topics = field(default_factory=Topics)
     kafka_options: Mapping[str, str] = field(default_factory=dict)
     starting_offsets: str = "earliest"
-    max_offsets_per_trigger: int | None = 50_000
+    max_offsets_per_trigger: int | None = None
     max_files_per_trigger: int | None = None
     max_bytes_per_trigger: str | None = None
     min_partitions: int | None = None

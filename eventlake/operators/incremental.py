@@ -7,7 +7,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType
 
 WATERMARK = "ingested_at"
 
@@ -40,21 +39,11 @@ def affected_dates(new_rows: DataFrame, column: str = "event_date") -> DataFrame
     return new_rows.select(column).distinct()
 
 
-def small(dates: DataFrame) -> DataFrame:
-    """Broadcast distinct dates, and nothing else.
-
-    Event times have a four-digit year, so there are at most 3.7 million distinct dates
-    (some 60 MB) however many rows there are. Any other type is left to the planner.
-    """
-    if len(dates.columns) == 1 and isinstance(dates.schema[0].dataType, DateType):
-        return F.broadcast(dates)
-    return dates
-
-
 def on_dates(df: DataFrame, dates: DataFrame, column: str = "event_date") -> DataFrame:
-    """All rows on the given distinct dates, without a shuffle of the rows. On a table
-    partitioned by the date only those partitions are read; NULL dates match nothing."""
-    return df.join(small(dates), column, "left_semi")
+    """All rows on the given distinct dates. The planner broadcasts them where they are few;
+    then only those partitions of a table partitioned by the date are read. NULL dates match
+    nothing."""
+    return df.join(dates, column, "left_semi")
 
 
 def rows_per_date(df: DataFrame, column: str = "event_date") -> DataFrame:
@@ -98,18 +87,34 @@ def partition_values(df: DataFrame, columns: Sequence[str]) -> list[Row]:
 
 def in_partitions(columns: Sequence[str], partitions: Sequence[Row]) -> Column:
     """Predicate on partition columns that the planner resolves before listing files.
-    NULL is a partition like any other."""
-    column, rest = columns[0], columns[1:]
-    if not rest:
-        values = [p[column] for p in partitions]
-        known = [v for v in values if v is not None]
-        condition = F.col(column).isin(known) if known else F.lit(False)
-        return condition | F.col(column).isNull() if len(known) < len(values) else condition
-    by_value: dict = {}
-    for p in partitions:
-        by_value.setdefault(p[column], []).append(p)
-    terms = [
-        F.col(column).eqNullSafe(F.lit(value)) & in_partitions(rest, group)
-        for value, group in by_value.items()
-    ]
-    return reduce(lambda a, b: a | b, terms, F.lit(False))
+    NULL is a partition like any other.
+
+    Lists of values, whose depth does not grow with the number of partitions: one for each
+    column, and for several columns one of their combinations as text.
+    """
+    if not partitions:
+        return F.lit(False)
+    each = [in_values(c, {p[c] for p in partitions}) for c in columns]
+    if len(columns) > 1:
+        each.append(joined(columns).isin([joined_values([p[c] for c in columns]) for p in partitions]))
+    return reduce(lambda a, b: a & b, each)
+
+
+def in_values(column: str, values: set) -> Column:
+    known = [v for v in values if v is not None]
+    condition = F.col(column).isin(known) if known else F.lit(False)
+    return condition | F.col(column).isNull() if None in values else condition
+
+
+def joined(columns: Sequence[str]) -> Column:
+    """The columns as one text, each with its length before it."""
+    texts = [F.col(c).cast("string") for c in columns]
+    return F.concat(
+        *[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    )
+
+
+def joined_values(values: list) -> str:
+    """As ``joined``, for values that the driver has."""
+    texts = [str(v).lower() if isinstance(v, bool) else str(v) for v in values]
+    return "".join("-" if v is None else f"{len(t)}:{t}" for v, t in zip(values, texts, strict=True))

@@ -8,6 +8,7 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Iterable, Sequence
+from dataclasses import replace
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
@@ -48,6 +49,8 @@ def ingest_archive(
     """
     use_utc(spark)
     lines = archive.parse_lines(archive.read_archive(spark, paths))
+    if limit == 0:
+        return dict.fromkeys(("source_lines", "malformed_lines", "messages", "raw_messages"), 0)
     seen = Observation("lines")
     lines = lines.observe(
         seen,
@@ -312,8 +315,11 @@ def run_all(
     stream: bool = False,
 ) -> DataFrame:
     """One hourly run: the given hour, or the previous one, from archive to star schema.
-    ``stream`` is that of ``run_silver``."""
+    ``stream`` is that of ``run_silver``. Unless the configuration names a run date it is the
+    given day, so a run that is caught up later looks back from its own date."""
     day, hour = archive.resolve_hour(day, hour)
+    if cfg.run_date is None:
+        cfg = replace(cfg, run_date=str(day))
     ingest_archive(spark, cfg, archive.archive_path(archive_base, day, hour), limit)
     run_bronze(spark, cfg)
     run_silver(spark, cfg, stream)

@@ -184,6 +184,7 @@ def test_kafka_options():
         message_source="kafka",
         kafka_options={"kafka.bootstrap.servers": "h:1", "kafka.security.protocol": "SSL"},
         min_partitions=400,
+        max_offsets_per_trigger=50_000,
     )
     assert messages.kafka_read_options(cfg) == {
         "kafka.bootstrap.servers": "h:1",
