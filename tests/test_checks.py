@@ -20,7 +20,7 @@ def con():
     return duckdb_connection(str(DATA))
 
 
-@pytest.mark.parametrize("name", list(entry_points.oracle_sql()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     assert compare(spark, con, str(DATA), name) is None
 
