@@ -311,3 +311,15 @@ def test_pipeline_stages_keep_clean_documents(spark):
     rest = docs.where(~F.col("doc_id").isin(*toxic))
     first = {r.doc_id for r in jaccard_join.join(rest).where("doc_id = component_id").collect()}
     assert kept == first
+
+
+def test_top_k_query_equals_its_sql(spark):
+    import duckdb
+
+    from eventlake.llm.queries import ORACLES, op10_top_k
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
+    want = con.sql(f"SELECT query_id, rank, vec_id, score FROM ({ORACLES['op10_top_k']})").fetchall()
+    got = op10_top_k(spark, SF).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(want) == sorted(tuple(r) for r in got) and len(got) == 50
