@@ -87,10 +87,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op10_top_k": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS q
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS q
             FROM embeddings
             WHERE embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ),
         scored AS (
             SELECT a.vec_id AS query_id, b.vec_id,
