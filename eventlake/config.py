@@ -103,6 +103,14 @@ class PipelineConfig:
     def events(self) -> Table:
         return self._table(self.silver_db, "events", ["event_date", "event_type"], "event_id")
 
+    @property
+    def rejects(self) -> Table:
+        return self._table(self.silver_db, "rejects", key="event_id")
+
+    @property
+    def progress(self) -> Table:
+        return self._table(self.silver_db, "progress")
+
     @property
     def silver_view(self) -> str:
         return f"{self.schema_name(self.silver_db)}.silver_events"
@@ -132,6 +140,8 @@ class PipelineConfig:
         return (
             self.raw_events,
             self.events,
+            self.rejects,
+            self.progress,
             self.dim_repos,
             self.dim_users,
             self.fact_events,

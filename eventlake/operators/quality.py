@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 logger = logging.getLogger(__name__)
@@ -66,10 +66,19 @@ class Unique:
 Rule = RequiredColumns | NotNull | Check | Unique
 
 
-def _violations(rule: NotNull | Check):
+def _violates(rule: NotNull | Check) -> Column:
     if isinstance(rule, NotNull):
-        return F.count_if(F.col(rule.column).isNull())
-    return F.count_if(~F.coalesce(F.expr(rule.condition), F.lit(False)))
+        return F.col(rule.column).isNull()
+    return ~F.coalesce(F.expr(rule.condition), F.lit(False))
+
+
+def _violations(rule: NotNull | Check) -> Column:
+    return F.count_if(_violates(rule))
+
+
+def broken(rules: Sequence[NotNull | Check]) -> Column:
+    """The labels of the row rules that a row violates, as an array."""
+    return F.array_compact(F.array(*[F.when(_violates(r), F.lit(r.label)) for r in rules]))
 
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -113,11 +113,13 @@ def run_silver(
     compact_min_files: int | None = 8,
 ) -> DataFrame:
     """Load the raw rows of the lookback window, or all with ``full_refresh``, into the
-    clean table. Returns the number of events per type.
+    clean table. Returns the number of events per type. The window starts at the date the last
+    load has reached if that is earlier, so an outage leaves no gap. Events that break a rule
+    are stored in ``rejects`` and raise once, after the good ones are stored.
 
     With ``stream`` it loads the raw rows that no earlier ``stream`` run has seen instead,
     so that each raw row is parsed once and not again in every run of its window.
-    ``audit_table`` checks the whole table afterwards; the increment is always checked.
+    ``audit_table`` checks the whole table afterwards.
     ``compact_min_files=None`` leaves the files as they are.
     """
     if stream and full_refresh:
@@ -136,7 +138,8 @@ def run_silver(
     else:
         raw = catalog.read(spark, cfg.raw_events)
         if not full_refresh:
-            raw = silver.in_lookback(raw, cfg.run_date, cfg.lookback_days)
+            reached = silver.cleaned_to(spark, cfg)
+            raw = silver.in_lookback(raw, cfg.run_date, cfg.lookback_days, reached)
         note(silver.load_silver(spark, cfg, raw, mode, fixed_partitions))
     if touched:
         compaction.compact(spark, cfg.events, list(touched), compact_min_files)

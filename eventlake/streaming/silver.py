@@ -23,7 +23,8 @@ def start_silver(
     """Clean each new part of the raw table and insert the events not there yet.
 
     A batch that is run again after a failure finds its rows present and adds nothing. A
-    batch that violates a rule stops the stream there until it runs with ``mode="warn"``.
+    batch with events that break a rule stops the stream once, after its good events and its
+    rejects are stored; the next run goes on. With ``mode="warn"`` it logs instead.
     ``loaded`` is called with each cleaned batch.
     """
 

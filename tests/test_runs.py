@@ -120,7 +120,7 @@ def test_silver_first_write_wins_across_runs(spark, lake):
     assert parts == {"event_date=2024-01-15/event_type=WatchEvent"}
 
 
-def test_bad_increment_stops_before_the_write(spark, lake):
+def test_bad_events_are_kept_apart(spark, lake):
     send(spark, lake, event("1"))
     run_bronze(spark, lake)
     run_silver(spark, lake)
@@ -128,9 +128,30 @@ def test_bad_increment_stops_before_the_write(spark, lake):
     run_bronze(spark, lake)
     with pytest.raises(DataQualityError, match="event_timestamp"):
         run_silver(spark, lake)
-    assert spark.table(lake.events.name).count() == 1
+    assert {r.event_id for r in catalog.read(spark, lake.events).collect()} == {"1", "2"}
+    run_silver(spark, lake)
+    assert {r.event_id for r in catalog.read(spark, lake.events).collect()} == {"1", "2"}
+    rejected = catalog.read(spark, lake.rejects).collect()
+    assert [(r.event_id, r.rules) for r in rejected] == [
+        ("3", ["not_null(event_timestamp)", "check(event_timestamp)"])
+    ]
+    send(spark, lake, event("4", at="2019-01-01T00:00:00Z"), event("5"), batch="b3")
+    run_bronze(spark, lake)
     run_silver(spark, lake, mode="warn")
-    assert spark.table(lake.events.name).count() == 3
+    assert catalog.read(spark, lake.events).count() == 3
+    assert catalog.read(spark, lake.rejects).count() == 2
+
+
+def test_outage_longer_than_the_window(spark, lake):
+    """Raw rows that no run has cleaned are read however far the run date has moved on."""
+    send(spark, lake, event("1"))
+    run_bronze(spark, lake)
+    run_silver(spark, lake)
+    send(spark, lake, event("2"), batch="b2")
+    run_bronze(spark, lake)
+    run_silver(spark, replace(lake, run_date="2999-01-01"))
+    assert {r.event_id for r in catalog.read(spark, lake.events).collect()} == {"1", "2"}
+    assert catalog.read(spark, lake.progress).count() == 1
 
 
 def test_dropped_rows_are_counted(spark, lake, caplog):
@@ -184,8 +205,11 @@ def test_run_silver_as_a_stream(spark, lake):
     with pytest.raises(StreamingQueryException, match="DATA QUALITY FAILURE"):
         run_silver(spark, lake, stream=True)
     assert spark.table(lake.events.name).count() == 3
-    run_silver(spark, lake, stream=True, mode="warn")
+    send(spark, lake, event("5"), batch="b4")
+    run_bronze(spark, lake)
+    run_silver(spark, lake, stream=True)
     assert spark.table(lake.events.name).count() == 4
+    assert [r.event_id for r in catalog.read(spark, lake.rejects).collect()] == ["4"]
     with pytest.raises(ValueError):
         run_silver(spark, lake, stream=True, full_refresh=True)
 
