@@ -10,10 +10,12 @@ those near a class's upper end in the next class too.
 
 Equal sets are one entry, and index entries with the same members are one group. Sets of a group
 are compared by sketches (sums of token hashes by class, of which a pair that reaches the
-threshold can differ in d at most). The closest pairs that span a group are verified token by
-token; then pairs of a group whose sets are still in different components are, too. So a group of
-near copies costs a link for each member and not each pair, and no link between different sets
-that would join two components is lost. Groups too large for a task are compared in blocks.
+threshold can differ in d at most), in three rounds. First each set meets the others of its largest
+group only, and the closest pairs that span them are verified token by token. Then the closest
+pairs that span the components of every group are; then, in groups with further close pairs, all
+pairs of sets that are still in different components. So a group of near copies costs a link for each member and not each pair,
+and no link between different sets that would join two components is lost. Groups too large for a
+task are compared in blocks.
 
 A missing or blank text has an empty set and is its own component. Rows with equal ids are compared
 by their sets like any others. A row without an id is in the component of rows with an equal set, and
@@ -199,9 +201,9 @@ def close_pairs(sketches: list[bytes], sizes: np.ndarray, percent: int, left: np
     return np.concatenate(found) if found else np.zeros((0, 3), dtype=np.int64)
 
 
-def spanning_pairs(i: np.ndarray, j: np.ndarray, members: int) -> list[int]:
-    """Of pairs, best first, those that connect members that the ones before do not."""
-    root = list(range(members))
+def spanning_pairs(i: np.ndarray, j: np.ndarray, parts: int) -> list[int]:
+    """Of pairs of parts, best first, those that connect what the ones before do not."""
+    root = list(range(parts))
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -221,30 +223,52 @@ def spanning_pairs(i: np.ndarray, j: np.ndarray, members: int) -> list[int]:
 def compare(percent: int, spanning: bool):
     """Pairs (a, b) of blocks, which come sorted, whose sketches are close, across components only.
 
-    With ``spanning`` the closest pairs that connect a block's members, as if all were links.
+    With ``spanning`` the closest pairs that connect a block's components, as if all were links,
+    and a row (entry, missing) for a block with further pairs.
+    Otherwise all pairs, each in the first of the entries that both members have.
     """
 
-    def pairs_of(block: pd.DataFrame):
+    def first_shared(block: pd.DataFrame, own: slice, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        here = block["entry"].to_numpy()[own.start]
+        before = [frozenset(e[e < here].tolist()) for e in block["entries"].to_numpy()[own]]
+        return np.array([before[x].isdisjoint(before[y]) for x, y in zip(i, j, strict=True)], dtype=bool)
+
+    def pairs_of(block: pd.DataFrame) -> pd.DataFrame:
+        pairs_found, further, entries = [], [], block["entry"].to_numpy()
         sketches, sizes = block["sketch"].tolist(), block["n"].to_numpy()
         keys, parts, sides = (block[c].to_numpy() for c in ("key", "component", "side"))
+        two = (block["low"] != block["high"]).to_numpy()
         heads = np.flatnonzero(block_starts(block))
         for start, end in zip(heads, np.append(heads[1:], len(block)), strict=True):
             if end - start < 2:
                 continue
-            own = slice(start, end)
-            left = np.flatnonzero(sides[own] == sides[own].min())
-            if end - start == 2:
-                left = left[:1]
-            pairs = close_pairs(sketches[own], sizes[own], percent, left)
+            own = slice(int(start), int(end))
+            side = sides[own]
+            pairs = close_pairs(sketches[own], sizes[own], percent, np.flatnonzero(side == side.min()))
             i, j, differ = pairs.T
-            across = parts[own][i] != parts[own][j]
-            i, j, differ = i[across], j[across], differ[across]
+            # Members of one chunk meet in the block of that chunk with itself.
+            once = (side[i] != side[j]) if two[start] else (i < j)
+            kept = once & (parts[own][i] != parts[own][j])
+            i, j, differ = i[kept], j[kept], differ[kept]
+            if not spanning:
+                kept = first_shared(block, own, i, j)
+                i, j, differ = i[kept], j[kept], differ[kept]
             if spanning and len(i) > 1:
                 best = np.argsort(differ, kind="stable")
-                chosen = best[spanning_pairs(i[best], j[best], end - start)]
+                names, part = np.unique(parts[own], return_inverse=True)
+                chosen = best[spanning_pairs(part[i[best]], part[j[best]], len(names))]
+                if len(chosen) < len(i):
+                    further.append(entries[start])
                 i, j = i[chosen], j[chosen]
             if len(i):
-                yield np.stack([keys[own][i], keys[own][j]], axis=1)
+                pairs_found.append(np.stack([keys[own][i], keys[own][j]], axis=1))
+        ab = np.sort(np.concatenate(pairs_found), axis=1) if pairs_found else np.zeros((0, 2), np.int64)
+        return pd.DataFrame(
+            {
+                "a": np.concatenate([ab[:, 0], np.array(further, dtype=np.int64)]),
+                "b": pd.array([*ab[:, 1].tolist(), *[None] * len(further)], dtype="Int64"),
+            }
+        ).drop_duplicates()
 
     def run(batches):
         rest = None
@@ -252,9 +276,9 @@ def compare(percent: int, spanning: bool):
             batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
             last = int(np.flatnonzero(block_starts(batch))[-1]) if len(batch) else 0
             rest = batch.iloc[last:]
-            yield sorted_pairs(pairs_of(batch.iloc[:last]))
+            yield pairs_of(batch.iloc[:last])
         if rest is not None:
-            yield sorted_pairs(pairs_of(rest))
+            yield pairs_of(rest)
 
     return run
 
@@ -268,29 +292,30 @@ def block_starts(rows: pd.DataFrame) -> np.ndarray:
     return out
 
 
-def sorted_pairs(found) -> pd.DataFrame:
-    pairs = [*found]
-    ab = np.sort(np.concatenate(pairs), axis=1) if pairs else np.zeros((0, 2), np.int64)
-    return pd.DataFrame({"a": ab[:, 0], "b": ab[:, 1]}).drop_duplicates()
-
-
 def candidates(groups: DataFrame, sets: DataFrame, percent: int, spanning: bool) -> DataFrame:
-    """Distinct pairs to verify, from (entry, m, key, component).
+    """Distinct pairs to verify, and with ``spanning`` the groups with further pairs as (entry,
+    missing), from (entry, m, key, component).
 
     A group of m members is dealt into chunks of ``MEMBERS``; every two chunks meet in one block.
+    A set is in as many groups as it has classes at most, so its list of entries is short.
     """
     chunks = F.ceil(F.col("m") / MEMBERS).cast("int")
     own = F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int")
+    columns = ["entry", "low", "high", "side", "key", "component", "sketch", "n"]
+    described = sets.select("key", "sketch", F.size("tokens").cast("long").alias("n"))
+    if not spanning:
+        of_key = groups.groupBy("key").agg(F.collect_set("entry").alias("entries"))
+        described, columns = described.join(of_key, "key"), [*columns, "entries"]
     blocks = (
         groups.withColumn("chunks", chunks)
         .withColumn("side", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .withColumn("low", F.least("side", "other"))
         .withColumn("high", F.greatest("side", "other"))
-        .join(sets.select("key", "sketch", F.size("tokens").cast("long").alias("n")), "key")
+        .join(described, "key")
     )
     return (
-        blocks.select("entry", "low", "high", "side", "key", "component", "sketch", "n")
+        blocks.select(*columns)
         .repartition("entry", "low", "high")
         .sortWithinPartitions("entry", "low", "high")
         .mapInPandas(compare(percent, spanning), "a long, b long")
@@ -311,7 +336,8 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def groups_of(entries: DataFrame) -> DataFrame:
-    """(entry, m, key) of one entry for each distinct set of members."""
+    """(entry, m, key, largest) of one entry for each distinct set of members; ``largest`` is true
+    in one group of each key."""
     members = (
         entries.groupBy("entry")
         .agg(
@@ -321,7 +347,23 @@ def groups_of(entries: DataFrame) -> DataFrame:
         )
     )
     kept = members.groupBy("m", "sum", "xor").agg(F.min("entry").alias("entry")).select("entry", "m")
-    return entries.join(kept, "entry")
+    size = F.struct("m", "entry")
+    largest = F.max(size).over(Window.partitionBy("key")) == size
+    return entries.join(kept, "entry").withColumn("largest", largest)
+
+
+def apart(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """The groups whose members are in several components of the links, with the component."""
+    placed = groups.join(components(links), F.col("key") == F.col("node"), "left").select(
+        "entry", "m", "key", F.coalesce("component", "key").alias("component")
+    )
+    split = (
+        placed.groupBy("entry")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low <> high")
+        .select("entry")
+    )
+    return placed.join(split, "entry", "left_semi")
 
 
 def join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -340,22 +382,18 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     named = keys.where("doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     wanted = named.join(groups.select("key").distinct(), "key", "left_semi")
     sets = stored(sets_of(docs, wanted, words), "sets")
-    apart = groups.withColumn("component", F.col("key"))
-    tried = stored(candidates(apart, sets, percent, spanning=True), "pairs")
+    first = groups.where("largest").withColumn("component", F.col("key"))
+    tried = stored(candidates(first, sets, percent, spanning=True), "pairs")
     links = stored(linked(tried, sets, percent), "links")
-    placed = groups.join(components(links), F.col("key") == F.col("node"), "left").select(
-        "entry", "m", "key", F.coalesce("component", "key").alias("component")
-    )
-    split = (
-        placed.groupBy("entry")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low <> high")
-        .select("entry")
-    )
-    open_ = placed.join(split, "entry", "left_semi")
-    left = stored(candidates(open_, sets, percent, spanning=False).join(tried, ["a", "b"], "left_anti"), "pairs")
-    more = stored(linked(left, sets, percent), "links")
-    by_set = components(links.union(more)).select(F.col("node").alias("key"), "component")
+    near = candidates(apart(groups, links), sets, percent, spanning=True)
+    near = stored(near.join(tried, ["a", "b"], "left_anti"), "pairs")
+    links = links.union(stored(linked(near, sets, percent), "links"))
+    further = near.where("b is null").select(F.col("a").alias("entry"))
+    left = apart(groups.join(further, "entry", "left_semi"), links)
+    rest = candidates(left, sets, percent, spanning=False)
+    rest = stored(rest.join(tried.union(near), ["a", "b"], "left_anti"), "pairs")
+    links = links.union(stored(linked(rest, sets, percent), "links"))
+    by_set = components(links).select(F.col("node").alias("key"), "component")
     classes = keys.join(by_set, "key", "left").select(
         "doc_id", "key", "n_shingles", F.coalesce("component", "key").alias("component")
     )
