@@ -8,6 +8,11 @@ where it holds one; unrelated documents that merely share a passage or common sh
 agree on a whole combination. d depends on the sizes, so sets are indexed by size class, and
 those near a class's upper end in the next class too.
 
+The class that is equal may be empty in both sets, which gives no common entry. Then the tokens that
+differ touch every class that is not empty, so only sets with at most as many such classes as tokens
+that can differ are concerned: short ones, and few of the others. They are indexed by their prefix
+as well, the n - ceil(t n) + 1 smallest tokens one by one, which pairs that reach the threshold share.
+
 Equal sets are one entry, and index entries with the same members are one group. Sets of a group
 are compared by sketches (sums of token hashes by class, of which a pair that reaches the
 threshold can differ in d at most), in three rounds. First each set meets the others of its largest
@@ -83,7 +88,8 @@ def size_classes(percent: int, most: int = 1 << 40) -> list[int]:
 
 
 def combinations(tokens: np.ndarray, percent: int) -> np.ndarray:
-    """Index entries of a set: one for each class of tokens that is not empty."""
+    """Index entries of a set: one for each class of tokens that is not empty, and one for each token
+    of the prefix where a partner may agree in empty classes only."""
     n, ends = len(tokens), size_classes(percent)
     at = int(np.searchsorted(ends, n, side="right")) - 1
     entries = []
@@ -98,6 +104,10 @@ def combinations(tokens: np.ndarray, percent: int) -> np.ndarray:
         starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
         total = np.add.reduceat(mixed(tokens[order] ^ ODD), starts)
         entries.append(mixed(total + own[starts] * ODD + np.uint64(c)))
+        most = (100 - percent) * (n + min(100 * n // percent, largest)) // (100 + percent)
+        if len(starts) <= most:
+            prefix = tokens[: n - -(-percent * n // 100) + 1]
+            entries.append(mixed(mixed(prefix ^ MIX) * ODD + np.uint64(c)))
     return np.concatenate(entries).view(np.int64)
 
 

@@ -167,6 +167,32 @@ def test_components_of_near_copies(spark, words, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(s), least[i]) for i, s in sets.items()}
 
 
+@pytest.mark.parametrize("words, percent", [(4, 85), (5, 80)])
+def test_short_texts_that_reach_the_threshold_share_an_entry(words, percent):
+    r = random.Random(11)
+    near, shingles = 0, jaccard_join.Shingles(words)
+    for _ in range(100):
+        vocabulary = [f"w{r.getrandbits(40)}" for _ in range(40)]
+        for n in range(1, 31):
+            a = vocabulary[:n]
+            at = r.randrange(n)
+            for b in ([*a, "more"], ["more", *a], a[:at] + a[at + 1 :], [*a[:at], "more", *a[at + 1 :]]):
+                x, y = (shingles.of(" ".join(t)) for t in (a, b))
+                shared = len(np.intersect1d(x, y))
+                if len(y) and 100 * shared >= percent * (len(x) + len(y) - shared):
+                    near += 1
+                    entries = (jaccard_join.combinations(s, percent) for s in (x, y))
+                    assert len(np.intersect1d(*entries)), (a, b)
+    assert near > 1000
+
+
+def test_copies_of_short_texts_with_a_last_word_are_linked(spark):
+    texts = [" ".join(f"w{i}x{j}" for j in range(8)) for i in range(150)]
+    rows = [(2 * i + k, t + " more" * k) for i, t in enumerate(texts) for k in range(2)]
+    got = jaccard_join.join(frame(spark, rows), 5, 80).collect()
+    assert all(r.component_id == r.doc_id // 2 * 2 for r in got) and len(got) == 300
+
+
 def test_large_groups_of_near_copies_are_compared_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "MEMBERS", 4)
     words = [f"w{i}" for i in range(200)]
