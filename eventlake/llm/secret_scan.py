@@ -37,6 +37,15 @@ class Rule:
     base: bool = False
 
 
+#: A key from its BEGIN to its END line. Without an END before the next BEGIN: its header lines, lines
+#: of base64 and a last shorter one. Line ends may be escaped, as in JSON, or be spaces.
+KEY_BLOCK = (
+    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
+    r"(?:(?:(?!-----BEGIN )[\s\S])*?-----END [A-Z ]{0,40}PRIVATE KEY-----"
+    r"|(?:(?:[\s>]|\\[rn])+[A-Z][A-Za-z-]{0,40}: [^\r\n\\]*)*"
+    r"(?:(?:(?:[\s>]|\\[rn])+[A-Za-z0-9+/]{16,}={0,2})+"
+    r"(?:[\x20\t]*(?:\r?\n|(?:\\r)?\\n)[\x20\t>]*[A-Za-z0-9+/]{1,15}={0,2}(?=[\x20\t]*(?:[\r\n\\\"']|\Z)))?)?)"
+)
 RULES = (
     Rule(
         "assign",
@@ -47,7 +56,7 @@ RULES = (
     ),
     Rule("access", r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20, base=True),
     Rule("hex", r"[0-9a-f]+", lambda m: len(m[0]) >= 24, base=True),
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("private_key", KEY_BLOCK),
     Rule("forge_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
