@@ -2,7 +2,8 @@
 
 Keys are sampled with a chance in proportion to their record's size, quantiles of the sample
 become range boundaries, and records are range-partitioned by key. Ranges that turn out overfull
-are subdivided by quantiles of their own keys until each is small enough for one task. Shards are
+are subdivided by quantiles of their own keys until each is small enough for one task; one that has
+a single key is subdivided by its texts' hashes, and one of equal records by their salt. Shards are
 consecutive stretches of the key order with near-equal bytes: a record goes to the shard its
 first byte falls in, so a shard's bytes differ from the mean by less than one record at each end.
 
@@ -22,7 +23,7 @@ FAN = 64
 
 
 def records(docs: DataFrame) -> DataFrame:
-    """Key, size and checksum of every record."""
+    """Key, size and checksum of every record, with a salt that tells equal records apart."""
     text = whole()
     return docs.select(
         "doc_id",
@@ -30,6 +31,7 @@ def records(docs: DataFrame) -> DataFrame:
         F.xxhash64(text).alias("tie"),
         (F.octet_length(text) + 8).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
+        F.monotonically_increasing_id().alias("salt"),
     )
 
 
@@ -50,12 +52,12 @@ def below(bounds: list[int], key: Column) -> Column:
 def sampled_splitters(rows: DataFrame, total: int, ranges: int, per_range: int) -> list[int]:
     """Boundaries of ``ranges`` ranges with near-equal bytes, from a size-weighted sample.
 
-    A record is in the sample when a hash of its key falls below its size over ``step`` bytes, and
-    stands for ``step`` bytes, or for its own size where that is larger. The sample has about
-    ``ranges * per_range`` rows whatever the table's size.
+    A record is in the sample when a hash of its key and salt falls below its size over ``step``
+    bytes, and stands for ``step`` bytes, or for its own size where that is larger. Equal records are
+    drawn one by one, so the sample has about ``ranges * per_range`` rows whatever the table has.
     """
     step = max(1, total // (ranges * per_range))
-    drawn = F.pmod(F.xxhash64("key", "tie"), F.lit(step)) < F.col("size")
+    drawn = F.pmod(F.xxhash64("key", "tie", "salt"), F.lit(step)) < F.col("size")
     sample = rows.where(drawn).select("key", F.greatest("size", F.lit(step)).alias("weight"))
     bounds, seen, drawn_total = [], 0, 0
     picked = sorted(sample.collect())
@@ -70,36 +72,53 @@ def sampled_splitters(rows: DataFrame, total: int, ranges: int, per_range: int)
 def range_partition(
     rows: DataFrame, total: int, ranges: int, per_range: int, max_rows: int
 ) -> DataFrame:
-    """Adds ``range``, increasing with the key; overfull ranges are subdivided."""
+    """Adds ``range``, increasing with (key, tie, salt); overfull ranges are subdivided.
+
+    A range is cut by the first of the three in which its rows differ. Rows equal to a cut are a range
+    of their own, so every round takes at least one value out of the range, and each value that a
+    64th of its rows have. The salt is unique, so no range with two rows stays undivided.
+    """
     bounds = sampled_splitters(rows, total, ranges, per_range)
     rows = rows.withColumn("range", below(bounds, F.col("key")).cast("long"))
     while True:
         sizes = rows.groupBy("range").agg(
             F.count("*").alias("n"),
             F.sum("size").alias("bytes"),
-            F.min("key").alias("low"),
-            F.max("key").alias("high"),
+            (F.min("key") < F.max("key")).alias("by_key"),
+            (F.min("tie") < F.max("tie")).alias("by_tie"),
         )
         crowded = (F.col("n") > max_rows) | (
             (F.col("bytes") > 4 * total // ranges) & (F.col("n") > 4 * FAN)
         )
-        overfull = sizes.where(crowded & (F.col("low") < F.col("high"))).select("range")
+        overfull = sizes.where(crowded & (F.col("n") > 1)).select("range", "by_key", "by_tie")
         if overfull.isEmpty():
             return rows
+        value = F.when(F.col("by_key"), F.col("key")).when(F.col("by_tie"), F.col("tie")).otherwise(F.col("salt"))
         cuts = (
-            rows.join(overfull, "range", "left_semi")
-            .groupBy("range")
+            rows.join(overfull, "range")
+            .groupBy("range", "by_key", "by_tie")
             .agg(
                 F.array_distinct(
-                    F.percentile_approx("key", [i / FAN for i in range(1, FAN)], 100 * FAN)
+                    F.percentile_approx(value, [i / FAN for i in range(1, FAN)], 100 * FAN)
                 ).alias("cuts")
             )
         )
-        inside = F.size(F.filter(F.coalesce("cuts", F.array()), lambda c: c < F.col("key")))
-        rows = stored(
+        # ranges of one round: below the first cut, at it, between it and the second, ...
+        at_or_below = F.size(F.filter("cuts", lambda c: c <= F.col("value")))
+        inside = F.size(F.filter("cuts", lambda c: c < F.col("value"))) + at_or_below
+        # numbered anew in each round, so that numbers grow with the ranges and not with the rounds
+        parts = stored(
             rows.join(cuts, "range", "left")
-            .withColumn("range", F.col("range") * FAN + inside)
-            .drop("cuts"),
+            .withColumn("value", value)
+            .withColumn("part", F.when(F.col("cuts").isNull(), 0).otherwise(inside))
+            .drop("cuts", "by_key", "by_tie", "value"),
+            "parts",
+        )
+        numbers = parts.select("range", "part").distinct().withColumn(
+            "number", F.row_number().over(Window.orderBy("range", "part")).cast("long") - 1
+        )
+        rows = stored(
+            parts.join(numbers, ["range", "part"]).drop("range", "part").withColumnRenamed("number", "range"),
             "ranges",
         )
 
@@ -125,7 +144,7 @@ def shard(
             F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("bytes_before"),
         )
     )
-    within = Window.partitionBy("range").orderBy("key", "tie")
+    within = Window.partitionBy("range").orderBy("key", "tie", "salt")
     running = within.rowsBetween(Window.unboundedPreceding, -1)
     ordered = (
         placed.withColumn("row", F.row_number().over(within) - 1)

@@ -101,6 +101,22 @@ def test_shards_are_even_gapless_and_whole(spark):
     assert [i for _, i in ends] == sorted(i for _, i in ends)
 
 
+@pytest.mark.parametrize("hot", [0, 150, 10**6])
+def test_shards_of_a_repeated_record_are_even(spark, hot):
+    rows = [(i, f"text {i}" + "x" * (i % 40)) for i in range(1, 1000)] + [(hot, "hot " * 5)] * 600
+    got = sharding.shard(frame(spark, rows), shards=6, ranges_per_shard=4, per_range=2, max_rows=40).collect()
+    assert sorted(r.doc_id for r in got) == sorted(i for i, _ in rows)
+    total, slots = collections.Counter(), collections.defaultdict(list)
+    for r in got:
+        total[r.shard] += r.size
+        slots[r.shard].append((r.slot, r.doc_id))
+    mean = sum(len(t) + 8 for _, t in rows) / 6
+    assert len(total) == 6 and max(abs(n - mean) for n in total.values()) <= 60
+    assert all(sorted(n for n, _ in s) == list(range(len(s))) for s in slots.values())
+    placed = [i for s in sorted(slots) for _, i in sorted(slots[s])]
+    assert placed == sorted(placed)
+
+
 def test_suffix_arrays_equal_sorting():
     r = random.Random(2)
     for _ in range(40):
