@@ -5,8 +5,9 @@ boundaries that minimise padding, where a document is padded to its bucket's bou
 bucket, batches are formed under a token budget: as many documents as fit when padded, at least
 one. A document longer than the budget is a batch of its own; nothing is cut or dropped.
 
-Length is the number of words. A missing or empty text has length 0 and is packed like any other.
-Rows with equal ids are kept apart. An empty table gives an empty result; other columns stay out.
+Whole documents are packed: the result is stored by bucket, in order of batches, with every
+column of the input. Length is the number of words. A missing or empty text has length 0 and is packed like any
+other, and stays missing. Rows with equal ids are kept apart. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 
 from eventlake.llm.work import numbered, stored, whole
 
+PLACES = ("n_tokens", "bucket", "padded", "batch", "slot")
+
 WORD = r"[^\x20\x09-\x0D]+"
 FINE = 4096
 
@@ -77,30 +80,28 @@ def boundaries(bins: list[tuple[int, int, int]], buckets: int) -> list[int]:
 
 
 def pack(docs: DataFrame, buckets: int = 16, budget: int = 16_384) -> DataFrame:
-    """Bucket, batch and place of every document, with its padded length."""
+    """The documents with their columns and ``PLACES``, stored by bucket and batch.
+
+    ``docs`` should be a stored table: it is read for the lengths and again for the documents.
+    A column of ``docs`` that is named like one of ``PLACES`` is replaced.
+    """
+    columns = [c for c in docs.columns if c not in PLACES]
     text = whole()
-    lengths = stored(
-        docs.select(
-            "doc_id",
-            F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_tokens"),
-            F.xxhash64(text).alias("tie"),
-        ),
-        "lengths",
-    )
+    lengths = docs.select(*columns, F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_tokens"))
     uppers = boundaries(histogram(lengths), buckets)
     upper = F.array(*[F.lit(u).cast("long") for u in uppers]).cast("array<bigint>")
-    bucket = F.size(F.filter(upper, lambda u: u < F.col("n_tokens")))
-    placed = stored(
-        lengths.withColumn("bucket", bucket).withColumn("padded", F.get(upper, F.col("bucket"))),
-        "buckets",
-    )
-    rows = numbered(placed, "bucket", F.struct("doc_id", "tie"), "row")
+    # a sum, as a function of an array would count the words again for each of its elements
+    bucket = sum(((F.col("n_tokens") > u).cast("int") for u in uppers), F.lit(0))
+    placed = lengths.withColumn("bucket", bucket).withColumn("padded", F.get(upper, F.col("bucket")))
+    rows = numbered(placed, "bucket", F.struct("doc_id", F.xxhash64(text)), "row")
     per_batch = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest(F.lit(1), F.col("padded"))))
-    return rows.select(
-        "doc_id",
-        "n_tokens",
-        "bucket",
-        "padded",
-        F.floor(F.col("row") / per_batch).alias("batch"),
-        F.pmod(F.col("row"), per_batch).alias("slot"),
+    batched = rows.withColumn("batch", F.floor(F.col("row") / per_batch)).withColumn(
+        "slot", F.pmod(F.col("row"), per_batch)
     )
+    packed = batched.select(*columns, *PLACES).sortWithinPartitions("bucket", "batch", "slot")
+    return stored(packed, "packed", by=["bucket"])
+
+
+def digest(packed: DataFrame) -> DataFrame:
+    """Bucket, batch and place of every packed document, with its padded length."""
+    return packed.select("doc_id", *PLACES)

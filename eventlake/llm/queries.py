@@ -32,7 +32,7 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard(table(spark, sf_dir, "documents"))
+    return sharding.digest(sharding.shard(table(spark, sf_dir, "documents")))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,8 @@ consecutive stretches of the key order with near-equal bytes: a record goes to t
 first byte falls in, so a shard's bytes differ from the mean by less than one record at each end.
 
 A missing text has size 8; a missing id sorts first; rows with equal ids are ordered by their
-text's hash. An empty table gives an empty result. Other columns of the input are not read.
+text's hash. An empty table gives an empty result. Whole records are placed: they are moved to their
+range once, with every column, and stored in the order of their shard.
 """
 
 from __future__ import annotations
@@ -20,13 +21,15 @@ from eventlake.llm.work import stored, whole
 
 LOWEST = -(1 << 63)
 FAN = 64
+PLACES = ("size", "text_crc32", "shard", "slot")
 
 
 def records(docs: DataFrame) -> DataFrame:
-    """Key, size and checksum of every record, with a salt that tells equal records apart."""
+    """The records (struct ``record``) with their key, size and checksum, and a salt that tells equal
+    ones apart."""
     text = whole()
     return docs.select(
-        "doc_id",
+        F.struct(*docs.columns).alias("record"),
         F.coalesce("doc_id", F.lit(LOWEST)).alias("key"),
         F.xxhash64(text).alias("tie"),
         (F.octet_length(text) + 8).cast("long").alias("size"),
@@ -130,8 +133,13 @@ def shard(
     per_range: int = 32,
     max_rows: int = 200_000,
 ) -> DataFrame:
-    """Put every record into one of ``shards`` key ranges with near-equal bytes."""
-    rows = stored(records(docs), "records")
+    """The records with their columns and ``PLACES``, stored in a folder for each shard.
+
+    Each goes to one of ``shards`` key ranges with near-equal bytes. A column of ``docs`` that is
+    named like one of ``PLACES`` is replaced.
+    """
+    columns = [c for c in docs.columns if c not in PLACES]
+    rows = stored(records(docs.select(*columns)), "records", codec="zstd")
     total = rows.agg(F.sum("size")).first()[0] or 0
     placed = range_partition(rows, total, shards * ranges_per_shard, per_range, max_rows)
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
@@ -156,15 +164,29 @@ def shard(
             "shard", F.expr(f"cast(cast(first_byte as decimal(38)) * {shards} div {max(1, total)} as int)")
         )
     )
-    ordered = stored(ordered.select("doc_id", "size", "text_crc32", "shard", "row"), "placed")
-    # one row per shard, so its size is bounded by the number of shards
-    firsts = F.broadcast(ordered.groupBy("shard").agg(F.min("row").alias("first")))
-    return ordered.join(firsts, "shard").select(
+    # of the columns without the record; one row per shard, so its size is bounded by their number
+    found = ordered.groupBy("shard").agg(F.min("row").alias("first")).collect()
+    firsts = F.broadcast(
+        docs.sparkSession.createDataFrame([(r.shard, r.first) for r in found], "shard int, first long")
+    )
+    whole_records = ordered.join(firsts, "shard").select(
+        *[F.col("record")[c].alias(c) for c in columns],
+        "size",
+        "text_crc32",
+        "shard",
+        (F.col("row") - F.col("first")).alias("slot"),
+    )
+    return stored(whole_records.sortWithinPartitions("shard", "slot"), "shards", by=["shard"])
+
+
+def digest(placed: DataFrame) -> DataFrame:
+    """Checksum, size and place of every record of the shards."""
+    return placed.select(
         "doc_id",
         "size",
         "text_crc32",
         F.lit("bytes").alias("law"),
         "shard",
-        (F.col("row") - F.col("first")).alias("slot"),
+        "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )

@@ -12,12 +12,15 @@ from pyspark.sql import functions as F
 from eventlake.session import fresh_dir
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: cuts the lineage, survives executors."""
+def stored(df: DataFrame, label: str, by: list[str] | None = None, codec: str = "snappy") -> DataFrame:
+    """``df`` written to the shared folder and read again: cuts the lineage, survives executors.
+
+    With ``by`` each value of those columns has a folder of its own.
+    """
     spark = df.sparkSession
     path = fresh_dir(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*by or []).parquet(path, compression=codec)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 _shipped: set[str] = set()

@@ -318,6 +318,27 @@ def test_packing_is_optimal_and_gapless(spark):
         assert len(members) == 1 or sum(p for _, p in members) <= 500
 
 
+def test_packing_and_sharding_place_whole_documents(spark):
+    rows = [(i, t, f"source {i}") for i, t in corpus(7)] + [(900, "again", "other"), (None, "no id", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = collections.Counter(rows)
+    for placed, folder in ((packing.pack(docs, 4, 500), "bucket"), (sharding.shard(docs, 5), "shard")):
+        assert collections.Counter((r.doc_id, r.text, r.source) for r in placed.collect()) == want
+        assert all(f"/{folder}=" in f for f in placed.inputFiles())
+    assert packing.pack(docs.limit(0)).count() == sharding.shard(docs.limit(0)).count() == 0
+
+
+def test_pipeline_returns_the_cleaned_texts(spark, tmp_path):
+    import corpus_pipeline
+
+    key = "-----BEGIN PRIVATE KEY-----\n" + "\n".join(["A1b2" * 16] * 3) + "\n-----END PRIVATE KEY-----"
+    rows = [*corpus(13), (950, f"river {key} stone")]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r.doc_id: r.text for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert got[950] == "river [private_key] stone" and got[0] == rows[0][1]
+
+
 def test_bpe_equals_the_library(spark):
     tiktoken = pytest.importorskip("tiktoken")
     tokenizers = pytest.importorskip("public_tokenizers")
