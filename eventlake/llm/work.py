@@ -49,6 +49,11 @@ def whole(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
+def words_of(text: Column) -> Column:
+    """The words of a text: what stands between blanks, tabs and line ends."""
+    return F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
+
+
 def numbered(
     df: DataFrame, group: str, key: Column, name: str, rows_per_chunk: int = 50_000
 ) -> DataFrame:
