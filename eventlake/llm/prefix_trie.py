@@ -6,7 +6,8 @@ trie is peeled from its greatest depth: at each depth the conversations that end
 with the nodes that came up from below, which gives the nodes of the depth with all counts of
 their subtrees; then every node loses its last turn and goes up. A turn takes part once, at its own
 depth, and a node's rows are reduced before they are shuffled, so a first turn that very many
-conversations share costs a row per task. There are as many rounds as the deepest conversation has turns.
+conversations share costs a row per task. Neighbouring depths with at most ``THIN`` turns in all, as at the
+ends of a few very long conversations, are peeled in one task; every other depth is a round of its own.
 
 Turns are ordered by number, missing ones first, and turns with equal numbers by a digest of their
 contents. A missing role or text counts as empty. Rows without a conversation id belong to no
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +32,8 @@ FAMILY = 20
 HEADS = 4
 #: Conversation ids that are joined into one piece of text.
 PIECE = 4096
+#: Depths with fewer turns than this in all are peeled in one task.
+THIN = 20_000
 KEY = ["depth", "k1", "k2"]
 
 
@@ -98,60 +102,92 @@ def prefixes(turns: DataFrame) -> DataFrame:
         *KEY,
         *[F.col(f"k{n}").bitwiseXOR(F.col(f"m{n}")).alias(f"p{n}") for n in (1, 2)],
         "words",
-        F.when(F.col("depth") == F.col("length"), F.col("conv_id")).alias("ended"),
+        "conv_id",
+        (F.col("depth") == F.col("length")).alias("ended"),
+    )
+
+
+NODE = [*KEY, "p1", "p2", "words", "conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens"]
+NODE_SCHEMA = ", ".join(f"{c} long" for c in NODE)
+#: What a missing number is in a row that is merged: it never wins the largest or the smallest.
+LEAST, MOST = -(2**63), 2**63 - 1
+
+
+def bands(sizes: dict[int, int]) -> list[tuple[int, int]]:
+    """Depths as (lowest, highest), deepest first. Neighbours with ``THIN`` turns at most in all are one
+    band; the root is a band of its own, for any number of nodes comes up to it."""
+    out, total = [], 0
+    for depth in range(max(sizes), 0, -1):
+        size = sizes.get(depth, 0)
+        if out and total + size <= THIN:
+            out[-1], total = (depth, out[-1][1]), total + size
+        else:
+            out.append((depth, depth))
+            total = size
+    return [*out, (0, 0)]
+
+
+def merged(rows: DataFrame) -> DataFrame:
+    """The nodes of one depth, from conversations that end there and nodes that came up."""
+    nodes = rows.groupBy(*KEY).agg(
+        *[F.max(c).alias(c) for c in ("p1", "p2", "words")],
+        F.min("conv_id").alias("conv_id"),
+        *[F.sum(c).alias(c) for c in ("n_convs", "n_children", "n_leaves", "saved_tokens")],
+    )
+    return nodes.withColumns(
+        {
+            "n_leaves": F.when(F.col("n_children") == 0, 1).otherwise(F.col("n_leaves")).cast("long"),
+            "saved_tokens": F.col("saved_tokens") + (F.col("n_convs") - 1) * F.col("words"),
+        }
     )
 
 
+def merged_band(batches):
+    """The same for all depths of a band, which is small, in one task."""
+    rows = pa.Table.from_batches(batches).to_pandas() if (batches := list(batches)) else None
+    if rows is None or rows.empty:
+        return
+    how = {c: "max" for c in ("p1", "p2", "words")} | {"conv_id": "min"}
+    how |= {c: "sum" for c in ("n_convs", "n_children", "n_leaves", "saved_tokens")}
+    by_depth = dict(iter(rows.groupby("depth")))
+    risen = None
+    for depth in range(max(by_depth), min(by_depth) - 1, -1):
+        here = [x for x in (by_depth.get(depth), risen) if x is not None]
+        nodes = pd.concat(here).groupby(KEY, as_index=False).agg(how)
+        nodes["n_leaves"] = nodes["n_leaves"].where(nodes["n_children"] > 0, 1)
+        nodes["saved_tokens"] += (nodes["n_convs"] - 1) * nodes["words"]
+        yield pa.RecordBatch.from_pandas(nodes[NODE], preserve_index=False)
+        risen = nodes.assign(depth=depth - 1, k1=nodes["p1"], k2=nodes["p2"], p1=LEAST, p2=LEAST, words=0, n_children=1)
+
+
+def stripped(nodes: DataFrame, depth: int) -> DataFrame:
+    """The nodes of a depth without their last turn, as rows of the depth above."""
+    gone = {"depth": F.lit(depth - 1), "k1": F.col("p1"), "k2": F.col("p2"), "p1": F.lit(LEAST), "p2": F.lit(LEAST)}
+    gone |= {"words": F.lit(0), "n_children": F.lit(1)}
+    return nodes.where(F.col("depth") == depth).select(*[gone.get(c, F.col(c)).cast("long").alias(c) for c in NODE])
+
+
 def peel(steps: DataFrame) -> DataFrame:
     """One row per node: its key, the key without its last turn, and the counts of its subtree."""
     spark = steps.sparkSession
-    # One row.
-    deepest = steps.agg(F.max("depth")).first()[0]
-    if deepest is None:
-        deepest = 0
+    # Only a conversation that ends here is counted here; the others come up with their nodes.
+    numbers = {"conv_id": F.when(F.col("ended"), F.col("conv_id")).otherwise(MOST), "n_convs": F.col("ended")}
+    numbers |= {c: F.lit(0) for c in ("n_children", "n_leaves", "saved_tokens")}
+    rows = steps.select(*[numbers.get(c, F.col(c)).cast("long").alias(c) for c in NODE])
+    # One number for each depth.
+    sizes = {r["depth"]: r["count"] for r in steps.groupBy("depth").count().collect()}
+    if not sizes:
+        return spark.createDataFrame([], NODE_SCHEMA)
     folder = fresh_dir(spark, "trie-nodes")
     risen = None
-    for depth in range(deepest, -1, -1):
-        # Only a conversation that ends here is counted here; the others come up with their nodes.
-        rows = steps.where(F.col("depth") == depth).select(
-            "k1",
-            "k2",
-            "p1",
-            "p2",
-            "words",
-            F.col("ended").alias("conv_id"),
-            F.when(F.col("ended").isNotNull(), 1).otherwise(0).cast("long").alias("n_convs"),
-            *[F.lit(0).cast("long").alias(c) for c in ("n_children", "n_leaves", "saved_tokens")],
-        )
+    for low, high in bands(sizes):
+        band = rows.where(F.col("depth").between(low, high))
         if risen is not None:
-            rows = rows.unionByName(risen)
-        nodes = rows.groupBy("k1", "k2").agg(
-            *[F.max(c).alias(c) for c in ("p1", "p2", "words")],
-            F.min("conv_id").alias("conv_id"),
-            *[F.sum(c).alias(c) for c in ("n_convs", "n_children", "n_leaves", "saved_tokens")],
-        )
-        nodes = nodes.withColumns(
-            {
-                "n_leaves": F.when(F.col("n_children") == 0, 1).otherwise(F.col("n_leaves")).cast("long"),
-                "saved_tokens": F.col("saved_tokens") + (F.col("n_convs") - 1) * F.coalesce("words", F.lit(0)),
-            }
-        )
-        nodes.write.parquet(f"{folder}/depth={depth}")
-        risen = (
-            spark.read.schema(nodes.schema)
-            .parquet(f"{folder}/depth={depth}")
-            .select(
-                F.col("p1").alias("k1"),
-                F.col("p2").alias("k2"),
-                *[F.lit(None).cast("long").alias(c) for c in ("p1", "p2", "words")],
-                "conv_id",
-                "n_convs",
-                F.lit(1).cast("long").alias("n_children"),
-                "n_leaves",
-                "saved_tokens",
-            )
-        )
-    return spark.read.schema(f"{nodes.schema.toDDL()}, depth long").parquet(folder)
+            band = band.unionByName(risen)
+        nodes = merged(band) if low == high else band.repartition(1).mapInArrow(merged_band, NODE_SCHEMA)
+        nodes.write.parquet(f"{folder}/low={low}")
+        risen = stripped(spark.read.schema(NODE_SCHEMA).parquet(f"{folder}/low={low}"), low)
+    return spark.read.schema(f"{NODE_SCHEMA}, low long").parquet(folder).select(*NODE)
 
 
 def joined_ids(batches):
@@ -163,7 +199,7 @@ def joined_ids(batches):
     key, ids = None, []
     for batch in batches:
         out = []
-        for *k, conv_id in zip(*[batch.column(c).to_pylist() for c in (*KEY, "ended")], strict=True):
+        for *k, conv_id in zip(*[batch.column(c).to_pylist() for c in (*KEY, "conv_id")], strict=True):
             if ids and (k != key or len(ids) == PIECE):
                 out.append(piece(key, ids))
                 ids = []
@@ -208,8 +244,8 @@ def ends_digest(steps: DataFrame) -> DataFrame:
     A digest is made in order, so the last step sees all of a node's ids, but as text of many ids a
     row and one row after the other; the ids are sorted and joined in ranges that split any node.
     """
-    ids = [*KEY, "ended"]
-    ended = steps.where("ended is not null").select(*ids)
+    ids = [*KEY, "conv_id"]
+    ended = steps.where("ended").select(*ids)
     pieces = (
         ended.repartitionByRange(*ids)
         .sortWithinPartitions(*ids)
@@ -226,7 +262,9 @@ def trie(conversations: DataFrame) -> DataFrame:
     """One row per distinct prefix of the rebuilt conversations, the empty one included."""
     ship(conversations.sparkSession)
     turns = stored(ordered_turns(conversations), "trie-turns")
-    steps = stored(prefixes(rebuilt(turns)), "trie-steps")
+    # In order of depth, so that a round reads the files and row groups of its own depth.
+    steps = prefixes(rebuilt(turns)).repartitionByRange("depth", "conv_id").sortWithinPartitions("depth")
+    steps = stored(steps, "trie-steps")
     nodes = peel(steps)
     parents = nodes.select(
         (F.col("depth") + 1).alias("depth"),

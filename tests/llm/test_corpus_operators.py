@@ -160,6 +160,7 @@ def conversation_rows():
             continue  # families without their first conversation
         for turn in range(r.randint(1, 6)):
             rows.append((c, turn, r.choice(["user", "assistant"]), r.choice(["hi there", "yes", "", "a b\tc d"])))
+    rows += [(c, t, "user", f"turn {t if c < 404 or t < 30 else -t}") for c in (401, 402, 404) for t in range(40 + c % 3)]
     rows += [(200 + i, t, "user", "same words each time") for i in range(30) for t in range(3)]
     rows += [(301, None, None, None), (301, None, "user", "b"), (301, 2, "user", None), (301, 2, "x", "y"), rows[5], rows[5]]
     rows += [(None, 0, "user", "nobody"), (None, None, None, None), (340, 3, "", "late"), (341, 0, "r:x", "y"), (342, 0, "r", "x:y")]
@@ -167,8 +168,9 @@ def conversation_rows():
     return rows
 
 
-def test_trie_equals_grouping_of_all_prefixes(spark, monkeypatch):
-    monkeypatch.setattr(prefix_trie, "PIECE", 3)
+@pytest.mark.parametrize("thin", [0, 70, 10**6])
+def test_trie_equals_grouping_of_all_prefixes(spark, monkeypatch, thin):
+    monkeypatch.setattr(prefix_trie, "THIN", thin)
     rows = conversation_rows()
     table = spark.createDataFrame([(*x, 1, "x") for x in rows], "conv_id long, turn long, role string, text string, depth int, k1 string")
     got = prefix_trie.trie(table).collect()
@@ -187,7 +189,7 @@ def test_pieces_of_ids_give_the_digest_of_all_ids(spark, monkeypatch):
     monkeypatch.setattr(prefix_trie, "PIECE", 4)
     rows = [(1, 5, 6, i) for i in range(11)] + [(1, 5, 7, 3), (2, 0, 0, 9), (2, 0, 0, 10)]
     batches = [
-        pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*part, strict=True)], [*prefix_trie.KEY, "ended"])
+        pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*part, strict=True)], [*prefix_trie.KEY, "conv_id"])
         for part in (rows[:2], rows[2:9], rows[9:])
     ]
     got = {}
