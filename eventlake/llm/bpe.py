@@ -22,7 +22,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-from eventlake.llm.work import ship, whole
+from eventlake.llm.work import beside, ship, whole
 
 NONE = np.int32(2**31 - 1)
 CELLS = 1 << 21
@@ -222,7 +222,6 @@ def tokenize(
                     done.append((ids if keep_ids else None, len(ids), digest, back))
             out = pd.DataFrame(
                 {
-                    key: batch[key],
                     "n_tokens": [d[1] for d in done],
                     "ids_sha256": [d[2] for d in done],
                     "decoded_sha256": [d[3] for d in done],
@@ -232,7 +231,5 @@ def tokenize(
                 out["ids"] = [d[0].astype("int64") for d in done]
             yield out
 
-    kind = dict(docs.dtypes)[key]
-    schema = f"{key} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    rows = docs.select(key, whole().alias("text"))
-    return rows.mapInPandas(run, schema + (", ids array<long>" if keep_ids else ""))
+    made = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<long>" if keep_ids else "")
+    return beside(docs.select(key, whole().alias("text")), run, ["text"], [key], made)

@@ -34,16 +34,16 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.llm.graph import components
-from eventlake.llm.work import ship, stored, whole
+from eventlake.llm.work import beside, ship, stored, whole
 
 WIDER = 1.63
 #: Members of a group that are compared in one task.
 MEMBERS = 1024
-CACHED = 200_000
 #: Documents whose sets are in memory together.
 SLICE = 500
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -55,27 +55,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(27))
 
 
-class Shingles:
-    """Distinct shingle hashes of texts; word hashes are cached up to a bound."""
-
-    def __init__(self, words: int):
-        self.words, self.cache = words, {}
-
-    def of(self, text: str) -> np.ndarray:
-        found = text.encode().lower().split()
-        if not found:
-            return np.zeros(0, np.uint64)
-        cache = self.cache
-        if len(cache) > CACHED:
-            cache.clear()
-        for w in {w for w in found if w not in cache}:
-            cache[w] = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
-        hashes = np.fromiter(map(cache.__getitem__, found), np.uint64, len(found))
-        n = min(self.words, len(found))
-        out = np.full(len(found) - n + 1, n, dtype=np.uint64)
-        for i in range(n):
-            out = mixed(out * ODD + hashes[i : len(hashes) - n + 1 + i])
-        return np.unique(out)
+def shingles(text: str, words: int) -> np.ndarray:
+    """The distinct shingle hashes of a text."""
+    found = text.encode().lower().split()
+    if not found:
+        return np.zeros(0, np.uint64)
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
+    n = min(words, len(found))
+    out = np.full(len(found) - n + 1, n, dtype=np.uint64)
+    for i in range(n):
+        out = mixed(out * ODD + hashes[i : len(hashes) - n + 1 + i])
+    return np.unique(out)
 
 
 @lru_cache(maxsize=8)
@@ -135,25 +125,17 @@ def unpacked(raw: bytes, width: int) -> np.ndarray:
     return np.concatenate([both & 15, both >> 4]).reshape(-1, width).sum(axis=0, dtype=np.uint8) & 15
 
 
-def sliced(batches):
-    for batch in batches:
-        for i in range(0, len(batch), SLICE):
-            yield batch.iloc[i : i + SLICE]
-
-
 def index(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(entry, key, doc_id, n_shingles): index entries, where the last two are missing, and one
     row per document, whose entry stands for itself."""
 
     def run(batches):
-        shingles = Shingles(words)
-        for batch in sliced(batches):
-            sets = [shingles.of(t) for t in batch["text"]]
+        for batch in batches:
+            sets = [shingles(t, words) for t in batch["text"]]
             keys = [set_key(s) for s in sets]
             fresh = {k: s for k, s in zip(keys, sets, strict=True) if len(s)}
             yield pd.DataFrame(
                 {
-                    "doc_id": batch["doc_id"].to_numpy(),
                     "key": keys,
                     "n_shingles": [len(s) for s in sets],
                     "entries": [combinations(s, percent) if (s := fresh.pop(k, None)) is not None else [] for k in keys],
@@ -161,9 +143,9 @@ def index(docs: DataFrame, words: int, percent: int) -> DataFrame:
             )
 
     kind = dict(docs.dtypes)["doc_id"]
-    found = docs.select("doc_id", whole().alias("text")).mapInPandas(
-        run, f"doc_id {kind}, key long, n_shingles long, entries array<long>"
-    )
+    texts = docs.select("doc_id", whole().alias("text"))
+    made = "key long, n_shingles long, entries array<long>"
+    found = beside(texts, run, ["text"], ["doc_id"], made, rows=SLICE)
     own = F.struct(F.xxhash64("doc_id", "key").alias("entry"), "doc_id", "n_shingles")
     entries = F.transform(
         "entries",
@@ -178,36 +160,47 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(key, tokens, sketch) of the documents named in ``wanted`` (key, doc_id)."""
 
     def run(batches):
-        shingles = Shingles(words)
-        for batch in sliced(batches):
-            found = [(k, shingles.of(t)) for k, t in zip(batch["key"], batch["text"], strict=True)]
-            found = [(k, s) for k, s in found if set_key(s) == k]
-            yield pd.DataFrame(
-                {
-                    "key": [k for k, _ in found],
-                    "tokens": [s.view(np.int64) for _, s in found],
-                    "sketch": [sketch(s).tobytes() for _, s in found],
-                }
-            )
+        for batch in batches:
+            for at in range(0, len(batch), SLICE):
+                part = batch.iloc[at : at + SLICE]
+                found = [(k, shingles(t, words)) for k, t in zip(part["key"], part["text"], strict=True)]
+                found = [(k, s) for k, s in found if set_key(s) == k]
+                yield pd.DataFrame(
+                    {
+                        "key": [k for k, _ in found],
+                        "tokens": pd.Series([s.view(np.int64) for _, s in found], dtype=object),
+                        "sketch": pd.Series([sketch(s).tobytes() for _, s in found], dtype=object),
+                    }
+                )
 
     texts = docs.select("doc_id", whole().alias("text")).join(wanted.select("doc_id", "key"), "doc_id")
     return texts.select("key", "text").mapInPandas(run, "key long, tokens array<long>, sketch binary")
 
 
-def close_pairs(sketches: list[bytes], sizes: np.ndarray, percent: int, left: np.ndarray):
-    """(i, j, differing classes) of members that may reach the threshold, i on the left side."""
+def close_pairs(
+    sketches: list[bytes], sizes: np.ndarray, percent: int, sides: np.ndarray, parts: np.ndarray, two: bool
+) -> np.ndarray:
+    """(i, j, differing classes) of members in different ``parts`` that may reach the threshold.
+
+    With ``two`` sides each pair spans them; members of one side meet in the block of that side with itself.
+    Members are taken by size, so that one meets only those that are not too large for it.
+    """
     width = 2 * min(map(len, sketches))
+    order = np.argsort(sizes, kind="stable")
+    sizes, sides, parts = sizes[order], sides[order], parts[order]
     rows = np.zeros((len(sketches), width), dtype=np.uint8)
-    for i, s in enumerate(sketches):
-        rows[i] = unpacked(s, width)
+    for row, i in enumerate(order.tolist()):
+        rows[row] = unpacked(sketches[i], width)
+    ends = np.searchsorted(sizes, 100 * sizes // percent, side="right")
     found = []
-    for i in left:
-        differ = np.count_nonzero(rows != rows[i], axis=1)
-        most = (sizes + sizes[i]) * (100 - percent) // (100 + percent)
-        near = np.minimum(sizes, sizes[i]) * 100 >= percent * np.maximum(sizes, sizes[i])
-        j = np.flatnonzero(near & (differ <= most))
-        j = j[j != i]
-        found.append(np.stack([np.full(len(j), i), j, differ[j]], axis=1))
+    for i, end in enumerate(ends.tolist()):
+        j = i + 1 + np.flatnonzero(parts[i + 1 : end] != parts[i])
+        if two:
+            j = j[sides[j] != sides[i]]
+        if len(j):
+            differ = np.count_nonzero(rows[j] != rows[i], axis=1)
+            near = differ <= (sizes[j] + sizes[i]) * (100 - percent) // (100 + percent)
+            found.append(np.stack([np.full(near.sum(), order[i]), order[j[near]], differ[near]], axis=1))
     return np.concatenate(found) if found else np.zeros((0, 3), dtype=np.int64)
 
 
@@ -238,6 +231,8 @@ def compare(percent: int, spanning: bool):
     """
 
     def pairs_of(block: pd.DataFrame) -> pd.DataFrame:
+        if block.empty:
+            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": pd.array([], dtype="Int64")})
         pairs_found, further, entries = [], [], block["entry"].to_numpy()
         sketches, sizes = block["sketch"].tolist(), block["n"].to_numpy()
         keys, parts, sides = (block[c].to_numpy() for c in ("key", "component", "side"))
@@ -247,13 +242,9 @@ def compare(percent: int, spanning: bool):
             if end - start < 2:
                 continue
             own = slice(int(start), int(end))
-            side = sides[own]
-            pairs = close_pairs(sketches[own], sizes[own], percent, np.flatnonzero(side == side.min()))
-            i, j, differ = pairs.T
-            # Members of one chunk meet in the block of that chunk with itself.
-            once = (side[i] != side[j]) if two[start] else (i < j)
-            kept = once & (parts[own][i] != parts[own][j])
-            i, j, differ = i[kept], j[kept], differ[kept]
+            i, j, differ = close_pairs(
+                sketches[own], sizes[own], percent, sides[own], parts[own], bool(two[start])
+            ).T
             if spanning and len(i) > 1:
                 best = np.argsort(differ, kind="stable")
                 names, part = np.unique(parts[own], return_inverse=True)
@@ -361,8 +352,8 @@ def apart(groups: DataFrame, links: DataFrame) -> DataFrame:
     return placed.join(split, "entry", "left_semi")
 
 
-def join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles and component_id, the smallest id reachable by links, of every row."""
+def classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(doc_id, key, n_shingles, component) of every row; a component is named by one of its sets."""
     ship(docs.sparkSession)
     entry = Window.partitionBy("entry")
     found = stored(
@@ -389,23 +380,59 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     rest = stored(rest.join(tried.union(near), ["a", "b"], "left_anti"), "pairs")
     links = links.union(stored(linked(rest, sets, percent), "links"))
     by_set = components(links).select(F.col("node").alias("key"), "component")
-    classes = keys.join(by_set, "key", "left").select(
+    return keys.join(by_set, "key", "left").select(
         "doc_id", "key", "n_shingles", F.coalesce("component", "key").alias("component")
     )
+
+
+def join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles and component_id, the smallest id reachable by links, of every row."""
+    placed = classes(docs, words, percent)
     least = (
-        classes.where("n_shingles > 0")
+        placed.where("n_shingles > 0")
         .groupBy("component")
         .agg(F.min("doc_id").alias("component_id"))
     )
-    return classes.join(least, "component", "left").select(
+    return placed.join(least, "component", "left").select(
         "doc_id",
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The documents that are first in their component, with their own columns."""
-    kept = join(docs, **options).where("doc_id = component_id or component_id is null")
-    kept = kept.select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each component, with its own columns: a row with the smallest id, or with none where
+    no row of the component has one. All texts without words stay.
+
+    Rows whose id is unique are chosen by it. The others, those without an id among them, are placed by
+    their sets, and of equal choices one stays.
+    """
+    placed = stored(classes(docs, words, percent), "classes")
+    best = placed.where("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("best"))
+    repeated = stored(
+        placed.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").select("doc_id"),
+        "repeated",
+    )
+    chosen = placed.join(best, "component", "left").where("n_shingles = 0 or doc_id = best").select("doc_id")
+    if repeated.isEmpty():
+        return docs.join(chosen, "doc_id", "left_semi").select(*docs.columns)
+    clear = repeated.where("doc_id is not null")
+    unique = docs.join(chosen.join(clear, "doc_id", "left_anti"), "doc_id", "left_semi").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("record"), "doc_id", whole().alias("text"))
+    rows = rows.join(clear, "doc_id", "left_semi").unionByName(rows.where("doc_id is null"))
+
+    def run(batches):
+        for batch in batches:
+            yield pd.DataFrame({"key": [set_key(shingles(t, words)) for t in batch["text"]]})
+
+    rows = beside(rows, run, ["text"], ["record", "doc_id"], "key long", rows=SLICE)
+    by_key = placed.select("key", "n_shingles", "component").distinct()
+    rows = rows.join(by_key, "key").join(best, "component", "left")
+    blank = rows.where("n_shingles = 0").select("record.*")
+    one = (
+        rows.where("n_shingles > 0 and doc_id <=> best")
+        .groupBy("component")
+        .agg(F.min_by("record", "key").alias("record"))
+        .select("record.*")
+    )
+    return unique.unionByName(blank).unionByName(one)

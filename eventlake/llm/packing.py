@@ -21,28 +21,19 @@ from eventlake.llm.work import numbered, stored, whole
 PLACES = ("n_tokens", "bucket", "padded", "batch", "slot")
 
 WORD = r"[^\x20\x09-\x0D]+"
-FINE = 4096
 
 
-def histogram(lengths: DataFrame) -> list[tuple[int, int, int]]:
-    """(longest, rows, tokens) by length.
+def histogram(lengths: DataFrame) -> list[tuple[int, int]]:
+    """(length, rows) of every length that occurs.
 
-    Lengths above ``FINE`` share a bin with those that have the same leading 12 bits, so there
-    are under ``FINE * 32`` bins at any size and a bin's lengths differ by at most one in 2,048.
+    L different lengths have at least L * L / 2 words together, so the driver holds the square root of
+    twice the number of words at most.
     """
-    n = F.col("n_tokens")
-    shift = F.greatest(F.lit(0), F.length(F.bin(n)) - 12)
-    bin_ = F.expr("shiftrightunsigned(n_tokens, shift)")
-    rows = (
-        lengths.withColumn("shift", shift)
-        .groupBy("shift", bin_.alias("bin"))
-        .agg(F.max("n_tokens").alias("longest"), F.count("*").alias("rows"), F.sum("n_tokens").alias("tokens"))
-        .collect()
-    )
-    return sorted((r.longest, r.rows, r.tokens) for r in rows)
+    rows = lengths.groupBy("n_tokens").agg(F.count("*").alias("rows")).collect()
+    return sorted((r.n_tokens, r.rows) for r in rows)
 
 
-def boundaries(bins: list[tuple[int, int, int]], buckets: int) -> list[int]:
+def boundaries(bins: list[tuple[int, int]], buckets: int) -> list[int]:
     """Upper lengths of at most ``buckets`` buckets with the least padding in total.
 
     ``best[j]`` is the least padded size of the first j bins with k buckets. A bucket over bins
@@ -87,18 +78,22 @@ def pack(docs: DataFrame, buckets: int = 16, budget: int = 16_384) -> DataFrame:
     """
     columns = [c for c in docs.columns if c not in PLACES]
     text = whole()
-    lengths = docs.select(*columns, F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_tokens"))
+    lengths = docs.select(
+        F.struct(*columns).alias("record"),
+        F.struct("doc_id", F.xxhash64(text)).alias("key"),
+        F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_tokens"),
+    )
     uppers = boundaries(histogram(lengths), buckets)
     upper = F.array(*[F.lit(u).cast("long") for u in uppers]).cast("array<bigint>")
     # a sum, as a function of an array would count the words again for each of its elements
     bucket = sum(((F.col("n_tokens") > u).cast("int") for u in uppers), F.lit(0))
     placed = lengths.withColumn("bucket", bucket).withColumn("padded", F.get(upper, F.col("bucket")))
-    rows = numbered(placed, "bucket", F.struct("doc_id", F.xxhash64(text)), "row")
+    rows = numbered(placed, "bucket", F.col("key"), "row")
     per_batch = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest(F.lit(1), F.col("padded"))))
     batched = rows.withColumn("batch", F.floor(F.col("row") / per_batch)).withColumn(
         "slot", F.pmod(F.col("row"), per_batch)
     )
-    packed = batched.select(*columns, *PLACES).sortWithinPartitions("bucket", "batch", "slot")
+    packed = batched.select(*[F.col("record")[c].alias(c) for c in columns], *PLACES).sortWithinPartitions("bucket", "batch", "slot")
     return stored(packed, "packed", by=["bucket"])
 
 

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.work import ship, whole
+from eventlake.llm.work import beside, ship, whole
 
 
 @dataclass(frozen=True)
@@ -222,7 +222,6 @@ def scan(docs: DataFrame, rules=RULES, key: str = "doc_id") -> DataFrame:
             found = [s for part in segments(batch["text"].tolist()) for s in scan_segment(part, rules)]
             yield pd.DataFrame(
                 {
-                    key: batch[key],
                     "spans": [
                         [
                             {"start": a, "kind": rules[n].kind, "end": e, "base": rules[n].base}
@@ -233,9 +232,7 @@ def scan(docs: DataFrame, rules=RULES, key: str = "doc_id") -> DataFrame:
                 }
             )
 
-    kind = dict(docs.dtypes)[key]
-    rows = docs.select(key, whole().alias("text"))
-    return rows.mapInPandas(run, f"{key} {kind}, spans {SPANS}")
+    return beside(docs.select(key, whole().alias("text")), run, ["text"], [key], f"spans {SPANS}")
 
 
 def redact(docs: DataFrame, rules=RULES) -> DataFrame:
@@ -264,10 +261,9 @@ def redact(docs: DataFrame, rules=RULES) -> DataFrame:
                         out += [texts[i][at:a], f"[{rules[n].kind}]"]
                     at = max(at, e)
                 texts[i] = "".join([*out, texts[i][at:]])
-            batch["text"] = texts
-            yield batch
+            yield pd.DataFrame({"text": texts})
 
-    clean = docs.mapInPandas(run, docs.schema)
+    clean = beside(docs, run, ["text"], [c for c in columns if c != "text"], "text string")
     if "n_chars" in columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
     return clean.select(*columns)

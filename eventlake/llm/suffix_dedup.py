@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.llm.suffix_sort import ranges, suffix_arrays
-from eventlake.llm.work import ship, stored, whole
+from eventlake.llm.work import beside, ship, stored, whole
 
 SPAN, GRAM = 100, 48
 WINDOW = SPAN - GRAM + 1
@@ -386,10 +386,10 @@ def numbered_rows(docs: DataFrame) -> DataFrame:
     most, missing = ids.first()
     if (most or 0) <= 1 and not missing:
         return docs.withColumn("row", F.col("doc_id").cast("long"))
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64(whole()))
-    return docs.withColumn(
-        "row", F.coalesce("doc_id", F.lit(-(1 << 62) // most)) * most + F.row_number().over(order) - 1
-    )
+    # In sorted ranges, which split rows with equal ids too; the numbers grow from range to range.
+    ordered = docs.withColumn("tie", F.xxhash64(whole())).repartitionByRange("doc_id", "tie")
+    ordered = ordered.sortWithinPartitions("doc_id", "tie").drop("tie")
+    return stored(ordered.withColumn("row", F.monotonically_increasing_id()), "numbered")
 
 
 def with_repeats(docs: DataFrame) -> DataFrame:
@@ -408,20 +408,19 @@ def measure(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             out = []
-            columns = (batch[c] for c in ("doc_id", "text", "starts", "ends"))
-            for doc_id, text, starts, ends in zip(*columns, strict=True):
+            columns = (batch[c] for c in ("text", "starts", "ends"))
+            for text, starts, ends in zip(*columns, strict=True):
                 kept = data = text.encode()
                 spans = 0
                 if starts is not None:
                     gone, spans = kept_parts(data, starts, ends)
                     kept = np.frombuffer(data, dtype=np.uint8)[~gone].tobytes()
-                out.append((doc_id, len(data), len(data) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
-            yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                out.append((len(data), len(data) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
+            yield pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     rows = with_repeats(docs.select("doc_id", whole().alias("text")))
-    return rows.select("doc_id", "text", "starts", "ends").mapInPandas(
-        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    )
+    made = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    return beside(rows, run, ["text", "starts", "ends"], ["doc_id"], made)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -434,7 +433,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             texts = []
-            for text, starts, ends in zip(batch["text"], batch["_starts"], batch["_ends"], strict=True):
+            for text, starts, ends in zip(batch["text"], batch["starts"], batch["ends"], strict=True):
                 if not isinstance(text, str) or starts is None:
                     texts.append(text)
                     continue
@@ -444,16 +443,12 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 heads = np.flatnonzero(raw & 0xC0 != 0x80)
                 stays = np.logical_or.reduceat(~gone, heads) if len(heads) else gone
                 texts.append(raw[np.repeat(stays, np.diff(np.append(heads, len(raw))))].tobytes().decode())
-            yield batch.assign(text=texts)[columns]
+            yield pd.DataFrame({"cut": texts})
 
-    columns = docs.columns
-    schema = docs.schema
-    mark = {c: f"_own_{c}" for c in ("row", "starts", "ends") if c in columns}
-    found = with_repeats(docs.withColumnsRenamed(mark)).withColumnsRenamed(
-        {"starts": "_starts", "ends": "_ends"}
-    )
-    found = found.drop("row").withColumnsRenamed({v: k for k, v in mark.items()})
-    clean = found.select(*columns, "_starts", "_ends").mapInPandas(run, schema)
+    others = [c for c in docs.columns if c != "text"]
+    rows = docs.select("doc_id", "text", F.struct(*others).alias("record"))
+    clean = beside(with_repeats(rows), run, ["text", "starts", "ends"], ["record"], "cut string")
+    clean = clean.select(*[F.col("record")[c].alias(c) for c in others], F.col("cut").alias("text"))
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
     return clean.select(*docs.columns)

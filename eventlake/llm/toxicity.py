@@ -26,9 +26,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
-from eventlake.llm.work import ship, whole
+from eventlake.llm.work import beside, ship, whole
 
 LENGTH, DECAY = 3, 0.5
 GRAMS = range(4, 11)
@@ -378,7 +377,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             scores = []
             for i in range(0, len(texts), SLICE):
                 scores += scores_of(texts[i : i + SLICE], cache)
-            yield batch.assign(toxic_score=np.array(scores, dtype=float))
+            yield pd.DataFrame({"toxic_score": np.array(scores, dtype=float)})
 
     def scores_of(texts: list, cache: dict[str, float]) -> list[float]:
         if not model.landmarks:
@@ -390,8 +389,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         cache.update(zip(new, model.margins(new).tolist(), strict=True))
         return [model.score([cache[t] for t in ts]) for ts in found]
 
-    schema = StructType([*docs.schema.fields, StructField("toxic_score", DoubleType())])
-    return docs.mapInPandas(run, schema)
+    return beside(docs, run, ["text"], docs.columns, "toxic_score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
@@ -409,6 +407,5 @@ def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that are not classified as toxic, with their own columns."""
     model = train(docs, labels, **options)
-    scored = score(docs.withColumnRenamed("toxic_score", "_theirs") if "toxic_score" in docs.columns else docs, model)
-    kept = scored.where(F.col("toxic_score") < 0.5).drop("toxic_score")
-    return kept.withColumnRenamed("_theirs", "toxic_score") if "_theirs" in kept.columns else kept
+    rows = docs.select(F.struct(*docs.columns).alias("record"), "text")
+    return score(rows, model).where("toxic_score < 0.5").select("record.*")

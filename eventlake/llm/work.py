@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from eventlake.session import fresh_dir
 
@@ -19,10 +25,74 @@ def stored(df: DataFrame, label: str, by: list[str] | None = None, codec: str =
     """
     spark = df.sparkSession
     path = fresh_dir(spark, label)
+    if _inner is not None:
+        _inner.append(path)
     df.write.partitionBy(*by or []).parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+_inner: list[str] | None = None
+_left: list[str] = []
+
+
+@contextmanager
+def stage_tables(spark: SparkSession) -> Iterator[None]:
+    """A stage of a pipeline. The tables stored in it stay until the next stage starts, for its result
+    is computed from them; by then that has been written."""
+    global _inner
+    while _left:
+        delete(spark, _left.pop())
+    outer, _inner = _inner, []
+    try:
+        yield
+    finally:
+        _left.extend(_inner)
+        _inner = outer
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+Frames = Iterable[pd.DataFrame]
+
+
+def beside(
+    df: DataFrame,
+    work: Callable[[Frames], Frames],
+    reads: list[str],
+    keep: list[str],
+    made: str | StructType,
+    rows: int = 10_000,
+) -> DataFrame:
+    """The columns ``keep`` of ``df`` and those that ``work`` makes of the columns ``reads``.
+
+    ``work`` gets frames of at most ``rows`` rows and yields one with as many rows for each. The kept
+    columns go past it as Arrow, so a number in them stays as it is also where others are missing.
+    """
+    made = made if isinstance(made, StructType) else StructType.fromDDL(made)
+    types, names = to_arrow_schema(made), [*keep, *made.names]
+
+    def run(batches):
+        kept = []
+
+        def frames():
+            for batch in batches:
+                for at in range(0, batch.num_rows, rows):
+                    part = batch.slice(at, rows)
+                    kept.append([part.column(c) for c in keep])
+                    yield part.select(reads).to_pandas()
+
+        for frame in work(frames()):
+            columns = pa.RecordBatch.from_pandas(frame, schema=types, preserve_index=False).columns
+            yield pa.RecordBatch.from_arrays([*kept.pop(0), *columns], names)
+
+    schema = StructType([*[df.schema[c] for c in keep], *made.fields])
+    return df.select(*dict.fromkeys([*keep, *reads])).mapInArrow(run, schema)
+
+
 _shipped: set[str] = set()
 
 

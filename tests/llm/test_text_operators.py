@@ -23,6 +23,7 @@ from eventlake.llm import (
     topk,
     toxicity,
 )
+from eventlake.session import setting
 
 SF = "/root/testdata/sf0.001"
 WORDS = "the of and to in red blue house river stone cloud idea paper green light".split()
@@ -79,9 +80,10 @@ def test_pii_base_spans_are_those_of_the_rules(spark):
 
 
 def test_redaction_keeps_columns(spark):
-    rows = frame(spark, [(1, "call +1 (988) 555-2485 now"), (2, None)])
-    got = {r.doc_id: r.text for r in pii.redact(rows, sample_rows=10).collect()}
-    assert got == {1: "call [phone] now", 2: None}
+    rows = [(1, "call +1 (988) 555-2485 now"), (2, None), (None, "call +1 (988) 555-2485 now"), (2, "mail a@b.example"), (2, "")]
+    got = pii.redact(frame(spark, rows), sample_rows=10).collect()
+    want = [(1, "call [phone] now"), (2, None), (None, "call [phone] now"), (2, "mail [email]"), (2, "")]
+    assert collections.Counter(map(tuple, got)) == collections.Counter(want)
 
 
 def test_shards_are_even_gapless_and_whole(spark):
@@ -186,14 +188,14 @@ def test_components_of_near_copies(spark, words, percent):
 @pytest.mark.parametrize("words, percent", [(4, 85), (5, 80)])
 def test_short_texts_that_reach_the_threshold_share_an_entry(words, percent):
     r = random.Random(11)
-    near, shingles = 0, jaccard_join.Shingles(words)
+    near = 0
     for _ in range(100):
         vocabulary = [f"w{r.getrandbits(40)}" for _ in range(40)]
         for n in range(1, 31):
             a = vocabulary[:n]
             at = r.randrange(n)
             for b in ([*a, "more"], ["more", *a], a[:at] + a[at + 1 :], [*a[:at], "more", *a[at + 1 :]]):
-                x, y = (shingles.of(" ".join(t)) for t in (a, b))
+                x, y = (jaccard_join.shingles(" ".join(t), words) for t in (a, b))
                 shared = len(np.intersect1d(x, y))
                 if len(y) and 100 * shared >= percent * (len(x) + len(y) - shared):
                     near += 1
@@ -216,6 +218,78 @@ def test_large_groups_of_near_copies_are_compared_in_blocks(spark, monkeypatch):
     assert {r.component_id for r in jaccard_join.join(frame(spark, rows)).collect()} == {0}
 
 
+@pytest.mark.parametrize("partitions", [1, 4])
+def test_one_block_of_near_copies(spark, partitions):
+    """A worker may hold one block only, or one block in several batches."""
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join([*words[:i], f"x{i}", *words[i + 1 :]])) for i in range(30)]
+    with setting(spark, "spark.sql.shuffle.partitions", str(partitions)), setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "7"):
+        assert {r.component_id for r in jaccard_join.join(frame(spark, rows)).collect()} == {0}
+
+
+def test_one_row_of_each_group_stays(spark):
+    words = [f"w{i}" for i in range(60)]
+    text, near, other = " ".join(words), " ".join([*words, "more"]), " ".join(words[::-1])
+    rows = [(5, text), (5, text), (5, text), (7, near), (None, text), (9, other), (None, other), (None, "a b c"), (None, "a b c")]
+    rows += [(5, "another text with the id of others"), (11, ""), (11, None), (None, " ")]
+    docs = frame(spark, rows).withColumn("key", F.lit(1)).withColumn("component", F.lit("own"))
+    got = jaccard_join.keep_one(docs)
+    assert got.columns == docs.columns
+    kept = sorted((r.doc_id or 0, r.text or "") for r in got.collect())
+    assert kept == [(0, " "), (0, "a b c"), (5, "another text with the id of others"), (5, text), (9, other), (11, ""), (11, "")]
+    assert sorted(r.doc_id for r in jaccard_join.keep_one(frame(spark, [(3, text), (1, near), (2, other)])).collect()) == [1, 2]
+
+
+HARD_IDS = [None, 2**60 + 1, -(2**63), 7, 7]
+
+
+@pytest.mark.parametrize("operator", ["redact", "mask", "cut", "keep", "toxic", "pack", "shard"])
+def test_ids_and_unknown_columns_stay_as_they_are(spark, operator):
+    names = ["row", "_row", "_order", "_chunk", "_before", "spans", "_theirs", "_own_row", "record", "key", "cut", "toxic_score"]
+    texts = [f"text {n} " + " ".join(f"{n}w{i}" for i in range(30)) for n in range(len(HARD_IDS))]
+    docs = frame(spark, list(zip(HARD_IDS, texts, strict=True)))
+    docs = docs.withColumns({c: F.when(F.col("doc_id") > 0, F.col("doc_id")) for c in names})
+    labels = spark.createDataFrame([(7, 0), (8, 1)], "doc_id long, toxic int")
+    run = {
+        "redact": secret_scan.redact,
+        "mask": lambda d: pii.redact(d, sample_rows=10),
+        "cut": suffix_dedup.without_repeats,
+        "keep": jaccard_join.keep_one,
+        "toxic": lambda d: toxicity.drop_toxic(d, labels),
+        "pack": lambda d: packing.pack(d).select(*d.columns),
+        "shard": lambda d: sharding.shard(d, 3).select(*d.columns),
+    }[operator]
+    got = run(docs)
+    assert got.columns == docs.columns
+    assert collections.Counter(map(tuple, got.collect())) == collections.Counter(map(tuple, docs.collect()))
+
+
+def test_results_keep_large_and_missing_ids(spark):
+    rows = [(i, f"text number {n} " * 3) for n, i in enumerate(HARD_IDS)]
+    docs = frame(spark, rows)
+    tokenizers = pytest.importorskip("public_tokenizers")
+    path = tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    for got in (
+        suffix_dedup.measure(docs),
+        toxicity.classify(docs, none),
+        jaccard_join.join(docs),
+        secret_scan.scan(docs),
+        bpe.tokenize(docs, path, tokenizers.PATTERN),
+        pii.detect(docs, sample_rows=10),
+    ):
+        assert collections.Counter(r.doc_id for r in got.collect()) == collections.Counter(HARD_IDS)
+    linked = jaccard_join.join(docs.union(frame(spark, [(2**60 + 2, rows[1][1])])))
+    assert {r.doc_id: r.component_id for r in linked.collect()}[2**60 + 2] == 2**60 + 1
+
+
+def test_repeats_of_extreme_ids(spark):
+    passage = "".join(random.Random(5).choices("abcdefg ", k=150))
+    rows = [(2**63 - 1, passage), (2**63 - 1, "x" + passage), (-(2**63), passage), (None, "y" + passage)]
+    got = {(r.doc_id, r.n_bytes): r.n_removed for r in suffix_dedup.measure(frame(spark, rows)).collect()}
+    assert got == {(None, 151): 0, (-(2**63), 150): 150, (2**63 - 1, 150): 150, (2**63 - 1, 151): 150}
+
+
 def test_fingerprints_of_edited_texts(spark):
     rows = corpus(5)
     got = {r.doc_id: r for r in spotsigs.compare_edited(frame(spark, rows)).collect()}
@@ -304,6 +378,9 @@ def test_packing_is_optimal_and_gapless(spark):
 
     import itertools
 
+    long = [(n, 1) for n in range(4097, 4137)]
+    cuts = packing.boundaries(long, 20)
+    assert sum(min(c for c in cuts if c >= n) - n for n, _ in long) == 20
     best = min(cost((*c, 30)) for k in range(3) for c in itertools.combinations([1, 3, 4, 9, 10], k))
     assert cost(packing.boundaries(bins, 3)) == best
     rows = corpus(7)
