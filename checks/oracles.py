@@ -181,6 +181,13 @@ ORACLES: dict[str, str] = {
         ) WHERE n = 1""",
     "silver_view": f"WITH {SILVER} SELECT {SILVER_LIST} FROM silver",
     "silver_create": f"WITH {PARSED} SELECT {SILVER_LIST} FROM parsed",
+    "silver_rejects_kept": f"""WITH {_messages(False)}, placed AS (
+            SELECT *, CAST(event_id AS BIGINT) // 2 AS kafka_offset FROM msg
+        )
+        SELECT event_id, 'stored' AS place, NULL AS raw_json FROM placed WHERE kafka_offset % 6 != 0
+        UNION ALL SELECT event_id, 'rejected',
+               regexp_replace(raw_json, '"created_at":"[^"]*"', '"created_at":"unknown"')
+        FROM placed WHERE kafka_offset % 6 = 0""",
     "silver_foreach_batch": f"""WITH {PARSED}
         SELECT * EXCLUDE (ingested_at) FROM (SELECT {SILVER_LIST} FROM parsed)""",
     "compact_partitions": f"""WITH {SILVER}
@@ -229,6 +236,12 @@ ORACLES: dict[str, str] = {
                 FROM silver WHERE ingested_at <= {CUT}
             )
         )""",
+    "dims_incremental": DIM_REPOS,
+    "users_incremental": f"""WITH {SILVER}
+        SELECT actor_id, actor_login, min(event_timestamp) AS first_seen,
+               max(event_timestamp) AS last_seen, count(DISTINCT repo_id) AS repos_touched
+        FROM silver WHERE actor_id IS NOT NULL GROUP BY actor_id, actor_login""",
+    "gold_changed_dates": AGG_DAILY,
     "agg_daily_incremental": AGG_DAILY,
     "late_event_recompute": AGG_DAILY,
     "fact_incremental_strict": FACT,
@@ -251,8 +264,12 @@ ORACLES: dict[str, str] = {
         GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "dq_check_constraint": """SELECT count(*) AS violations FROM orders
         WHERE NOT coalesce(o_orderdate > TIMESTAMP '2000-01-01 00:00:00', false)""",
-    "dq_schema": """SELECT 'required_columns' AS rule, CAST(0 AS BIGINT) AS as_expected,
-        CAST(2 AS BIGINT) AS drifted""",
+    "dq_schema": """
+        SELECT 'kafka_partition' AS "column", 'type' AS problem, 'int' AS expected, 'bigint' AS found,
+               count(*) AS "rows" FROM events
+        UNION ALL SELECT 'kafka_timestamp', 'missing', 'timestamp', NULL, count(*) FROM events
+        UNION ALL SELECT 'origin', 'extra', NULL, 'string', count(*) FILTER (event_id // 2 < 100)
+        FROM events""",
     "dq_audit": """
         SELECT 'not_null(l_orderkey)' AS rule, count(*) FILTER (l_orderkey IS NULL) AS violations
         FROM lineitem

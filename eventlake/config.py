@@ -12,7 +12,8 @@ class Table:
     """A catalog table: where it lives, how it is laid out and what identifies a row.
 
     With a ``path`` the table is external, so its files outlive the session even when
-    the catalog does not (see ``sources.catalog.attach``).
+    the catalog does not (see ``sources.catalog.attach``). ``ranged`` tables have a table of the
+    key ranges of their partitions beside them (see ``operators.key_ranges``).
     """
 
     name: str
@@ -20,6 +21,7 @@ class Table:
     key: str | None = None
     path: str | None = None
     provider: str = "parquet"
+    ranged: bool = False
 
 
 @dataclass(frozen=True)
@@ -50,6 +52,9 @@ class PipelineConfig:
                      the ``kafka.ssl.*`` settings
     min_partitions   splits Kafka topic partitions into more tasks
     fail_on_data_loss  raise when offsets expired before they were read
+    retention        of the file-based message log, e.g. ``24h``: files of the raw topic are deleted once
+                     read, and files older than this beside the newest count as expired; the stream's own list of
+                     files then stays short
     """
 
     catalog: str | None = None
@@ -64,6 +69,7 @@ class PipelineConfig:
 
     message_source: str = "files"
     landing: str | None = None
+    retention: str | None = None
     topics: Topics = field(default_factory=Topics)
     kafka_options: Mapping[str, str] = field(default_factory=dict)
     starting_offsets: str = "earliest"
@@ -85,7 +91,7 @@ class PipelineConfig:
     def schema_path(self, db: str) -> str | None:
         return f"{self.warehouse.rstrip('/')}/{db}" if self.warehouse else None
 
-    def _table(self, db: str, name: str, partition_by=(), key=None) -> Table:
+    def _table(self, db: str, name: str, partition_by=(), key=None, ranged=False) -> Table:
         folder = self.schema_path(db)
         return Table(
             name=f"{self.schema_name(db)}.{name}",
@@ -93,6 +99,7 @@ class PipelineConfig:
             key=key,
             path=f"{folder}/{name}" if folder else None,
             provider=self.table_provider,
+            ranged=ranged,
         )
 
     @property
@@ -101,7 +108,7 @@ class PipelineConfig:
 
     @property
     def events(self) -> Table:
-        return self._table(self.silver_db, "events", ["event_date", "event_type"], "event_id")
+        return self._table(self.silver_db, "events", ["event_date", "event_type"], "event_id", ranged=True)
 
     @property
     def rejects(self) -> Table:
@@ -111,6 +118,11 @@ class PipelineConfig:
     def progress(self) -> Table:
         return self._table(self.silver_db, "progress")
 
+    @property
+    def changed_dates(self) -> Table:
+        """Event dates that clean loads have touched and the star schema has not seen yet."""
+        return self._table(self.silver_db, "changed_dates")
+
     @property
     def silver_view(self) -> str:
         return f"{self.schema_name(self.silver_db)}.silver_events"
@@ -123,6 +135,16 @@ class PipelineConfig:
     def dim_users(self) -> Table:
         return self._table(self.gold_db, "dim_users", key="actor_id")
 
+    @property
+    def repo_actors(self) -> Table:
+        """Repository and actor of each load's events, from which the dimensions are counted."""
+        return self._table(self.gold_db, "repo_actors", ["load"])
+
+    @property
+    def dimension_loads(self) -> Table:
+        """The loads of ``repo_actors`` that are in the dimensions."""
+        return self._table(self.gold_db, "dimension_loads")
+
     @property
     def fact_events(self) -> Table:
         return self._table(self.gold_db, "fact_events", ["event_date"], "event_id")
@@ -142,6 +164,9 @@ class PipelineConfig:
             self.events,
             self.rejects,
             self.progress,
+            self.changed_dates,
+            self.repo_actors,
+            self.dimension_loads,
             self.dim_repos,
             self.dim_users,
             self.fact_events,

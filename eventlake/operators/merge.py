@@ -18,7 +18,15 @@ from eventlake.operators.incremental import (
     in_partitions,
     partition_values,
 )
+from eventlake.operators.key_ranges import (
+    crowded,
+    joined_ranges,
+    key_ranges,
+    partitions_with,
+    side_table,
+)
 from eventlake.operators.quality import DataQualityError, duplicate_keys
+from eventlake.operators.staging import stage
 from eventlake.session import setting
 from eventlake.sources import catalog
 
@@ -82,19 +90,49 @@ def _insert(spark: SparkSession, df: DataFrame, table: Table, overwrite: bool) -
     rows.write.insertInto(table.name, overwrite=overwrite)
 
 
+def known_ranges(spark: SparkSession, table: Table) -> DataFrame:
+    """The key ranges of a table's partitions; of a table that has none yet they are read from it."""
+    side = side_table(table)
+    catalog.attach(spark, side)
+    if not catalog.exists(spark, side):
+        create(key_ranges(catalog.read(spark, table), table), side)
+    return catalog.read(spark, side)
+
+
+def _note_ranges(df: DataFrame, table: Table) -> None:
+    """Add the key ranges of rows that are about to be written."""
+    if not table.ranged:
+        return
+    spark, side = df.sparkSession, side_table(table)
+    if catalog.exists(spark, table):
+        known = known_ranges(spark, table)
+        if crowded(spark, table, known):
+            rebuild(spark, joined_ranges(known, table), side)
+    append(spark, key_ranges(df, table), side)
+
+
 def create(df: DataFrame, table: Table, aligned: bool = False) -> None:
     """Write a new table. ``aligned`` input comes from a table with the same partitions."""
+    _note_ranges(df, table)
     _save(df, table, "errorifexists", aligned)
 
 
 def overwrite(df: DataFrame, table: Table, aligned: bool = False) -> None:
     """Replace a table, its schema included. The input must not read the table."""
+    _note_ranges(df, table)
     with setting(df.sparkSession, OVERWRITE_MODE, "static"):
         _save(df, table, "overwrite", aligned)
 
 
+def rebuild(spark: SparkSession, df: DataFrame, table: Table) -> None:
+    """Overwrite a table with rows that are stored already, so that a failure while they
+    are computed leaves the old table."""
+    overwrite(stage(spark, df, table), table)
+
+
 def append(spark: SparkSession, df: DataFrame, table: Table) -> None:
     if catalog.exists(spark, table):
+        _note_ranges(df, table)
         _insert(spark, df, table, overwrite=False)
     else:
         create(df, table)
@@ -106,6 +144,7 @@ def replace_partitions(spark: SparkSession, df: DataFrame, table: Table) -> None
     if not catalog.exists(spark, table):
         create(df, table)
         return
+    _note_ranges(df, table)
     with setting(spark, OVERWRITE_MODE, "dynamic"):
         _insert(spark, df, table, overwrite=True)
 
@@ -129,34 +168,45 @@ def empty_partition(spark: SparkSession, table: Table, partition: Row) -> None:
         spark.sql(f"ALTER TABLE {table.name} DROP IF EXISTS PARTITION ({spec})")
 
 
-def insert_only(
+def missing_rows(
     spark: SparkSession, source: DataFrame, table: Table, fixed_partitions: bool = False
-) -> None:
-    """Insert the source rows whose key the table lacks; never change existing rows.
+) -> DataFrame:
+    """The source rows whose key an existing table lacks.
 
-    The source is read more than once, so pass a stored one (see ``staging.stage``), and
-    it must hold each key once. The table is first reduced to the keys that occur in the
-    source: a scan of one column, limited to the source's key range, and without a shuffle
+    The source is read more than once, so pass a stored one (see ``staging.stage``). The table is
+    first reduced to the keys that occur in the source: a scan of one column, limited to the source's
+    key range and, of a ``ranged`` table, to the partitions that may hold such keys, without a shuffle
     when the source is small. Only the matching keys meet the source again.
 
     ``fixed_partitions`` limits the lookup to the partitions of the source. It is right
     only where a key can never come back with other partition values.
     """
+    key = table.key
+    target = catalog.read(spark, table)
+    if fixed_partitions:
+        candidates = partition_values(source, table.partition_by)
+        target = target.where(in_partitions(table.partition_by, candidates))
+    elif table.ranged:
+        candidates = partitions_with(source, known_ranges(spark, table), table)
+        target = target.where(in_partitions(table.partition_by, candidates))
+    keys = source.select(key)
+    present = in_key_range(target.select(key), keys, key).join(keys, key, "left_semi")
+    return source.join(present, key, "left_anti")
+
+
+def insert_only(
+    spark: SparkSession, source: DataFrame, table: Table, fixed_partitions: bool = False
+) -> None:
+    """Insert the source rows whose key the table lacks; never change existing rows. The source must
+    hold each key once; see ``missing_rows``."""
     if not catalog.exists(spark, table):
         create(source, table)
         return
-    key = table.key
     if table.provider == "delta":
-        same = F.col(f"{table.name}.{key}") == F.col(f"_source.{key}")
+        same = F.col(f"{table.name}.{table.key}") == F.col(f"_source.{table.key}")
         source.alias("_source").mergeInto(table.name, same).whenNotMatched().insertAll().merge()
         return
-    target = catalog.read(spark, table)
-    if fixed_partitions:
-        touched = partition_values(source, table.partition_by)
-        target = target.where(in_partitions(table.partition_by, touched))
-    keys = source.select(key)
-    present = in_key_range(target.select(key), keys, key).join(keys, key, "left_semi")
-    append(spark, source.join(present, key, "left_anti"), table)
+    append(spark, missing_rows(spark, source, table, fixed_partitions), table)
 
 
 def reject_duplicate_keys(source: DataFrame, key: str) -> None:

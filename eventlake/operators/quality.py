@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 logger = logging.getLogger(__name__)
 
@@ -137,6 +138,31 @@ def audit(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def schema_drift(stored: DataFrame, expected: StructType) -> DataFrame:
+    """``column, problem, expected, found, rows`` for each column in which stored rows differ from the
+    expected schema: ``missing``, ``extra`` or ``type``. ``rows`` is how many rows are concerned: all, or of
+    an extra column those that have a value."""
+    wanted = {f.name: f.dataType.simpleString() for f in expected}
+    found = {f.name: f.dataType.simpleString() for f in stored.schema}
+    drift = []
+    for name in sorted(wanted.keys() | found.keys()):
+        if wanted.get(name) == found.get(name):
+            continue
+        extra = name not in wanted
+        problem = "extra" if extra else "type" if name in found else "missing"
+        drift.append(
+            F.struct(
+                F.lit(name).alias("column"),
+                F.lit(problem).alias("problem"),
+                F.lit(wanted.get(name)).cast("string").alias("expected"),
+                F.lit(found.get(name)).cast("string").alias("found"),
+                F.count(F.col(f"`{name}`") if extra else F.lit(1)).alias("rows"),
+            )
+        )
+    kind = "array<struct<column:string,problem:string,expected:string,found:string,rows:bigint>>"
+    return stored.agg(F.array(*drift).cast(kind).alias("drift")).select(F.inline("drift"))
+
+
 def enforce_all(
     audits: Sequence[tuple[DataFrame, str, Sequence[Rule]]], mode: str = "fail"
 ) -> dict[str, dict[str, int]]:

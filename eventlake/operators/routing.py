@@ -11,14 +11,20 @@ from eventlake.functions.events import message_key, topics_of
 
 def keyed_messages(lines: DataFrame) -> DataFrame:
     """Events of parsed lines as ``key, value, type``; other lines are dropped. The value
-    is the line as it came."""
-    return lines.where("is_event").select(message_key(F.col("id")).alias("key"), "value", "type")
+    is the line as it came. The ``position`` of a line stays with it."""
+    return lines.where("is_event").select(
+        message_key(F.col("id")).alias("key"), "value", "type", *_position(lines)
+    )
+
+
+def _position(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c == "position"]
 
 
 def route(messages: DataFrame, topics: Topics) -> DataFrame:
     """One row per topic a message goes to. Runs inside the scan's tasks, no shuffle."""
     return messages.select(
-        "key", "value", F.explode(topics_of(F.col("type"), topics)).alias("topic")
+        "key", "value", F.explode(topics_of(F.col("type"), topics)).alias("topic"), *_position(messages)
     )
 
 

@@ -18,8 +18,10 @@ from eventlake.config import PipelineConfig, Table
 from eventlake.operators import compaction, incremental, merge, quality
 from eventlake.operators.ranking import first_n
 from eventlake.operators.routing import keyed_messages, route
-from eventlake.operators.staging import stage
+from eventlake.operators.merge import rebuild
+from eventlake.operators.staging import stage, staging
 from eventlake.plans import bronze as bronze_plan
+from eventlake.plans import dimensions as dimension_plan
 from eventlake.plans import gold, silver
 from eventlake.session import use_utc
 from eventlake.sources import archive, catalog, messages
@@ -58,7 +60,7 @@ def ingest_archive(
         F.count_if(~F.col("is_event")).alias("malformed_lines"),
     )
     if limit is not None:
-        lines = first_n(lines.where("is_event"), limit, ["created_at", "id"])
+        lines = first_n(lines.where("is_event"), limit, ["created_at", "id", "position"])
     sent = Observation("messages")
     out = route(keyed_messages(lines), cfg.topics).observe(
         sent,
@@ -133,14 +135,15 @@ def run_silver(
         if compact_min_files is not None:
             touched.update(incremental.partition_values(increment, by))
 
-    if stream:
-        start_silver(spark, cfg, mode, fixed_partitions, note).awaitTermination()
-    else:
-        raw = catalog.read(spark, cfg.raw_events)
-        if not full_refresh:
-            reached = silver.cleaned_to(spark, cfg)
-            raw = silver.in_lookback(raw, cfg.run_date, cfg.lookback_days, reached)
-        note(silver.load_silver(spark, cfg, raw, mode, fixed_partitions))
+    with staging(spark):
+        if stream:
+            start_silver(spark, cfg, mode, fixed_partitions, note).awaitTermination()
+        else:
+            raw = catalog.read(spark, cfg.raw_events)
+            if not full_refresh:
+                reached = silver.cleaned_to(spark, cfg)
+                raw = silver.in_lookback(raw, cfg.run_date, cfg.lookback_days, reached)
+            note(silver.load_silver(spark, cfg, raw, mode, fixed_partitions))
     if touched:
         compaction.compact(spark, cfg.events, list(touched), compact_min_files)
     table = catalog.read(spark, cfg.events)
@@ -171,7 +174,8 @@ def load_fact(
     mode: str = "safe",
     dates: Sequence[date] | None = None,
 ) -> list[Row] | None:
-    """Bring the event fact up to date. Returns its touched partitions, None for all.
+    """Bring the event fact up to date, and before it the combinations that the dimensions are counted
+    from. Returns its touched partitions, None for all.
 
     ``strict`` upserts the events ingested after everything in the fact, and so misses
     events that arrive with an earlier ingestion time. ``safe`` finds the dates whose
@@ -179,15 +183,18 @@ def load_fact(
     latter to these event dates.
     """
     table = cfg.fact_events
-    fact = gold.fact_events(events)
     if not catalog.exists(spark, table):
-        merge.create(fact, table, aligned=True)
+        dimension_plan.start_over(spark, cfg, events)
+        merge.create(gold.fact_events(events), table, aligned=True)
         return None
     target = catalog.read(spark, table)
+    if not catalog.exists(spark, cfg.repo_actors):
+        dimension_plan.start_over(spark, cfg, events.join(target.select(table.key), table.key, "left_semi"))
     if mode == "strict":
         mark = incremental.stored_mark(target)
-        new = stage(spark, incremental.rows_after(fact, mark), table)
-        merge.upsert(spark, new, table)
+        new = stage(spark, incremental.rows_after(events, mark), table)
+        dimension_plan.add_load(spark, cfg, new)
+        merge.upsert(spark, gold.fact_events(new), table)
         return incremental.partition_values(new, table.partition_by)
     behind = incremental.partition_values(
         incremental.dates_out_of_step(
@@ -198,8 +205,10 @@ def load_fact(
     )
     if behind:
         present = _touched(target, table, behind).select(table.key)
-        missing = _touched(fact, table, behind).join(present, table.key, "left_anti")
-        merge.append(spark, missing, table)
+        missing = _touched(events, table, behind).join(present, table.key, "left_anti")
+        missing = stage(spark, missing, table)
+        dimension_plan.add_load(spark, cfg, missing)
+        merge.append(spark, gold.fact_events(missing), table)
     return behind
 
 
@@ -234,10 +243,13 @@ def load_daily(
     return behind
 
 
-def rebuild(spark: SparkSession, df: DataFrame, table: Table) -> None:
-    """Overwrite a table with rows that are stored already, so that a failure while they
-    are computed leaves the old table."""
-    merge.overwrite(stage(spark, df, table), table)
+def pending_dates(spark: SparkSession, cfg: PipelineConfig) -> list[date] | None:
+    """The event dates that clean loads have touched since the star schema was brought up to date; None
+    where that is not known. At most one for each date."""
+    known = (cfg.changed_dates, cfg.fact_events, cfg.agg_daily_activity)
+    if not all(catalog.exists(spark, t) for t in known):
+        return None
+    return [r[0] for r in catalog.read(spark, cfg.changed_dates).distinct().collect()]
 
 
 def run_gold(
@@ -245,7 +257,7 @@ def run_gold(
     cfg: PipelineConfig,
     full_refresh: bool = False,
     mode: str = "safe",
-    dates: Sequence[date] | None = None,
+    dates: Sequence[date] | str | None = None,
     latest_name: bool = False,
     rules: str | None = "warn",
     audit_table: bool = False,
@@ -257,13 +269,14 @@ def run_gold(
 
     ``mode`` is ``safe`` or ``strict``, see ``load_fact``. In ``safe`` mode ``dates`` limits
     the search for new events to these event dates and leaves all others to another run;
-    in ``strict`` mode the others would then be behind the mark.
+    in ``strict`` mode the others would then be behind the mark. ``dates="changed"`` are those that
+    clean loads have touched since the last run, so that no other file is opened.
 
     ``latest_name`` gives one dimension row per id where names change; without it a rename
     breaks the uniqueness rule of a dimension. ``rules`` is what a violation does: ``warn``,
     ``fail``, or None to skip the rules. They cover the touched partitions, or all with
-    ``audit_table``. The dimensions are rebuilt from all events; ``dimensions=False`` leaves
-    that to another run. ``compact_min_files`` is that of ``run_silver``, for the fact.
+    ``audit_table``. In ``safe`` mode the dimensions are updated from what is new and cover the events
+    of the fact, else they are rebuilt from all events; ``dimensions=False`` leaves that to another run. ``compact_min_files`` is that of ``run_silver``, for the fact.
     """
     if mode not in ("safe", "strict"):
         raise ValueError(f"mode must be 'safe' or 'strict': {mode}")
@@ -272,21 +285,38 @@ def run_gold(
     use_utc(spark)
     catalog.create_schemas(spark, cfg)
     events = catalog.create_silver_view(spark, cfg)
+    with staging(spark):
+        return _run_gold(
+            spark, cfg, events, full_refresh, mode, dates, latest_name, rules, audit_table, dimensions, compact_min_files, top
+        )
+
+
+def _run_gold(
+    spark, cfg, events, full_refresh, mode, dates, latest_name, rules, audit_table, dimensions, compact_min_files, top
+) -> DataFrame:
+    pending = pending_dates(spark, cfg) if mode == "safe" else None
+    if dates == "changed":
+        dates = pending
     if full_refresh:
-        merge.overwrite(gold.fact_events(events), cfg.fact_events, aligned=True)
-        merge.overwrite(gold.agg_daily_activity(events), cfg.agg_daily_activity)
+        dimension_plan.start_over(spark, cfg, events)
+        rebuild(spark, gold.fact_events(events), cfg.fact_events)
+        rebuild(spark, gold.agg_daily_activity(events), cfg.agg_daily_activity)
         facts = days = None
     else:
         facts = load_fact(spark, cfg, events, mode, dates)
         days = load_daily(spark, cfg, events, mode, dates)
         if facts and compact_min_files is not None:
             compaction.compact(spark, cfg.fact_events, facts, compact_min_files)
-    if dimensions:
+    if dimensions and mode == "safe":
+        dimension_plan.update(spark, cfg, latest_name)
+    elif dimensions:
         rebuild(spark, gold.dim_repos(events, latest_name), cfg.dim_repos)
         rebuild(spark, gold.dim_users(events, latest_name), cfg.dim_users)
     # The daily aggregate is far smaller than the events and already holds the counts.
     daily = catalog.read(spark, cfg.agg_daily_activity)
     rebuild(spark, gold.stars_from_daily(daily), cfg.top_repos_by_stars)
+    if pending and (dates is None or set(pending) <= set(dates)):
+        merge.overwrite(spark.createDataFrame([], "event_date date"), cfg.changed_dates)
     if rules is not None:
         audits = [
             (cfg.fact_events, gold.FACT_RULES, None if audit_table else facts),
@@ -326,4 +356,25 @@ def run_all(
     ingest_archive(spark, cfg, archive.archive_path(archive_base, day, hour), limit)
     run_bronze(spark, cfg)
     run_silver(spark, cfg, stream)
-    return run_gold(spark, cfg)
+    return run_gold(spark, cfg, dates="changed")
+
+
+def run_hours(
+    spark: SparkSession,
+    cfg: PipelineConfig,
+    archive_base: str,
+    first: datetime,
+    last: datetime,
+    stream: bool = False,
+) -> DataFrame:
+    """All hours from ``first`` to ``last``, both included, in one run: one pass over the archive files, one
+    drain and one load of each table. The result is that of a run for every hour. An hour without a file
+    raises before anything is sent. The clean load looks back from the first day."""
+    if last < first:
+        raise ValueError(f"the last hour is before the first: {last} < {first}")
+    if cfg.run_date is None:
+        cfg = replace(cfg, run_date=str(first.date()))
+    ingest_archive(spark, cfg, archive.archive_paths(archive_base, first, last))
+    run_bronze(spark, cfg)
+    run_silver(spark, cfg, stream)
+    return run_gold(spark, cfg, dates="changed")

@@ -72,6 +72,12 @@ def work_dir(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/eventlake"
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate files, on whatever store it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new folder name under the shared folder; nothing is created yet."""
     return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"

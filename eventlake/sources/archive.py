@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date, datetime, time, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake import schemas
@@ -51,15 +51,34 @@ def archive_paths(base: str, first: datetime, last: datetime) -> list[str]:
     return [archive_path(base, t.date(), t.hour) for t in times]
 
 
+def line_position() -> Column:
+    """Where a line is, as one number that grows with the hours and with the lines of a file.
+
+    It is the hour in the file's name (of other names a checksum; 20 bits), the part of a file that can
+    be split (in MB, 14 bits), and a counter in the task that reads it, before any exchange (29 bits). How
+    files are dealt to tasks changes where a counter starts, but never the order of two lines.
+    """
+    name = F.col("_metadata.file_name")
+    at = F.try_to_timestamp(F.regexp_extract(name, r"^(\d{4}-\d{2}-\d{2}-\d{1,2})\.", 1), F.lit("yyyy-MM-dd-H"))
+    hour = F.coalesce(F.floor(F.unix_seconds(at) / 3600), F.crc32(name))
+    part = F.floor(F.col("_metadata.file_block_start") / (1 << 20))
+    counter = F.monotonically_increasing_id()
+    return (
+        F.shiftleft(F.pmod(hour, F.lit(1 << 20)), 43)
+        + F.shiftleft(F.pmod(part, F.lit(1 << 14)), 29)
+        + F.pmod(counter, F.lit(1 << 29))
+    ).cast("long")
+
+
 def read_archive(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
-    """Lines of the given files, column ``value``.
+    """Lines of the given files, column ``value``, and their ``position`` (see ``line_position``).
 
     A gzip file cannot be split, so one file is one task. A backfill has files enough for
     all cores; where one file has more than twice a core's even share, as in a run over
     a few hours, the lines are spread before the parsing starts.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    lines = spark.read.text(paths)
+    lines = spark.read.text(paths).withColumn("position", line_position())
     sizes = spark.read.format("binaryFile").load(paths).select("length")
     # One row, from the file listing.
     largest, total = sizes.agg(F.max("length"), F.sum("length")).first()
@@ -72,14 +91,17 @@ def read_archive(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Adds ``id``, ``type``, ``created_at`` and ``is_event`` to each line.
 
-    ``is_event`` is false for text that is not a JSON object, blank lines included.
+    ``is_event`` is false for text that is not a JSON object, blank lines included. ``position`` stays
+    where the lines have one.
     """
+    others = [c for c in lines.columns if c == "position"]
     parsed = lines.select(
-        F.col(column).alias("value"), event_fields(F.col(column), schemas.ARCHIVE_LINE)
+        F.col(column).alias("value"), *others, event_fields(F.col(column), schemas.ARCHIVE_LINE)
     )
     has_text = F.coalesce(F.col("value").rlike(r"\S"), F.lit(False))
     return parsed.select(
         "value",
+        *others,
         "id",
         "type",
         "created_at",

@@ -29,8 +29,8 @@ def kafka_read_options(cfg: PipelineConfig) -> dict[str, str]:
 
 def file_read_options(cfg: PipelineConfig) -> dict[str, str]:
     # Files count as unread however old they are; by default a stream skips files much
-    # older than the newest one.
-    options = {"maxFileAge": "36500d"}
+    # older than the newest one. With a retention, read files are deleted and forgotten after it.
+    options = {"maxFileAge": cfg.retention or "36500d"}
     if cfg.max_files_per_trigger:
         options["maxFilesPerTrigger"] = str(cfg.max_files_per_trigger)
     if cfg.max_bytes_per_trigger:
@@ -45,20 +45,24 @@ def message_stream(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     # Only the raw topic's folder is listed; the others have no reader here.
     return (
         spark.readStream.schema(schemas.LANDED)
-        .options(basePath=cfg.landing, **file_read_options(cfg))
+        .options(basePath=cfg.landing, cleanSource="delete" if cfg.retention else "off", **file_read_options(cfg))
         .parquet(f"{cfg.landing}/topic={cfg.topics.raw}/batch=*")
     )
 
 
 def with_positions(messages: DataFrame, partitions: int = 2) -> DataFrame:
-    """Partition by key, an offset that grows with it, and a send time: what a broker
-    would add. Offsets are unique within one batch of files."""
+    """Partition by key, an offset, and a send time: what a broker would add.
+
+    The offset is the position of the message's line in the archive, so of two messages with one key
+    the same comes first however many tasks have written them. Rows without a position are numbered.
+    """
+    offset = F.col("position") if "position" in messages.columns else F.monotonically_increasing_id()
     return messages.select(
         F.col("key").cast("binary").alias("key"),
         F.col("value").cast("binary").alias("value"),
         "topic",
         F.pmod(F.xxhash64("key"), F.lit(partitions)).cast("int").alias("partition"),
-        F.monotonically_increasing_id().alias("offset"),
+        offset.alias("offset"),
         F.current_timestamp().alias("timestamp"),
     )
 
