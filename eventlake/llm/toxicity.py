@@ -407,5 +407,7 @@ def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that are not classified as toxic, with their own columns."""
     model = train(docs, labels, **options)
-    rows = docs.select(F.struct(*docs.columns).alias("record"), "text")
-    return score(rows, model).where("toxic_score < 0.5").select("record.*")
+    others = [c for c in docs.columns if c != "text"]
+    scored = score(docs.select(F.struct(*others).alias("record"), "text"), model)
+    kept = scored.where("toxic_score < 0.5")
+    return kept.select(*[(F.col(c) if c == "text" else F.col("record")[c]).alias(c) for c in docs.columns])

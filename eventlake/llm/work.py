@@ -65,7 +65,7 @@ def beside(
     reads: list[str],
     keep: list[str],
     made: str | StructType,
-    rows: int = 10_000,
+    rows: int = 1_000,
 ) -> DataFrame:
     """The columns ``keep`` of ``df`` and those that ``work`` makes of the columns ``reads``.
 
@@ -96,9 +96,16 @@ def beside(
 _shipped: set[str] = set()
 
 
+#: Rows that Spark sends to a Python worker at once, unless the session says otherwise: texts are long.
+BATCH = 2_000
+BATCH_SETTING, SPARK_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, for the Python operators."""
     context = spark.sparkContext
+    if spark.conf.get(BATCH_SETTING) == SPARK_BATCH:
+        spark.conf.set(BATCH_SETTING, BATCH)
     if context.applicationId in _shipped:
         return
     package = Path(__file__).resolve().parent.parent
