@@ -1,7 +1,7 @@
 """Event analytics on Spark: hourly JSON archives to a small star schema."""
 
 from eventlake.config import PipelineConfig, Table, Topics
-from eventlake.plans.run import ingest_archive, run_all, run_bronze, run_gold, run_silver
+from eventlake.plans.run import ingest_archive, run_all, run_bronze, run_gold, run_hours, run_silver
 from eventlake.session import build_session
 
 __all__ = [
@@ -13,5 +13,6 @@ __all__ = [
     "run_all",
     "run_bronze",
     "run_gold",
+    "run_hours",
     "run_silver",
 ]
