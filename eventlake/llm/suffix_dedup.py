@@ -27,11 +27,12 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.llm.suffix_sort import ranges, suffix_arrays
-from eventlake.llm.work import beside, ship, stored, whole
+from eventlake.llm.work import BATCH, beside, ship, stored, whole
 
 SPAN, GRAM = 100, 48
 WINDOW = SPAN - GRAM + 1
@@ -276,19 +277,38 @@ def repeats_in(groups: list[list[tuple[int, int, bytes]]]) -> tuple[np.ndarray,
     return row[at], place[at], ends
 
 
+#: Strings of large groups that go out in one frame.
+STRINGS = 100_000
 SORTED = "single boolean, row long, start int, end int, high long, low long"
 
 
 def strings_of(row: int, start: int, data: bytes):
     """Row, place and digest of every string of ``SPAN`` bytes."""
     n = len(data) - SPAN + 1
-    digests = [hashlib.blake2b(data[i : i + SPAN], digest_size=16).digest() for i in range(n)]
+    digests = [xxhash.xxh3_128_digest(data[i : i + SPAN]) for i in range(n)]
     return row, start, n, b"".join(digests)
 
 
 def sort_groups(batches):
     """Repeats of groups that come one after the other; strings of the groups still too large."""
     groups, group, key, size = [], [], None, 0
+    strings, held = [], 0
+
+    def digests():
+        """The strings of the members of large groups that were gathered."""
+        n = np.array([x[2] for x in strings])
+        at, owner = ranges(np.array([x[1] for x in strings]), np.array([x[1] for x in strings]) + n)
+        digest = np.frombuffer(b"".join([x[3] for x in strings]), dtype=np.int64).reshape(-1, 2)
+        return pd.DataFrame(
+            {
+                "single": np.ones(len(at), bool),
+                "row": np.array([x[0] for x in strings])[owner],
+                "start": at,
+                "end": at + SPAN,
+                "high": digest[:, 0],
+                "low": digest[:, 1],
+            }
+        )
 
     def flush():
         row, start, end = repeats_in([g for g in groups if len(g) > 1])
@@ -302,19 +322,11 @@ def sort_groups(batches):
         if large.any():
             columns = (batch[c][large] for c in ("row", "start", "data"))
             found = [strings_of(*x) for x in zip(*columns, strict=True)]
-            n = np.array([x[2] for x in found])
-            at, owner = ranges(np.array([x[1] for x in found]), np.array([x[1] for x in found]) + n)
-            digest = np.frombuffer(b"".join([x[3] for x in found]), dtype=np.int64).reshape(-1, 2)
-            yield pd.DataFrame(
-                {
-                    "single": np.ones(len(at), bool),
-                    "row": np.array([x[0] for x in found])[owner],
-                    "start": at,
-                    "end": at + SPAN,
-                    "high": digest[:, 0],
-                    "low": digest[:, 1],
-                }
-            )
+            strings += found
+            held += sum(x[2] for x in found)
+            if held >= STRINGS:
+                yield digests()
+                strings, held = [], 0
         columns = (batch[c][~large] for c in ("key", "row", "start", "data"))
         for k, row, start, data in zip(*columns, strict=True):
             if k != key:
@@ -326,6 +338,8 @@ def sort_groups(batches):
                 group, key = [], k
             group.append((row, start, bytes(data)))
             size += len(data) + 2
+    if strings:
+        yield digests()
     groups.append(group)
     yield flush()
 
@@ -420,7 +434,7 @@ def measure(docs: DataFrame) -> DataFrame:
 
     rows = with_repeats(docs.select("doc_id", whole().alias("text")))
     made = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return beside(rows, run, ["text", "starts", "ends"], ["doc_id"], made)
+    return beside(rows, run, ["text", "starts", "ends"], ["doc_id"], made, rows=BATCH)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
