@@ -2,14 +2,14 @@
 
 import gzip
 import random
-from datetime import date, datetime
+from datetime import datetime
 from pathlib import Path
 
 import pytest
 from conftest import bronze_rows, event
 from test_runs import assert_equals_full_refresh, lake, send, stored_silver  # noqa: F401
 
-from eventlake import build_session, run_all, run_bronze, run_gold, run_silver
+from eventlake import run_all, run_bronze, run_gold, run_silver
 from eventlake.operators import merge, quality
 from eventlake.operators.key_ranges import partitions_with
 from eventlake.operators.staging import staging
