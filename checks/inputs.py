@@ -160,7 +160,7 @@ def lake(spark: SparkSession, label: str):
 
 
 def stored(spark: SparkSession, t: Table) -> DataFrame:
-    return spark.read.parquet(t.path)
+    return spark.read.parquet(catalog.current_folder(spark, t))
 
 
 def land(df: DataFrame, cfg: PipelineConfig, batch: str) -> None:

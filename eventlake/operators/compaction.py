@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,25 +15,15 @@ TARGET_FILE_BYTES = 256 * 1024 * 1024
 
 
 def file_stats(spark: SparkSession, table: Table, only: list[Row] | None = None) -> DataFrame:
-    """``<partition columns>, files, bytes`` for each partition, without reading contents.
-    With ``only`` no other partition is listed."""
-    root = catalog.location(spark, table)
-    paths = [root]
+    """``<partition columns>, files, bytes`` for each partition; with ``only`` no other partition is listed.
+    Name and size of its file come with every row, no column is read, and the names are reduced and
+    counted in tasks. A file without rows does not count."""
+    rows = catalog.read(spark, table)
     if only is not None:
-        chosen = spark.table(table.name).where(in_partitions(table.partition_by, only))
-        paths = [unquote(path) for path in chosen.inputFiles()] or paths
-    # Partition values as text: guessing a type would change some of them.
-    with setting(spark, "spark.sql.sources.partitionColumnTypeInference.enabled", "false"):
-        files = spark.read.format("binaryFile").option("basePath", root).load(paths)
-    types = {f.name: f.dataType for f in spark.table(table.name).schema}
-    if not set(table.partition_by) <= set(files.columns):
-        # A table without files has no partition folders to take the columns from.
-        files = files.select("*", *[F.lit(None).alias(c) for c in table.partition_by])
-    by = [F.col(c).cast(types[c]).alias(c) for c in table.partition_by]
-    return (
-        files.select(*by, "length")
-        .groupBy(*table.partition_by)
-        .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+        rows = rows.where(in_partitions(table.partition_by, only))
+    files = rows.select(*table.partition_by, "_metadata.file_path", "_metadata.file_size").distinct()
+    return files.groupBy(*table.partition_by).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("file_size").alias("bytes")
     )
 
 

@@ -78,7 +78,9 @@ def _save(df: DataFrame, table: Table, mode: str, aligned: bool) -> None:
     if table.partition_by:
         writer = writer.partitionBy(*table.partition_by)
     if table.path:
-        writer = writer.option("path", table.path)
+        # Not where builds of a table were that has been dropped since.
+        later = catalog.current_folder(df.sparkSession, table) != table.path
+        writer = writer.option("path", catalog.next_folder(df.sparkSession, table) if later else table.path)
     if mode == "overwrite":
         writer = writer.option("overwriteSchema", "true")
     writer.saveAsTable(table.name)
@@ -118,16 +120,32 @@ def create(df: DataFrame, table: Table, aligned: bool = False) -> None:
 
 
 def overwrite(df: DataFrame, table: Table, aligned: bool = False) -> None:
-    """Replace a table, its schema included. The input must not read the table."""
+    """Replace a table, its schema included.
+
+    A table with a path is built in a new folder, and becomes the table when it is complete: a run that
+    dies before leaves the old one as it was, and the input may read the table. The old build stays
+    until the next one, for readers that have started; those before it are deleted. The input must
+    not read a table without a path.
+    """
+    spark = df.sparkSession
     _note_ranges(df, table)
-    with setting(df.sparkSession, OVERWRITE_MODE, "static"):
-        _save(df, table, "overwrite", aligned)
+    if table.path is None or table.provider == "delta":
+        with setting(spark, OVERWRITE_MODE, "static"):
+            _save(df, table, "overwrite", aligned)
+        return
+    before, folder = catalog.current_folder(spark, table), catalog.next_folder(spark, table)
+    writer = _laid_out(df, table, aligned).write.format(table.provider)
+    if table.partition_by:
+        writer = writer.partitionBy(*table.partition_by)
+    writer.save(folder)
+    catalog.point(spark, table, df.schema, folder)
+    catalog.drop_builds(spark, table, {before, folder})
 
 
 def rebuild(spark: SparkSession, df: DataFrame, table: Table) -> None:
-    """Overwrite a table with rows that are stored already, so that a failure while they
-    are computed leaves the old table."""
-    overwrite(stage(spark, df, table), table)
+    """Overwrite a table with rows that may come from it. A failure while they are computed leaves
+    the old table; without a path they are stored first for that."""
+    overwrite(df if table.path else stage(spark, df, table), table)
 
 
 def append(spark: SparkSession, df: DataFrame, table: Table) -> None:

@@ -1,7 +1,9 @@
 """Table writes: merges, partition replacement, compaction."""
 
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -23,7 +25,7 @@ from eventlake.operators import (
     upsert,
 )
 from eventlake.operators.incremental import in_partitions, partition_values
-from eventlake.operators.merge import OVERWRITE_MODE, empty_partition
+from eventlake.operators.merge import OVERWRITE_MODE, empty_partition, rebuild
 from eventlake.session import setting
 from eventlake.sources import catalog
 
@@ -150,6 +152,77 @@ def test_overwrite_removes_old_partitions_whatever_the_session_says(spark, table
     assert spark.read.parquet(catalog.location(spark, table)).count() == 1
 
 
+def _failing(spark, *data):
+    """Rows of which the last task's cannot be computed."""
+    bad = rows(spark, ("bad", 1, D3)).withColumn("v", F.raise_error(F.lit("lost")).cast("int"))
+    return rows(spark, *data).unionByName(bad)
+
+
+@pytest.mark.parametrize("partitioned", [True, False])
+def test_a_failed_rebuild_leaves_the_old_table(spark, table, partitioned):
+    table = table if partitioned else replace(table, partition_by=())
+    old = [("a", 1, D1), ("b", 1, D2)]
+    create(rows(spark, *old), table)
+    for _ in range(2):
+        with pytest.raises(Exception, match="lost"):
+            rebuild(spark, _failing(spark, ("c", 1, D2)), table)
+        assert content(spark, table) == old
+    if table.path is not None:
+        spark.sql(f"DROP TABLE {table.name}")
+        catalog.attach(spark, table)
+        assert content(spark, table) == old
+    append(spark, rows(spark, ("c", 1, D3)), table)
+    rebuild(spark, catalog.read(spark, table).where("k != 'a'").select("k", "v", "d"), table)
+    assert content(spark, table) == [("b", 1, D2), ("c", 1, D3)]
+    append(spark, rows(spark, ("d", 1, D1)), table)
+    rebuild(spark, rows(spark), table)
+    assert content(spark, table) == []
+    append(spark, rows(spark, ("e", 1, D1)), table)
+    assert content(spark, table) == [("e", 1, D1)]
+
+
+@pytest.mark.parametrize("known", [True, False])
+def test_a_build_that_the_catalog_never_saw(spark, table, known, monkeypatch):
+    """The run dies between the last file of a build and the change of the catalog."""
+    if table.path is None:
+        pytest.skip("managed tables are overwritten in place")
+    create(rows(spark, ("a", 1, D1)), table)
+    with monkeypatch.context() as died:
+        died.setattr(catalog, "point", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            overwrite(rows(spark, ("b", 1, D2)), table)
+    assert content(spark, table) == [("a", 1, D1)]
+    if not known:
+        spark.sql(f"DROP TABLE {table.name}")
+    catalog.attach(spark, table)
+    assert content(spark, table) == [("b", 1, D2)]
+    append(spark, rows(spark, ("c", 1, D1)), table)
+    assert content(spark, table) == [("b", 1, D2), ("c", 1, D1)]
+
+
+def test_readers_of_the_old_build_finish(spark, table):
+    if table.path is None:
+        pytest.skip("managed tables are overwritten in place")
+    create(rows(spark, ("a", 1, D1)), table)
+    for n in range(4):
+        reader = catalog.read(spark, table)
+        overwrite(rows(spark, ("b", n, D1)), table)
+        assert reader.count() == 1
+    folders = {f.name for f in Path(table.path).parent.iterdir() if f.name.startswith("t")}
+    assert folders == {"t__000003", "t__000004"}
+
+
+def test_a_dropped_table_is_created_beside_its_builds(spark, table):
+    if table.path is None:
+        pytest.skip("managed tables are overwritten in place")
+    create(rows(spark, ("a", 1, D1)), table)
+    overwrite(rows(spark, ("b", 1, D1)), table)
+    spark.sql(f"DROP TABLE {table.name}")
+    create(rows(spark, ("c", 1, D1)), table)
+    catalog.attach(spark, table)
+    assert content(spark, table) == [("c", 1, D1)]
+
+
 def test_overwrites_from_several_threads(spark, table):
     """One thread replaces single partitions while others overwrite tables as a whole."""
     create(rows(spark, ("a", 1, D1), ("b", 1, D2)), table)
