@@ -98,13 +98,23 @@ def route_topics(spark, sf_dir):
 
 @query
 def delivery_reconcile(spark, sf_dir):
-    """Lines in, messages out and the difference, from the messages as written."""
-    lines = archive.parse_lines(inputs.archive_lines(spark, sf_dir, dirty=True))
+    """Lines in, messages they call for, messages in the log, and how many of them are missing."""
     folder = fresh_dir(spark, "check-delivery")
-    routing.route(routing.keyed_messages(lines), Topics()).write.partitionBy("topic").parquet(
-        folder
+    lines = inputs.archive_lines(spark, sf_dir, dirty=True)
+    lines.write.option("compression", "gzip").text(folder)
+    with inputs.lake(spark, "delivery") as cfg:
+        counts = ingest_archive(spark, cfg, folder)
+        is_raw = F.col("topic") == cfg.topics.raw
+        log = spark.read.parquet(cfg.landing).agg(
+            F.count_if(is_raw).alias("raw_messages"), F.count_if(~is_raw).alias("routed_messages")
+        )
+    given = ("source_lines", "malformed_lines", "expected_messages")
+    return log.select(
+        *[F.lit(counts[c]).cast("long").alias(c) for c in given],
+        "raw_messages",
+        "routed_messages",
+        (F.lit(counts["expected_messages"]) - F.col("raw_messages") - F.col("routed_messages")).alias("missing"),
     )
-    return routing.reconcile(lines, spark.read.parquet(folder), Topics())
 
 
 # --------------------------------------------------------------------------------- raw

@@ -29,7 +29,7 @@ from eventlake.operators.quality import (
     enforce_all,
 )
 from eventlake.operators.ranking import first_n, top_k
-from eventlake.operators.routing import keyed_messages, reconcile, route
+from eventlake.operators.routing import expected_messages, keyed_messages, route
 from eventlake.operators.staging import stage
 
 __all__ = [
@@ -45,6 +45,7 @@ __all__ = [
     "create",
     "enforce",
     "enforce_all",
+    "expected_messages",
     "file_stats",
     "first_n",
     "first_per_key",
@@ -57,7 +58,6 @@ __all__ = [
     "on_dates",
     "overwrite",
     "overwrite_partitions",
-    "reconcile",
     "replace_partitions",
     "route",
     "rows_after",

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from eventlake.config import PipelineConfig, Table
 from eventlake.operators import compaction, incremental, merge, quality
 from eventlake.operators.ranking import first_n
-from eventlake.operators.routing import keyed_messages, route
+from eventlake.operators.routing import expected_messages, keyed_messages, route
 from eventlake.operators.merge import rebuild
 from eventlake.operators.staging import stage, staging
 from eventlake.plans import bronze as bronze_plan
@@ -31,6 +31,17 @@ from eventlake.streaming.silver import start_silver
 logger = logging.getLogger(__name__)
 
 
+#: What ``ingest_archive`` counts.
+COUNTS = (
+    "source_lines",
+    "malformed_lines",
+    "expected_messages",
+    "messages",
+    "raw_messages",
+    "delivered",
+)
+
+
 class DeliveryError(RuntimeError):
     """Fewer messages arrived than were sent."""
 
@@ -48,12 +59,15 @@ def ingest_archive(
 
     ``limit`` sends only the first events, by time and id. Sending an hour again adds its
     messages again; the clean table drops the copies.
+
+    What the lines call for is counted apart from the messages, in the pass that writes them. The file log
+    is counted as it landed; a broker has acknowledged what the writer was given, or the job fails.
     """
     use_utc(spark)
     lines = archive.parse_lines(archive.read_archive(spark, paths))
     if limit == 0:
-        return dict.fromkeys(("source_lines", "malformed_lines", "messages", "raw_messages"), 0)
-    seen = Observation("lines")
+        return dict.fromkeys(COUNTS, 0)
+    seen, due = Observation("lines"), Observation("due")
     lines = lines.observe(
         seen,
         F.count(F.lit(1)).alias("source_lines"),
@@ -61,22 +75,15 @@ def ingest_archive(
     )
     if limit is not None:
         lines = first_n(lines.where("is_event"), limit, ["created_at", "id", "position"])
-    sent = Observation("messages")
-    out = route(keyed_messages(lines), cfg.topics).observe(
-        sent,
-        F.count(F.lit(1)).alias("messages"),
-        F.count_if(F.col("topic") == cfg.topics.raw).alias("raw_messages"),
-    )
+    out = route(keyed_messages(lines.observe(due, expected_messages(cfg.topics))), cfg.topics)
     batch = f"b-{uuid.uuid4().hex}"
-    messages.write_messages(out, cfg, batch)
-    counts = {**seen.get, **sent.get}
-    if cfg.message_source == "files":
-        counts["delivered"] = 0
-        if counts["messages"]:
-            counts["delivered"] = messages.landed_messages(spark, cfg, batch).count()
-        if counts["delivered"] != counts["messages"]:
-            raise DeliveryError(f"sent {counts['messages']}, delivered {counts['delivered']}")
+    written = messages.write_messages(out, cfg, batch)
+    counts = {**seen.get, **due.get, **written, "delivered": written["messages"]}
+    if cfg.message_source == "files" and counts["messages"]:
+        counts["delivered"] = messages.landed_messages(spark, cfg, batch).count()
     logger.info("archive: %s", counts)
+    if counts["delivered"] != counts["expected_messages"]:
+        raise DeliveryError(f"sent {counts['expected_messages']}, delivered {counts['delivered']}")
     return counts
 
 

@@ -5,7 +5,7 @@ Both have the same six columns, so everything downstream is the same for either.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake import schemas
@@ -67,18 +67,24 @@ def with_positions(messages: DataFrame, partitions: int = 2) -> DataFrame:
     )
 
 
-def write_messages(messages: DataFrame, cfg: PipelineConfig, batch: str) -> None:
-    """Append ``key, value, topic`` rows to the log; the topic is taken per row."""
+def _send(messages: DataFrame, cfg: PipelineConfig) -> None:
+    """To the broker, which acknowledges each message; one that it refuses fails the job."""
+    rows = messages.select(F.col("key").cast("binary"), F.col("value").cast("binary"), "topic")
+    rows.write.format("kafka").options(**cfg.kafka_options).save()
+
+
+def write_messages(messages: DataFrame, cfg: PipelineConfig, batch: str) -> dict[str, int]:
+    """Append ``key, value, topic`` rows to the log; the topic is taken per row. Returns how many
+    the writer was given, in all and of the raw topic, counted in the pass that writes them."""
+    written = Observation("messages")
+    messages = messages.observe(
+        written,
+        F.count(F.lit(1)).alias("messages"),
+        F.count_if(F.col("topic") == cfg.topics.raw).alias("raw_messages"),
+    )
     if cfg.message_source == "kafka":
-        (
-            messages.select(
-                F.col("key").cast("binary"), F.col("value").cast("binary"), "topic"
-            )
-            .write.format("kafka")
-            .options(**cfg.kafka_options)
-            .save()
-        )
-        return
+        _send(messages, cfg)
+        return written.get
     # One open file per topic spares the writer a sort of the messages.
     topics = str(1 + len(cfg.topics.by_event_type))
     with setting(messages.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", topics):
@@ -89,6 +95,7 @@ def write_messages(messages: DataFrame, cfg: PipelineConfig, batch: str) -> None
             .partitionBy("topic", "batch")
             .parquet(cfg.landing)
         )
+    return written.get
 
 
 def landed_messages(spark: SparkSession, cfg: PipelineConfig, batch: str) -> DataFrame:
