@@ -23,7 +23,7 @@ from eventlake.plans import gold, silver
 from eventlake.plans.run import load_daily, load_fact
 from eventlake.session import fresh_dir, use_utc
 from eventlake.sources import archive, catalog
-from eventlake.streaming import start_bronze, start_silver
+from eventlake.streaming import start_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -186,7 +186,7 @@ def bronze_schema_evolution(spark, sf_dir):
         inputs.land(sent.where(F.col("timestamp") <= inputs.cut()), cfg, "b-1")
         run_bronze(spark, cfg)
         inputs.land(sent.where(F.col("timestamp") > inputs.cut()), cfg, "b-2")
-        start_bronze(spark, cfg, [F.lit("second load").alias("origin")]).awaitTermination()
+        run_bronze(spark, cfg, extra=[F.lit("second load").alias("origin")])
         rows = spark.read.option("mergeSchema", "true").parquet(cfg.raw_events.path)
         return rows.groupBy("origin").agg(F.count(F.lit(1)).alias("n"))
 
@@ -616,3 +616,25 @@ def archive_to_gold(spark, sf_dir):
     """The daily aggregate after one run over all stages."""
     cfg = archive_to_star_schema(spark, sf_dir, "end_to_end")
     return inputs.stored(spark, cfg.agg_daily_activity).drop("ingested_at")
+
+
+def hours_on_history(spark: SparkSession, sf_dir: str, first: str, time) -> float:
+    """The time of one hour, from archive file to star schema, on top of the stored events since ``first``."""
+    folder = fresh_dir(spark, "check-hour")
+    last = F.lit("2024-01-30 12:00:00").cast("timestamp")
+    lines = inputs.archive_lines(spark, sf_dir)
+    at = F.to_timestamp(F.get_json_object("value", "$.created_at"))
+    parts = {"history": (at >= F.lit(first).cast("timestamp")) & (at < last)}
+    parts["hour"] = (at >= last) & (at < last + F.expr("INTERVAL 1 HOUR"))
+    for name, rows in parts.items():
+        lines.where(rows).write.option("compression", "gzip").text(f"{folder}/{name}")
+
+    def load(cfg, name):
+        ingest_archive(spark, cfg, f"{folder}/{name}")
+        run_bronze(spark, cfg)
+        run_silver(spark, cfg, stream=True)
+        run_gold(spark, cfg, dates="changed", rules="fail")
+
+    with inputs.lake(spark, "hour") as cfg:
+        load(cfg, "history")
+        return time(lambda: load(cfg, "hour"))

@@ -11,7 +11,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import replace
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.config import PipelineConfig, Table
@@ -91,17 +91,22 @@ def ingest_archive(
 
 
 def run_bronze(
-    spark: SparkSession, cfg: PipelineConfig, audit_table: bool = False
+    spark: SparkSession,
+    cfg: PipelineConfig,
+    audit_table: bool = False,
+    extra: Sequence[Column] = (),
 ) -> DataFrame:
     """Drain the message log into the raw table, check it, and return row count and
     latest ingestion time.
 
-    The rules cover the partitions this run can have written, or all with ``audit_table``.
+    The rules cover the partitions this run can have written, or all with ``audit_table``. Columns of
+    ``extra`` are added to the table on first use, and earlier rows are NULL there; a later run without them leaves
+    them NULL.
     """
     use_utc(spark)
     catalog.create_schemas(spark, cfg)
     today = datetime.now(timezone.utc).date()
-    start_bronze(spark, cfg).awaitTermination()
+    start_bronze(spark, cfg, extra).awaitTermination()
     table = catalog.read(spark, cfg.raw_events)
     recent = table if audit_table else table.where(F.col("ingestion_date") >= F.lit(today))
     quality.enforce(recent, cfg.raw_events.name, bronze_plan.RULES)

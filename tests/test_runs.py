@@ -90,6 +90,11 @@ def test_bronze_gains_a_column(spark, lake):
     assert "origin" in merged.columns and merged.count() == 2
     send(spark, lake, event("3"), batch="b3")
     assert run_bronze(spark, lake).first()["rows"] == 3
+    send(spark, lake, event("4"), batch="b4")
+    added = [F.lit("v4").alias("origin"), F.lit(4).alias("shard")]
+    assert run_bronze(spark, lake, extra=added).first()["rows"] == 4
+    stored = {r.event_id: (r.origin, r.shard) for r in spark.table(lake.raw_events.name).collect()}
+    assert stored == {"1": (None, None), "2": ("v2", None), "3": (None, None), "4": ("v4", 4)}
 
 
 def test_bronze_rules(spark, lake):
