@@ -131,8 +131,9 @@ def _same_folder(a: str, b: str) -> bool:
 
 def location(spark: SparkSession, table: Table) -> str:
     """Folder of an existing table."""
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table.name}")
-    return rows.where("col_name = 'Location'").first()["data_type"]
+    # A few rows for each column, which the catalog has; filtering them on the driver starts no job.
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table.name}").collect()
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location")
 
 
 def add_missing_columns(spark: SparkSession, table: Table, df: DataFrame) -> list[str]:
