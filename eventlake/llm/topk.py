@@ -54,7 +54,7 @@ def segments(v: np.ndarray, parts: int) -> np.ndarray:
 
 
 def search_block(qid, q, cid, c, k: int):
-    """Top k of each query among the candidates of a block: (query row, candidate row, score)."""
+    """Top k of each query among the candidates of a block: (position of the query, candidate id, score)."""
     qf, cf = q.astype(np.float64), c.astype(np.float64)
     longest = np.abs(qf).max(initial=0) * np.abs(cf).max(initial=0) * max(1, q.shape[1])
     exact = cf if longest < EXACT else c
@@ -77,7 +77,7 @@ def search_block(qid, q, cid, c, k: int):
             alive = alive[bound >= least]
         score = exact[alive] @ queries[i]
         best = np.lexsort((cid[alive], -score))[:k]
-        rows.append((np.full(len(best), qid[i]), cid[alive[best]], score[best].astype(np.int64)))
+        rows.append((np.full(len(best), i), cid[alive[best]], score[best].astype(np.int64)))
     return [np.concatenate(x) for x in zip(*rows, strict=True)] if rows else None
 
 
@@ -91,7 +91,8 @@ def top_k(
     block: int = 8192,
     query_block: int = 1024,
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score) of every row for which ``is_query`` holds."""
+    """(query_id, rank, vec_id, score) of every row for which ``is_query`` holds. Query rows with one id
+    each give ``k`` rows."""
     ship(vectors.sparkSession)
     rows = stored(
         quantised(vectors.withColumn("_query", is_query), key, column, scale)
@@ -99,7 +100,9 @@ def top_k(
         "vectors",
     )
     queries = stored(
-        quantised(vectors.where(is_query), key, column, scale).withColumn("place", F.xxhash64("id", "v", F.lit(1))),
+        quantised(vectors.where(is_query), key, column, scale)
+        .withColumn("place", F.xxhash64("id", "v", F.lit(1)))
+        .withColumn("query_row", F.monotonically_increasing_id()),
         "queries",
     )
     n, n_queries = rows.count(), queries.count()
@@ -114,20 +117,19 @@ def top_k(
     by = [F.col("cb").cast("int"), F.col("qb").cast("int"), F.col("dim")]
 
     def meet(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        found = None
+        ids, found = q["id"].to_numpy(), None
         if len(q) and len(c):
-            found = search_block(
-                q["id"].to_numpy(), np.stack(q["v"]), c["id"].to_numpy(), np.stack(c["v"]), k
-            )
-        out = found or [np.zeros(0, np.int64)] * 3
-        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), out, strict=True)))
+            found = search_block(ids, np.stack(q["v"]), c["id"].to_numpy(), np.stack(c["v"]), k)
+        at, vec_id, score = found or [np.zeros(0, np.int64)] * 3
+        own = q["query_row"].to_numpy()
+        return pd.DataFrame({"query_row": own[at], "query_id": ids[at], "vec_id": vec_id, "score": score})
 
     near = (
         left.groupBy(*by)
         .cogroup(right.groupBy(*by))
-        .applyInPandas(meet, "query_id long, vec_id long, score long")
+        .applyInPandas(meet, "query_row long, query_id long, vec_id long, score long")
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return (
         near.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
