@@ -26,7 +26,7 @@ from eventlake.operators.key_ranges import (
     side_table,
 )
 from eventlake.operators.quality import DataQualityError, duplicate_keys
-from eventlake.operators.staging import stage
+from eventlake.operators.staging import stage, staging
 from eventlake.session import setting
 from eventlake.sources import catalog
 
@@ -232,13 +232,18 @@ def reject_duplicate_keys(source: DataFrame, key: str) -> None:
         raise DataQualityError(f"DATA QUALITY FAILURE: several source rows per {key} in an upsert")
 
 
-def upsert(spark: SparkSession, source: DataFrame, table: Table) -> None:
+def upsert(spark: SparkSession, source: DataFrame, table: Table, is_stored: bool = False) -> None:
     """Replace the rows whose key is in the source and insert the others.
 
     Without matching keys this is an append. Otherwise one job rewrites the partitions of
     the matched rows and of the source, so a row whose partition changes leaves its old
-    one; partitions left without rows are removed.
+    one; partitions left without rows are removed. The source is read more than once and is stored
+    first, unless it ``is_stored`` already.
     """
+    if not is_stored and table.provider != "delta" and catalog.exists(spark, table):
+        with staging(spark):
+            upsert(spark, stage(spark, source, table), table, is_stored=True)
+        return
     key = table.key
     reject_duplicate_keys(source, key)
     if not catalog.exists(spark, table):
@@ -262,16 +267,19 @@ def upsert(spark: SparkSession, source: DataFrame, table: Table) -> None:
     if not by:
         raise ValueError(f"upsert needs a partitioned table: {table.name}")
     candidates = in_key_range(target.select(key, *by), keys, key)
-    matched = partition_values(candidates.join(keys, key, "left_semi"), by)
-    if not matched:
+    found = candidates.join(keys, key, "left_semi").groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    # One row for each partition with a matched key.
+    replaced = {tuple(r[c] for c in by): r for r in found.collect()}
+    if not replaced:
         append(spark, source, table)
         return
-    incoming = partition_values(source, by)
-    touched = list({*matched, *incoming})
+    incoming = {tuple(r): r for r in partition_values(source, by)}
+    touched = list({**replaced, **incoming}.values())
+    left = [r for values, r in replaced.items() if values not in incoming]
+    # A partition that loses as many rows as it has is empty afterwards; file footers tell how many.
+    sizes = target.where(in_partitions(by, left)).groupBy(*by).agg(F.count(F.lit(1)).alias("n")) if left else None
+    emptied = [r for r in sizes.collect() if r["n"] == replaced[tuple(r[c] for c in by)]["n"]] if left else []
     kept = target.where(in_partitions(by, touched)).join(keys, key, "left_anti")
-    left = list({*matched} - {*incoming})
-    still_used = partition_values(kept.where(in_partitions(by, left)), by) if left else []
     replace_partitions(spark, kept.unionByName(source), table)
-    for partition in left:
-        if partition not in still_used:
-            empty_partition(spark, table, partition)
+    for partition in emptied:
+        empty_partition(spark, table, partition)

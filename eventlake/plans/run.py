@@ -206,7 +206,7 @@ def load_fact(
         mark = incremental.stored_mark(target)
         new = stage(spark, incremental.rows_after(events, mark), table)
         dimension_plan.add_load(spark, cfg, new)
-        merge.upsert(spark, gold.fact_events(new), table)
+        merge.upsert(spark, gold.fact_events(new), table, is_stored=True)
         return incremental.partition_values(new, table.partition_by)
     behind = incremental.partition_values(
         incremental.dates_out_of_step(

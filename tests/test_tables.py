@@ -77,6 +77,18 @@ def test_upsert_moves_a_key_and_removes_the_emptied_partition(spark, table):
     assert left.count() == 4
 
 
+def test_upsert_removes_exactly_the_emptied_partitions(spark, table):
+    create(rows(spark, ("a", 1, D1), ("b", 1, D1), ("c", 1, D2), ("d", 1, None), ("e", 1, D3)), table)
+    # D1 keeps a row, D2 and the partition without a date lose all they have, D3 gets its row back.
+    source = rows(spark, ("a", 2, D3), ("c", 2, D3), ("d", 2, D3), ("e", 2, D3), ("f", 2, D3))
+    upsert(spark, source.withColumn("v", (F.rand() * 0 + 2).cast("int")), table)
+    assert content(spark, table) == [("a", 2, D3), ("b", 1, D1), ("c", 2, D3), ("d", 2, D3), ("e", 2, D3), ("f", 2, D3)]
+    assert partitions(spark, table)[:2] == ["d=2024-01-01", "d=2024-01-03"]
+    for partition in ("d=2024-01-02", "d=__HIVE_DEFAULT_PARTITION__"):
+        folder = Path(catalog.location(spark, table).removeprefix("file:")) / partition
+        assert not list(folder.glob("*.parquet")) or spark.read.parquet(str(folder)).count() == 0
+
+
 def test_upsert_without_matches_rewrites_nothing(spark, table):
     create(rows(spark, ("a", 1, D1)), table)
     before = set(spark.table(table.name).inputFiles())
