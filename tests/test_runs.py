@@ -93,7 +93,8 @@ def test_bronze_gains_a_column(spark, lake):
     send(spark, lake, event("4"), batch="b4")
     added = [F.lit("v4").alias("origin"), F.lit(4).alias("shard")]
     assert run_bronze(spark, lake, extra=added).first()["rows"] == 4
-    stored = {r.event_id: (r.origin, r.shard) for r in spark.table(lake.raw_events.name).collect()}
+    rows = spark.table(lake.raw_events.name).withColumn("id", F.get_json_object("raw_json", "$.id"))
+    stored = {r.id: (r.origin, r.shard) for r in rows.collect()}
     assert stored == {"1": (None, None), "2": ("v2", None), "3": (None, None), "4": ("v4", 4)}
 
 
