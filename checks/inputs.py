@@ -135,6 +135,26 @@ def bronze(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
     return to_bronze(messages(spark, sf_dir, dirty), F.col("timestamp"))
 
 
+def archive_files(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the archive: a gzip file for each hour that has events, named as the archive names it."""
+    folder = fresh_dir(spark, "check-hours")
+    hour = F.concat(F.to_date("event_timestamp"), F.lit("-"), F.hour("event_timestamp"))
+    (
+        event_json(spark, sf_dir)
+        .select(hour.alias("hour"), "raw_json")
+        .repartition("hour")
+        .write.partitionBy("hour")
+        .text(folder, compression="gzip")
+    )
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    # One file a folder, as an hour is in one task.
+    for file in fs.globStatus(path(f"{folder}/hour=*/part-*")):
+        name = file.getPath().getParent().getName().removeprefix("hour=")
+        fs.rename(file.getPath(), path(f"{folder}/{name}.json.gz"))
+    return folder
+
+
 @contextmanager
 def lake(spark: SparkSession, label: str):
     """A configuration whose tables lie in a new folder of the shared one.

@@ -130,6 +130,11 @@ ORACLES: dict[str, str] = {
     "archive_hour_filter": f"""WITH {SILVER}
         SELECT event_id, event_type, event_timestamp FROM silver
         WHERE event_date = '2024-01-15' AND event_hour = 12""",
+    "archive_hour_files": f"""WITH {PARSED}
+        SELECT event_id, event_type AS type, strftime(event_timestamp, '%Y-%m-%dT%H:%M:%SZ') AS created_at
+        FROM parsed
+        WHERE event_timestamp >= TIMESTAMP '2024-01-14 12:00:00'
+          AND event_timestamp < TIMESTAMP '2024-01-16 00:00:00'""",
     "limit_n": f"""WITH {SILVER}
         SELECT event_id, event_type, event_timestamp FROM silver
         ORDER BY event_timestamp, event_id LIMIT 500""",
@@ -180,6 +185,11 @@ ORACLES: dict[str, str] = {
             FROM lineitem
         ) WHERE n = 1""",
     "silver_view": f"WITH {SILVER} SELECT {SILVER_LIST} FROM silver",
+    "silver_run_date": f"""WITH {PARSED}
+        SELECT {SILVER_LIST} FROM parsed WHERE CAST(ingested_at AS DATE) >= DATE '2024-01-17'""",
+    "silver_today": f"""WITH {PARSED}
+        SELECT * EXCLUDE (ingested_at) FROM (SELECT {SILVER_LIST} FROM parsed)
+        WHERE CAST(event_id AS BIGINT) % 4 <= 1""",
     "silver_create": f"WITH {PARSED} SELECT {SILVER_LIST} FROM parsed",
     "silver_rejects_kept": f"""WITH {_messages(False)}, placed AS (
             SELECT *, CAST(event_id AS BIGINT) // 2 AS kafka_offset FROM msg
@@ -286,4 +296,18 @@ ORACLES: dict[str, str] = {
         SELECT event_date, repo_id, repo_name, event_type, count(event_id) AS event_count,
                count(DISTINCT actor_id) AS unique_actors
         FROM parsed GROUP BY ALL""",
+    "hourly_run": f"""{STARS.replace("WHERE", "WHERE event_date = '2024-01-15' AND event_hour = 12 AND")}
+        ORDER BY total_stars DESC, repo_id, repo_name LIMIT 20""",
+    "hourly_run_limited": f"""WITH {PARSED},
+        hour AS (
+            SELECT event_id, event_type, actor_id, repo_id, is_public, event_timestamp, event_date, event_hour,
+                   row_number() OVER (ORDER BY event_timestamp, event_id) AS n
+            FROM parsed WHERE event_date = '2024-01-15' AND event_hour = 12
+        )
+        SELECT * EXCLUDE (n), 50 AS row_limit FROM hour WHERE n <= 50
+        UNION ALL SELECT * EXCLUDE (n), NULL FROM hour""",
+    "hours_to_gold": f"""WITH {PARSED}
+        SELECT event_date, repo_id, repo_name, event_type, count(event_id) AS event_count,
+               count(DISTINCT actor_id) AS unique_actors
+        FROM parsed WHERE event_date BETWEEN '2024-01-10' AND '2024-01-19' GROUP BY ALL""",
 }

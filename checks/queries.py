@@ -9,13 +9,14 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampType
 
 from checks import inputs
-from eventlake import ingest_archive, run_bronze, run_gold, run_silver, schemas
+from eventlake import ingest_archive, run_all, run_bronze, run_gold, run_hours, run_silver, schemas
 from eventlake.config import Topics
 from eventlake.operators import compaction, dedupe, incremental, merge, quality, ranking, routing
 from eventlake.plans import bronze as bronze_plan
@@ -54,6 +55,13 @@ def query(f: Query) -> Query:
     return f
 
 
+def _kept(rows: DataFrame) -> DataFrame:
+    """Rows of a view or table whose schema is dropped afterwards."""
+    folder = fresh_dir(rows.sparkSession, "check-rows")
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.parquet(folder)
+
+
 # ------------------------------------------------------------------- archive, messages
 
 
@@ -74,6 +82,16 @@ def archive_hour_filter(spark, sf_dir):
     return inputs.as_silver(events).select("event_id", "event_type", "event_timestamp")
 
 
+@query
+def archive_hour_files(spark, sf_dir):
+    """The events in the archive files of a day and a half, picked by name."""
+    paths = archive.archive_paths(
+        inputs.archive_files(spark, sf_dir), datetime(2024, 1, 14, 12), datetime(2024, 1, 15, 23)
+    )
+    events = archive.parse_lines(archive.read_archive(spark, paths)).where("is_event")
+    return events.select(F.col("id").alias("event_id"), "type", "created_at")
+
+
 @query
 def limit_n(spark, sf_dir):
     """The first 500 events: the row cap of a smoke run."""
@@ -237,8 +255,36 @@ def dedupe_by_key(spark, sf_dir):
 
 @query
 def silver_view(spark, sf_dir):
-    """The staging view of the clean table."""
-    return catalog.silver_columns(inputs.silver(spark, sf_dir))
+    """The staging view of the clean table, as a reader of the view sees it."""
+    with inputs.lake(spark, "silver_view") as cfg:
+        merge.create(inputs.silver(spark, sf_dir), cfg.events)
+        return _kept(catalog.create_silver_view(spark, cfg))
+
+
+def _runs_over_dates(spark, raw: DataFrame, label: str, **settings) -> DataFrame:
+    """The view of the clean table after a load from a raw table of many ingestion dates."""
+    with inputs.lake(spark, label) as cfg:
+        merge.create(raw, cfg.raw_events)
+        cfg = replace(cfg, **settings)
+        run_silver(spark, cfg)
+        return _kept(spark.table(cfg.silver_view))
+
+
+@query
+def silver_run_date(spark, sf_dir):
+    """A clean load with a run date and a lookback of three days."""
+    raw = inputs.bronze(spark, sf_dir)
+    return _runs_over_dates(spark, raw, "run_date", run_date="2024-01-20", lookback_days=3)
+
+
+@query
+def silver_today(spark, sf_dir):
+    """A clean load without a run date looks back from today: rows ingested today and on the three days
+    before, of which it takes two days."""
+    days = F.make_interval(days=F.pmod(F.col("event_id").cast("long"), F.lit(4)).cast("int"))
+    raw = inputs.bronze(spark, sf_dir).withColumn("ingested_at", F.current_timestamp() - days)
+    raw = raw.withColumn("ingestion_date", F.to_date("ingested_at"))
+    return _runs_over_dates(spark, raw, "today").drop("ingested_at")
 
 
 @query
@@ -618,6 +664,36 @@ def archive_to_gold(spark, sf_dir):
     return inputs.stored(spark, cfg.agg_daily_activity).drop("ingested_at")
 
 
+@query
+def hourly_run(spark, sf_dir):
+    """What one run over all stages shows for the hour it is given: the repositories with the most stars."""
+    folder = inputs.archive_files(spark, sf_dir)
+    with inputs.lake(spark, "one_hour") as cfg:
+        return _kept(run_all(spark, cfg, folder, "2024-01-15", 12))
+
+
+@query
+def hourly_run_limited(spark, sf_dir):
+    """The fact after a run that takes the first 50 events of an hour, and then one that takes all."""
+    folder = inputs.archive_files(spark, sf_dir)
+    with inputs.lake(spark, "limited_hour") as cfg:
+        facts = []
+        for limit in (50, None):
+            run_all(spark, cfg, folder, "2024-01-15", 12, limit)
+            rows = catalog.read(spark, cfg.fact_events).drop("ingested_at")
+            facts.append(_kept(rows.withColumn("row_limit", F.lit(limit).cast("int"))))
+        return facts[0].unionByName(facts[1])
+
+
+@query
+def hours_to_gold(spark, sf_dir):
+    """The daily aggregate after ten days caught up in one run over their hours."""
+    folder = inputs.archive_files(spark, sf_dir)
+    with inputs.lake(spark, "ten_days") as cfg:
+        run_hours(spark, cfg, folder, datetime(2024, 1, 10), datetime(2024, 1, 19, 23))
+        return inputs.stored(spark, cfg.agg_daily_activity).drop("ingested_at")
+
+
 def hours_on_history(spark: SparkSession, sf_dir: str, first: str, time) -> float:
     """The time of one hour, from archive file to star schema, on top of the stored events since ``first``."""
     folder = fresh_dir(spark, "check-hour")
