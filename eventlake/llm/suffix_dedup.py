@@ -42,7 +42,7 @@ GROUP = 64
 PARTS = 4
 SLICE = 1 << 20
 BUCKET = 8 << 20
-BLOCK = 1 << 19
+BLOCK = 1 << 20
 GAP = 256
 LAST = np.uint64(2**64 - 1)
 CODES = np.random.default_rng(7).integers(0, 2**64, 257, dtype=np.uint64)
