@@ -136,11 +136,16 @@ def bronze(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
 
 
 def archive_files(spark: SparkSession, sf_dir: str) -> str:
-    """The folder of the archive: a gzip file for each hour that has events, named as the archive names it."""
+    """The folder of the archive: a gzip file for each hour, named as the archive names it. Each has a blank
+    line, also where the hour has no event."""
     folder = fresh_dir(spark, "check-hours")
+    events = event_json(spark, sf_dir).select("event_timestamp", "raw_json")
+    first, last = (F.date_trunc("hour", f("event_timestamp")) for f in (F.min, F.max))
+    hours = F.explode(F.sequence(first, last, F.expr("INTERVAL 1 HOUR")))
+    blank = events.agg(hours.alias("event_timestamp")).withColumn("raw_json", F.lit(""))
     hour = F.concat(F.to_date("event_timestamp"), F.lit("-"), F.hour("event_timestamp"))
     (
-        event_json(spark, sf_dir)
+        events.unionByName(blank)
         .select(hour.alias("hour"), "raw_json")
         .repartition("hour")
         .write.partitionBy("hour")
