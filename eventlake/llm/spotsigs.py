@@ -14,6 +14,7 @@ have equal fingerprints. An empty table gives an empty result.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,22 +30,32 @@ ANCHORS = (
 )
 
 
+def once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` names it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def spots(text: Column, anchors: str = ANCHORS) -> Column:
     """The distinct signatures of a text, as sorted hashes."""
     common = "(?:" + "|".join(dict.fromkeys(anchors.split())) + ")"
     plain = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]++", " "), F.lit(" "))
     chain = f"(?<= )(?=({common} (?!{common} )[^ ]++ (?:{common} )*+[^ ]++) )"
-    found = F.regexp_extract_all(plain, F.lit(chain), F.lit(1))
-    hashes = F.transform(
-        F.array_distinct(found),
-        lambda s: F.xxhash64(F.regexp_replace(s, f" (?:{common} )++", " ")),
-    )
-    words = F.trim(plain)
-    return (
-        F.when(F.size(hashes) > 0, F.array_sort(F.array_distinct(hashes)))
-        .when(words == "", F.array().cast("array<bigint>"))
-        .otherwise(F.array(F.xxhash64(F.lit("whole"), words)))
-    )
+
+    def hashes(plain: Column) -> Column:
+        found = F.array_distinct(F.regexp_extract_all(plain, F.lit(chain), F.lit(1)))
+        each = F.transform(found, lambda s: F.xxhash64(F.regexp_replace(s, f" (?:{common} )++", " ")))
+        return F.array_sort(F.array_distinct(each))
+
+    def signatures(plain: Column) -> Column:
+        words = F.trim(plain)
+        return once(
+            hashes(plain),
+            lambda found: F.when(F.size(found) > 0, found)
+            .when(words == "", F.array().cast("array<bigint>"))
+            .otherwise(F.array(F.xxhash64(F.lit("whole"), words))),
+        )
+
+    return once(plain, signatures)
 
 
 def fingerprint(signatures: Column) -> Column:
