@@ -17,10 +17,13 @@ Equal sets are one entry, and index entries with the same members are one group.
 are compared by sketches (sums of token hashes by class, of which a pair that reaches the
 threshold can differ in d at most), in three rounds. First each set meets the others of its largest
 group only, and the closest pairs that span them are verified token by token. Then the closest
-pairs that span the components of every group are; then, in groups with further close pairs, all
-pairs of sets that are still in different components. So a group of near copies costs a link for each member and not each pair,
-and no link between different sets that would join two components is lost. Groups too large for a
-task are compared in blocks.
+pairs that span the components of every group are; then, where there are further close pairs, the sets
+meet with their tokens: all close pairs of sets in different components are verified in the task
+that finds them, which returns the links that join components. So a group of near copies costs a
+row for each member and not each pair, and no link between different sets that would join two
+components is lost. Groups too large for a task are dealt into chunks, and every two chunks that still
+hold several components meet in a block; pairs are only returned from a chunk and its neighbours, and
+of other blocks whether they hold close pairs.
 
 A missing or blank text has an empty set and is its own component. Rows with equal ids are compared
 by their sets like any others. A row without an id is in the component of rows with an equal set, and
@@ -30,12 +33,14 @@ otherwise in none.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.llm.graph import components
@@ -44,6 +49,8 @@ from eventlake.llm.work import beside, ship, stored, whole
 WIDER = 1.63
 #: Members of a group that are compared in one task.
 MEMBERS = 1024
+#: Tokens of sets that meet in one task.
+TOKENS = 4_000_000
 #: Documents whose sets are in memory together.
 SLICE = 500
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -177,33 +184,59 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return texts.select("key", "text").mapInPandas(run, "key long, tokens array<long>, sketch binary")
 
 
-def close_pairs(
-    sketches: list[bytes], sizes: np.ndarray, percent: int, sides: np.ndarray, parts: np.ndarray, two: bool
-) -> np.ndarray:
-    """(i, j, differing classes) of members in different ``parts`` that may reach the threshold.
+def close_rows(
+    sketches: list[bytes], sizes: np.ndarray, percent: int, parts: np.ndarray, sides: np.ndarray | None = None
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(i, j, differing classes) for each member i with those in other ``parts`` that may reach the
+    threshold with it and are not smaller.
 
-    With ``two`` sides each pair spans them; members of one side meet in the block of that side with itself.
-    Members are taken by size, so that one meets only those that are not too large for it.
+    With ``sides`` each pair spans them; members of one side meet in the block of that side with itself.
+    ``parts`` may be changed between the rows.
     """
     width = 2 * min(map(len, sketches))
-    order = np.argsort(sizes, kind="stable")
-    sizes, sides, parts = sizes[order], sides[order], parts[order]
     rows = np.zeros((len(sketches), width), dtype=np.uint8)
-    for row, i in enumerate(order.tolist()):
-        rows[row] = unpacked(sketches[i], width)
-    ends = np.searchsorted(sizes, 100 * sizes // percent, side="right")
-    found = []
-    for i, end in enumerate(ends.tolist()):
-        j = i + 1 + np.flatnonzero(parts[i + 1 : end] != parts[i])
-        if two:
+    for i, raw in enumerate(sketches):
+        rows[i] = unpacked(raw, width)
+    order = np.argsort(sizes, kind="stable")
+    ends = np.searchsorted(sizes[order], 100 * sizes[order] // percent, side="right")
+    for at, (i, end) in enumerate(zip(order.tolist(), ends.tolist(), strict=True)):
+        j = order[at + 1 : end]
+        j = j[parts[j] != parts[i]]
+        if sides is not None:
             j = j[sides[j] != sides[i]]
         if len(j):
             differ = np.count_nonzero(rows[j] != rows[i], axis=1)
             near = differ <= (sizes[j] + sizes[i]) * (100 - percent) // (100 + percent)
-            found.append(np.stack([np.full(near.sum(), order[i]), order[j[near]], differ[near]], axis=1))
+            if near.any():
+                yield i, j[near], differ[near]
+
+
+def close_pairs(*block) -> np.ndarray:
+    """(i, j, differing classes) of the pairs of ``close_rows``."""
+    found = [np.stack([np.full(len(j), i), j, differ], axis=1) for i, j, differ in close_rows(*block)]
     return np.concatenate(found) if found else np.zeros((0, 3), dtype=np.int64)
 
 
+def joining_links(
+    tokens: list[np.ndarray], sketches: list[bytes], percent: int, parts: np.ndarray
+) -> list[tuple[int, int]]:
+    """Pairs (i, j) that reach the threshold, enough to join all ``parts`` that such pairs join."""
+    sizes = np.array([len(s) for s in tokens])
+    starts = np.concatenate([[0], np.cumsum(sizes)]).tolist()
+    names, own = np.unique(np.concatenate(tokens), return_inverse=True)
+    mine, parts, links = np.zeros(len(names), dtype=np.int32), parts.copy(), []
+    for i, j, _ in close_rows(sketches, sizes, percent, parts):
+        mine[own[starts[i] : starts[i + 1]]] = 1
+        theirs = np.concatenate([own[starts[x] : starts[x + 1]] for x in j.tolist()])
+        shared = np.add.reduceat(mine[theirs], np.concatenate([[0], np.cumsum(sizes[j])[:-1]]))
+        mine[own[starts[i] : starts[i + 1]]] = 0
+        for x in j[100 * shared >= percent * (sizes[i] + sizes[j] - shared)].tolist():
+            if parts[x] != parts[i]:
+                parts[parts == parts[x]] = parts[i]
+                links.append((i, x))
+    return links
+
+
 def spanning_pairs(i: np.ndarray, j: np.ndarray, parts: int) -> list[int]:
     """Of pairs of parts, best first, those that connect what the ones before do not."""
     root = list(range(parts))
@@ -223,44 +256,13 @@ def spanning_pairs(i: np.ndarray, j: np.ndarray, parts: int) -> list[int]:
     return chosen
 
 
-def compare(percent: int, spanning: bool):
-    """Pairs (a, b) of blocks, which come sorted, whose sketches are close, across components only.
-
-    With ``spanning`` the closest pairs that connect a block's components, as if all were links,
-    and a row (entry, missing) for a block with further pairs.
-    """
+def by_block(work: Callable[[pd.DataFrame, Iterator[slice]], pd.DataFrame]):
+    """Run ``work`` on frames of whole blocks, which come sorted, and the slices of those with two or
+    more rows."""
 
-    def pairs_of(block: pd.DataFrame) -> pd.DataFrame:
-        if block.empty:
-            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": pd.array([], dtype="Int64")})
-        pairs_found, further, entries = [], [], block["entry"].to_numpy()
-        sketches, sizes = block["sketch"].tolist(), block["n"].to_numpy()
-        keys, parts, sides = (block[c].to_numpy() for c in ("key", "component", "side"))
-        two = (block["low"] != block["high"]).to_numpy()
-        heads = np.flatnonzero(block_starts(block))
-        for start, end in zip(heads, np.append(heads[1:], len(block)), strict=True):
-            if end - start < 2:
-                continue
-            own = slice(int(start), int(end))
-            i, j, differ = close_pairs(
-                sketches[own], sizes[own], percent, sides[own], parts[own], bool(two[start])
-            ).T
-            if spanning and len(i) > 1:
-                best = np.argsort(differ, kind="stable")
-                names, part = np.unique(parts[own], return_inverse=True)
-                chosen = best[spanning_pairs(part[i[best]], part[j[best]], len(names))]
-                if len(chosen) < len(i):
-                    further.append(entries[start])
-                i, j = i[chosen], j[chosen]
-            if len(i):
-                pairs_found.append(np.stack([keys[own][i], keys[own][j]], axis=1))
-        ab = np.sort(np.concatenate(pairs_found), axis=1) if pairs_found else np.zeros((0, 2), np.int64)
-        return pd.DataFrame(
-            {
-                "a": np.concatenate([ab[:, 0], np.array(further, dtype=np.int64)]),
-                "b": pd.array([*ab[:, 1].tolist(), *[None] * len(further)], dtype="Int64"),
-            }
-        ).drop_duplicates()
+    def done(rows: pd.DataFrame) -> pd.DataFrame:
+        heads = np.append(np.flatnonzero(block_starts(rows)), len(rows)).tolist()
+        return work(rows, (slice(a, b) for a, b in pairwise(heads) if b - a > 1))
 
     def run(batches):
         rest = None
@@ -268,9 +270,9 @@ def compare(percent: int, spanning: bool):
             batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
             last = int(np.flatnonzero(block_starts(batch))[-1]) if len(batch) else 0
             rest = batch.iloc[last:]
-            yield pairs_of(batch.iloc[:last])
+            yield done(batch.iloc[:last])
         if rest is not None:
-            yield pairs_of(rest)
+            yield done(rest)
 
     return run
 
@@ -284,27 +286,102 @@ def block_starts(rows: pd.DataFrame) -> np.ndarray:
     return out
 
 
-def candidates(groups: DataFrame, sets: DataFrame, percent: int, spanning: bool) -> DataFrame:
-    """Distinct pairs to verify, and with ``spanning`` the groups with further pairs as (entry,
-    missing), from (entry, m, key, component).
+def compare(percent: int):
+    """Of each block's pairs (a, b) with close sketches the closest that connect its components, as
+    if all were links, and a row (entry, missing, low, high) where there are further ones. Blocks of
+    chunks that are not neighbours only have that row, for close pairs of any kind."""
 
-    A group of m members is dealt into chunks of ``MEMBERS``; every two chunks meet in one block.
-    """
-    chunks = F.ceil(F.col("m") / MEMBERS).cast("int")
-    own = F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int")
-    blocks = (
-        groups.withColumn("chunks", chunks)
-        .withColumn("side", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    def pairs_of(rows: pd.DataFrame, blocks: Iterator[slice]) -> pd.DataFrame:
+        found, further, sketches = [np.zeros((0, 2), np.int64)], [], rows["sketch"].tolist()
+        sizes, keys, parts, sides, low, high, near = (
+            rows[c].to_numpy() for c in ("n", "key", "component", "side", "low", "high", "near")
+        )
+        for own in blocks:
+            spans = sides[own] if low[own.start] != high[own.start] else None
+            i, j, differ = close_pairs(sketches[own], sizes[own], percent, parts[own], spans).T
+            chosen = []
+            if near[own.start] and len(i):
+                best = np.argsort(differ, kind="stable")
+                names, part = np.unique(parts[own], return_inverse=True)
+                chosen = best[spanning_pairs(part[i[best]], part[j[best]], len(names))]
+                found.append(np.stack([keys[own][i[chosen]], keys[own][j[chosen]]], axis=1))
+            if len(chosen) < len(i):
+                further.append(own.start)
+        ab = np.sort(np.concatenate(found), axis=1)
+        pairs = pd.DataFrame({"a": ab[:, 0], "b": pd.array(ab[:, 1], dtype="Int64")}).drop_duplicates()
+        left = rows.iloc[further][["entry", "low", "high"]].rename(columns={"entry": "a"})
+        return pd.concat([pairs, left], ignore_index=True).astype({c: "Int64" for c in ("b", "low", "high")})[[*"ab", "low", "high"]]
+
+    return by_block(pairs_of)
+
+
+def verify(percent: int):
+    """Links (a, b) that join the components of each block, found by its sketches and tokens."""
+
+    def links_of(rows: pd.DataFrame, blocks: Iterator[slice]) -> pd.DataFrame:
+        tokens, sketches = rows["tokens"].tolist(), rows["sketch"].tolist()
+        keys, parts, found = rows["key"].to_numpy(), rows["component"].to_numpy(), []
+        for own in blocks:
+            links = joining_links(tokens[own], sketches[own], percent, parts[own])
+            found += [sorted(keys[own][[i, j]].tolist()) for i, j in links]
+        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64).drop_duplicates()
+
+    return by_block(links_of)
+
+
+def dealt(groups: DataFrame, chunks: Column, neighbours: bool = False) -> DataFrame:
+    """Groups (entry, key, ...) dealt into chunks, of which every two, or with ``neighbours`` those
+    next to each other, meet in the block (entry, low, high)."""
+    around = [F.pmod(F.col("side") + step, F.col("chunks")) for step in (-1, 0, 1)]
+    others = F.array_distinct(F.array(*around)) if neighbours else F.sequence(F.lit(0), F.col("chunks") - 1)
+    return (
+        groups.withColumn("chunks", F.ceil(chunks).cast("int"))
+        .withColumn("side", F.pmod(F.xxhash64("key", "entry"), F.col("chunks")).cast("int"))
+        .withColumn("other", F.explode(others))
         .withColumn("low", F.least("side", "other"))
         .withColumn("high", F.greatest("side", "other"))
-        .join(sets.select("key", "sketch", F.size("tokens").cast("long").alias("n")), "key")
+        .withColumn("near", (F.col("high") - F.col("low")).isin(0, 1) | (F.col("high") - F.col("low") == F.col("chunks") - 1))
     )
+
+
+def together(blocks: DataFrame, *columns: str) -> DataFrame:
     return (
-        blocks.select("entry", "low", "high", "side", "key", "component", "sketch", "n")
+        blocks.select("entry", "low", "high", *columns)
         .repartition("entry", "low", "high")
         .sortWithinPartitions("entry", "low", "high")
-        .mapInPandas(compare(percent, spanning), "a long, b long")
+    )
+
+
+def candidates(groups: DataFrame, sets: DataFrame, percent: int, neighbours: bool = False) -> DataFrame:
+    """Distinct pairs (a, b) to verify, and the blocks with further pairs as (entry, missing, low, high),
+    from (entry, m, key, component).
+
+    A group of m members is dealt into chunks of ``MEMBERS``; every two of them meet in one block, or
+    with ``neighbours`` those next to each other.
+    """
+    sketches = sets.select("key", "sketch", F.size("tokens").cast("long").alias("n"))
+    blocks = dealt(groups, F.col("m") / MEMBERS, neighbours).join(sketches, "key")
+    return (
+        together(blocks, "side", "near", "key", "component", "sketch", "n")
+        .mapInPandas(compare(percent), "a long, b long, low int, high int")
+        .distinct()
+    )
+
+
+def remaining(groups: DataFrame, further: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Distinct links (a, b) that join the components of the blocks ``further`` (entry, low, high) of
+    (entry, m, key, component). A block of more than ``TOKENS`` is dealt into chunks once more."""
+    blocks = (
+        dealt(groups, F.col("m") / MEMBERS)
+        .join(further, ["entry", "low", "high"], "left_semi")
+        .select(F.xxhash64("entry", "low", "high").alias("entry"), "key", "component")
+    )
+    sizes = sets.select("key", F.size("tokens").alias("n"))
+    total = blocks.join(sizes, "key").groupBy("entry").agg(F.sum("n").alias("tokens"))
+    parts = dealt(blocks.join(total, "entry"), F.col("tokens") / TOKENS).drop("tokens").join(sets, "key")
+    return (
+        together(parts, "key", "component", "tokens", "sketch")
+        .mapInPandas(verify(percent), "a long, b long")
         .distinct()
     )
 
@@ -369,16 +446,15 @@ def classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
     wanted = named.join(groups.select("key").distinct(), "key", "left_semi")
     sets = stored(sets_of(docs, wanted, words), "sets")
     first = groups.where("largest").withColumn("component", F.col("key"))
-    tried = stored(candidates(first, sets, percent, spanning=True), "pairs")
+    tried = candidates(first, sets, percent, neighbours=True).where("b is not null").select("a", "b")
+    tried = stored(tried, "pairs")
     links = stored(linked(tried, sets, percent), "links")
-    near = candidates(apart(groups, links), sets, percent, spanning=True)
+    near = candidates(apart(groups, links), sets, percent)
     near = stored(near.join(tried, ["a", "b"], "left_anti"), "pairs")
     links = links.union(stored(linked(near, sets, percent), "links"))
-    further = near.where("b is null").select(F.col("a").alias("entry"))
+    further = near.where("b is null").select(F.col("a").alias("entry"), "low", "high")
     left = apart(groups.join(further, "entry", "left_semi"), links)
-    rest = candidates(left, sets, percent, spanning=False)
-    rest = stored(rest.join(tried.union(near), ["a", "b"], "left_anti"), "pairs")
-    links = links.union(stored(linked(rest, sets, percent), "links"))
+    links = links.union(stored(remaining(left, further, sets, percent), "links"))
     by_set = components(links).select(F.col("node").alias("key"), "component")
     return keys.join(by_set, "key", "left").select(
         "doc_id", "key", "n_shingles", F.coalesce("component", "key").alias("component")

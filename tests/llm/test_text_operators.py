@@ -228,6 +228,22 @@ def test_one_block_of_near_copies(spark, partitions):
         assert {r.component_id for r in jaccard_join.join(frame(spark, rows)).collect()} == {0}
 
 
+def test_close_pairs_that_are_no_links_cost_no_rows_of_their_own(monkeypatch):
+    """Two texts and near copies of each: of all pairs that may be links, a block returns those that join."""
+    r = np.random.default_rng(3)
+    tokens = r.integers(1, 2**63, 4000).astype(np.uint64)
+    sets = [np.unique(np.concatenate([tokens[:170], tokens[400 + 20 * i : 420 + 20 * i]])) for i in range(60)]
+    sketches, parts = [jaccard_join.sketch(s).tobytes() for s in sets], np.arange(60)
+    sizes = np.array([len(s) for s in sets])
+    close = jaccard_join.close_pairs(sketches, sizes, 82, parts)
+    assert len(close) > 600
+    assert jaccard_join.joining_links(sets, sketches, 82, parts) == []
+    sets += [np.unique(np.append(s[:-1], np.uint64(n))) for n, s in enumerate(sets)]
+    sketches, parts = [jaccard_join.sketch(s).tobytes() for s in sets], np.arange(120)
+    links = jaccard_join.joining_links(sets, sketches, 82, parts)
+    assert sorted((min(x), max(x)) for x in links) == [(i, i + 60) for i in range(60)]
+
+
 def test_one_row_of_each_group_stays(spark):
     words = [f"w{i}" for i in range(60)]
     text, near, other = " ".join(words), " ".join([*words, "more"]), " ".join(words[::-1])
