@@ -8,8 +8,9 @@ are added. Base spans always stay; an added span never overlaps one.
 
 The trees learn from the corpus itself: base spans, also rewritten in looser formats, are
 positive; proposals that no rule accepts even when normalised, and base spans with changed
-digits, are negative. Training sees a bounded sample of ``sample_rows`` spans and its result is
-applied inside the same expressions as CASE trees, so rows are never shuffled.
+digits, are negative. Training and calibration see every distinct span with its context, unless
+``sample_rows`` bounds them; spans with equal features are one row with their number as its weight.
+The result is applied inside the same expressions as CASE trees, so texts are never shuffled.
 
 Offsets count code points, ends are exclusive. A missing text counts as empty and has no spans;
 rows with equal ids each keep their own; without spans to learn from, nothing is added.
@@ -196,13 +197,14 @@ def features(x) -> dict[str, Column]:
     return {name: made[name].cast("double") for name in FEATURES}
 
 
-def training_rows(spans: DataFrame, sample_rows: int) -> DataFrame:
-    """Labelled spans: at most ``sample_rows`` base spans and as many proposals, drawn by hash."""
+def training_rows(spans: DataFrame, sample_rows: int | None = None) -> DataFrame:
+    """Labelled spans: all base spans and proposals, or at most ``sample_rows`` of each, drawn by hash."""
     cols = ("kind", "text", "left", "right")
 
     def drawn(column: str) -> DataFrame:
         x = spans.select(F.explode(column).alias("x")).select(*[f"x.{c}" for c in cols])
-        return x.distinct().orderBy(F.xxhash64(*cols), *cols).limit(sample_rows)
+        x = x.distinct()
+        return x if sample_rows is None else x.orderBy(F.xxhash64(*cols), *cols).limit(sample_rows)
 
     base, proposed = drawn("base"), drawn("proposed")
     loose = F.when(
@@ -255,27 +257,32 @@ def tree_sql(debug: str) -> list[str]:
     return trees
 
 
-def fit(spans: DataFrame, sample_rows: int, trees: int, depth: int, precision: float):
+def weighted_rows(spans: DataFrame, sample_rows: int | None = None) -> DataFrame:
+    """The labelled spans by kind, fold, label and features, and their number as ``weight``."""
+    made = features({c: F.col(c) for c in ("kind", "text", "left", "right")})
+    held_out = (F.pmod(F.xxhash64("text"), F.lit(4)) == 0).alias("held_out")
+    rows = training_rows(spans, sample_rows).select("kind", held_out, "label", *[c.alias(n) for n, c in made.items()])
+    keys = ("kind", "held_out", "label", *FEATURES)
+    return rows.groupBy(*keys).agg(F.count("*").cast("double").alias("weight")).orderBy(*keys)
+
+
+def fit(spans: DataFrame, sample_rows: int | None, trees: int, depth: int, precision: float):
     """CASE trees and thresholds per kind, or None where there is nothing to learn from."""
-    rows = stored(
-        training_rows(spans, sample_rows).withColumns(features({c: F.col(c) for c in ("kind", "text", "left", "right")})),
-        "pii-train",
-    )
-    held_out = F.pmod(F.xxhash64("text"), F.lit(4)) == 0
+    rows = stored(weighted_rows(spans, sample_rows), "pii-train")
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows)
-    train = rows.where(~held_out)
+    train = rows.where(~F.col("held_out"))
     if train.select("label").distinct().count() < 2:
         return None
-    model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7, stepSize=0.3).fit(train)
+    model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7, stepSize=0.3, weightCol="weight").fit(train)
     case = tree_sql(model.toDebugString)
     score = margin(case, {c: F.col(c) for c in FEATURES})
     steps = (
-        rows.where(held_out)
+        rows.where("held_out")
         .withColumn("step", F.floor(score * 20) / 20)
         .groupBy("kind", "step")
-        .agg(F.sum("label").alias("right"), F.count("*").alias("all"))
+        .agg(F.sum(F.col("label") * F.col("weight")).alias("right"), F.sum("weight").alias("all"))
         .collect()
-    )  # one row for each kind and twentieth of the margin within a sample of bounded size
+    )  # one row for each kind and twentieth of the margin, of which the trees have a bounded number
     thresholds = {}
     for kind in KINDS:
         right = n = 0
@@ -318,7 +325,7 @@ def joined(spans: Column) -> Column:
 
 def detect(
     docs: DataFrame,
-    sample_rows: int = 2000,
+    sample_rows: int | None = None,
     trees: int = 12,
     depth: int = 4,
     precision: float = 0.95,
@@ -358,7 +365,7 @@ def selected_spans(spans: DataFrame, key: str, fitted) -> DataFrame:
 
 
 def redact(
-    docs: DataFrame, sample_rows: int = 2000, trees: int = 12, depth: int = 4, precision: float = 0.95
+    docs: DataFrame, sample_rows: int | None = None, trees: int = 12, depth: int = 4, precision: float = 0.95
 ) -> DataFrame:
     """The columns of ``docs`` with every selected span replaced by its kind in brackets.
 

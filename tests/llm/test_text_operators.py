@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import inspect
 import itertools
 import random
 import re
@@ -87,6 +88,18 @@ def test_redaction_keeps_columns(spark):
     assert collections.Counter(map(tuple, got)) == collections.Counter(want)
 
 
+def test_pii_learns_from_every_span(spark):
+    """Each distinct address counts three times, once in each form, and each proposal once."""
+    texts = [f"mail u{i}@h{i}.example or v{i} at g{i} dot org" for i in range(2100)]
+    spans = pii.find_spans(frame(spark, list(enumerate([*texts, texts[0]]))))
+    rows = pii.weighted_rows(spans).groupBy("kind", "label").agg(F.sum("weight").alias("n")).collect()
+    assert {(r.kind, r.label): r.n for r in rows} == {("email", 1.0): 3 * 2100, ("email", 0.0): 2100}
+    few = pii.weighted_rows(spans, 50).agg(F.sum("weight")).first()[0]
+    assert few == 200
+    assert inspect.signature(pii.detect).parameters["sample_rows"].default is None
+    assert inspect.signature(pii.redact).parameters["sample_rows"].default is None
+
+
 def test_shards_are_even_gapless_and_whole(spark):
     rows = corpus()
     got = sharding.shard(frame(spark, rows), shards=5, ranges_per_shard=4, max_rows=10).collect()
