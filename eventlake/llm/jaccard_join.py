@@ -315,6 +315,22 @@ def compare(percent: int):
     return by_block(pairs_of)
 
 
+def involved(percent: int):
+    """The members (entry, low, high, key, component) of each block with close sketches in another component."""
+
+    def members_of(rows: pd.DataFrame, blocks: Iterator[slice]) -> pd.DataFrame:
+        sketches, kept = rows["sketch"].tolist(), np.zeros(len(rows), dtype=bool)
+        sizes, parts, sides, low, high = (rows[c].to_numpy() for c in ("n", "component", "side", "low", "high"))
+        for own in blocks:
+            spans = sides[own] if low[own.start] != high[own.start] else None
+            for i, j, _ in close_rows(sketches[own], sizes[own], percent, parts[own], spans):
+                kept[own.start + i] = True
+                kept[own.start + j] = True
+        return rows.loc[kept, ["entry", "low", "high", "key", "component"]]
+
+    return by_block(members_of)
+
+
 def verify(percent: int):
     """Links (a, b) that join the components of each block, found by its sketches and tokens."""
 
@@ -370,15 +386,19 @@ def candidates(groups: DataFrame, sets: DataFrame, percent: int, neighbours: boo
 
 def remaining(groups: DataFrame, further: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Distinct links (a, b) that join the components of the blocks ``further`` (entry, low, high) of
-    (entry, m, key, component). A block of more than ``TOKENS`` is dealt into chunks once more."""
-    blocks = (
-        dealt(groups, F.col("m") / MEMBERS)
-        .join(further, ["entry", "low", "high"], "left_semi")
-        .select(F.xxhash64("entry", "low", "high").alias("entry"), "key", "component")
+    (entry, m, key, component). Only members with close sketches get their tokens; where those are
+    more than ``TOKENS`` they are dealt into chunks once more."""
+    blocks = dealt(groups, F.col("m") / MEMBERS).join(further, ["entry", "low", "high"], "left_semi")
+    blocks = blocks.join(sets.select("key", "sketch", F.size("tokens").cast("long").alias("n")), "key")
+    members = stored(
+        together(blocks, "side", "key", "component", "sketch", "n")
+        .mapInPandas(involved(percent), "entry long, low int, high int, key long, component long")
+        .select(F.xxhash64("entry", "low", "high").alias("entry"), "key", "component"),
+        "members",
     )
     sizes = sets.select("key", F.size("tokens").alias("n"))
-    total = blocks.join(sizes, "key").groupBy("entry").agg(F.sum("n").alias("tokens"))
-    parts = dealt(blocks.join(total, "entry"), F.col("tokens") / TOKENS).drop("tokens").join(sets, "key")
+    total = members.join(sizes, "key").groupBy("entry").agg(F.sum("n").alias("tokens"))
+    parts = dealt(members.join(total, "entry"), F.col("tokens") / TOKENS).drop("tokens").join(sets, "key")
     return (
         together(parts, "key", "component", "tokens", "sketch")
         .mapInPandas(verify(percent), "a long, b long")
