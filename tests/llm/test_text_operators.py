@@ -241,7 +241,7 @@ def test_one_block_of_near_copies(spark, partitions):
         assert {r.component_id for r in jaccard_join.join(frame(spark, rows)).collect()} == {0}
 
 
-def test_close_pairs_that_are_no_links_cost_no_rows_of_their_own(monkeypatch):
+def test_close_pairs_that_are_no_links_cost_no_rows_of_their_own():
     """Two texts and near copies of each: of all pairs that may be links, a block returns those that join."""
     r = np.random.default_rng(3)
     tokens = r.integers(1, 2**63, 4000).astype(np.uint64)
