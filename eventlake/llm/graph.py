@@ -2,18 +2,45 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.llm.work import stored
 
 
+#: Links that are joined in one task; more go through rounds.
+FEW = 100_000
+
+
+def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(node, component) of the nodes in all links (a, b) of a task."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = x = root[up]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch["a"].tolist(), batch["b"].tolist(), strict=True):
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    yield pd.DataFrame({"node": list(root), "component": [find(x) for x in list(root)]}, dtype="int64")
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(node, component) of every node in links (a, b); the component is its smallest node.
+    """(node, component) of every node in links (a, b), which are longs in a stored table; the
+    component is its smallest node.
 
-    Each round every node takes the smallest label next to it, and then the label of its label.
-    Labels are written out after each round, so the lineage stays short.
+    At most ``FEW`` links are joined in one task, for a round costs several shuffles however few there
+    are. Of more, each round every node takes the smallest label next to it, and then the label of its
+    label. Labels are written out after each round, so the lineage stays short.
     """
+    if links.count() <= FEW:
+        return stored(links.select("a", "b").repartition(1).mapInPandas(joined, "node long, component long"), "labels")
     both = stored(
         links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
         "links",

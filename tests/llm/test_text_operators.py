@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from eventlake.llm import (
     bpe,
+    graph,
     jaccard_join,
     packing,
     pii,
@@ -179,6 +180,30 @@ def test_repeats_of_equal_and_missing_ids(spark):
     assert suffix_dedup.measure(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_components_of_chains_cycles_and_repeated_links(spark, monkeypatch, few):
+    monkeypatch.setattr(graph, "FEW", few)
+    top = 2**63 - 1
+    links = [(i, i + 1) for i in range(20)] + [(40, 30), (40, 35), (35, 30), (30, 35)]
+    links += [(top, -top), (7, 7), (50, 50), (top, 60), (60, top)]
+    got = graph.components(spark.createDataFrame(links, "a long, b long").repartition(3)).collect()
+    want = {i: 0 for i in range(21)} | {30: 30, 35: 30, 40: 30, 50: 50, top: -top, -top: -top, 60: -top}
+    assert {r.node: r.component for r in got} == want and len(got) == len(want)
+    assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_long_chain_of_few_links_is_joined_without_rounds(spark):
+    links = spark.range(200).selectExpr("id * 7919 % 211 a", "(id + 1) * 7919 % 211 b")
+    with setting(spark, "spark.sql.shuffle.partitions", "2"):
+        spark.sparkContext.setJobGroup("chain", "chain")
+        try:
+            found = graph.components(links)
+            jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("chain")
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found.count() == 201 and len(jobs) <= 6
+
+
 @pytest.mark.parametrize("words, percent", [(4, 85), (5, 80)])
 def test_components_of_near_copies(spark, words, percent):
     rows = corpus(4, 40)
