@@ -237,19 +237,23 @@ def repeats_in(groups: list[list[tuple[int, int, bytes]]]) -> tuple[np.ndarray,
     # codes: 0 ends a group, 1 ends a text, bytes are moved up by 2
     group_of = np.repeat(np.arange(len(groups)), members)
     heads = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]]) + group_of
-    codes = np.ones(bounds[-1], dtype=np.int64)
+    codes = np.ones(bounds[-1], dtype=np.uint16)
     codes[bounds[1:] - 1] = 0
     at, owner = ranges(heads, heads + sizes)
-    codes[at] = np.frombuffer(b"".join(texts), dtype=np.uint8).astype(np.int64) + 2
+    codes[at] = np.frombuffer(b"".join(texts), dtype=np.uint8).astype(np.uint16) + 2
+    del at, owner, texts
     order = suffix_arrays(codes, bounds)
-    text_of = np.zeros(len(codes), dtype=np.int64)
+    at, owner = ranges(heads, heads + sizes)
+    text_of = np.zeros(len(codes), dtype=np.int32)
     left = np.zeros(len(codes), dtype=np.int64)
     text_of[at], left[at] = owner, (heads + sizes)[owner] - at
-    order = order[left[order] >= SPAN]
+    del at, owner
+    order = order[left[order] >= SPAN].astype(np.int64)
+    del left
     if len(order) < 2:
         return NOTHING
     # neighbours in the suffix array that share SPAN bytes (and so a group) are one class
-    strings = np.lib.stride_tricks.sliding_window_view(codes.astype(np.uint16), SPAN)
+    strings = np.lib.stride_tricks.sliding_window_view(codes, SPAN)
     same = np.zeros(len(order), dtype=bool)
     for i in range(1, len(order), 1 << 16):
         x, y = order[i - 1 : i - 1 + (1 << 16)], order[i : i + (1 << 16)]

@@ -27,27 +27,31 @@ def suffix_arrays(text: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     Codes are non-negative and below 2**16; the last of each text is smaller than its others.
     """
     lows, highs = bounds[:-1], bounds[1:]
-    owner = np.repeat(np.arange(len(lows)), highs - lows)
-    low_of = lows[owner]
-    prev, group = lyndon_groups(text, bounds, owner, low_of)
-    return emit(lows, highs, low_of, prev, group)
+    prev, group = lyndon_groups(text, bounds)
+    return emit(lows, highs, prev, group)
 
 
-def lyndon_groups(text, bounds, owner, low_of):
+def lyndon_groups(text, bounds):
     """Phase 1: each suffix's previous smaller suffix (-1: none) and its group's first rank."""
     n = len(text)
-    key = owner.astype(np.int64) << 16 | text
-    order = np.argsort(key, kind="stable")
-    place = np.empty(n, dtype=np.int64)
-    place[order] = np.arange(n)
-    heads = np.concatenate([[True], key[order][1:] != key[order][:-1]])
-    first = np.maximum.accumulate(np.where(heads, np.arange(n), 0))
-    group = np.empty(n, dtype=np.int64)
-    group[order] = first
-    end = np.zeros(n + 1, dtype=np.int64)
+    numbers = np.int32 if n < 2**31 - 1 else np.int64  # several arrays as long as the texts live at once
+    key = np.repeat(np.arange(len(bounds) - 1) << 16, np.diff(bounds))
+    key |= text
+    order = np.argsort(key, kind="stable").astype(numbers)
+    key = key[order]
+    heads = np.ones(n, dtype=bool)
+    heads[1:] = key[1:] != key[:-1]
+    del key
+    place = np.empty(n, dtype=numbers)
+    place[order] = np.arange(n, dtype=numbers)
     starts = np.flatnonzero(heads)
+    end = np.zeros(n + 1, dtype=numbers)
     end[starts] = np.concatenate([starts[1:], [n]])
-    prev = np.full(n, -1, dtype=np.int64)
+    group = np.empty(n, dtype=numbers)
+    group[order] = np.repeat(starts.astype(numbers), np.diff(np.append(starts, n)))
+    del heads, starts
+    low_of = np.repeat(bounds[:-1].astype(numbers), np.diff(bounds))
+    prev = np.full(n, -1, dtype=numbers)
     active, limit = np.arange(len(bounds) - 1), bounds[1:].copy()
     while len(active):
         top = limit[active]
@@ -101,11 +105,11 @@ def lyndon_groups(text, bounds, owner, low_of):
     return prev, group
 
 
-def emit(lows, highs, low_of, prev, group):
+def emit(lows, highs, prev, group):
     """Phase 2: ranks by rank, every text at its own pace."""
     n = len(group)
-    out = np.full(n, -1, dtype=np.int64)
-    slot = np.arange(n + 1)
+    out = np.full(n, -1, dtype=prev.dtype)
+    slot = np.arange(n + 1, dtype=prev.dtype)
     done = np.zeros(n, dtype=bool)
     last = highs - 1
     out[lows] = last

@@ -6,6 +6,7 @@ import inspect
 import itertools
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -180,6 +181,18 @@ def test_repeats_of_equal_and_missing_ids(spark):
     assert suffix_dedup.measure(docs.limit(0)).count() == 0
 
 
+def test_suffix_arrays_take_little_memory():
+    r = np.random.default_rng(5)
+    text = r.integers(2, 6, 200_000).astype(np.uint16)
+    bounds = np.arange(0, len(text) + 1, 1000)
+    text[bounds[1:] - 1] = 0
+    tracemalloc.start()
+    suffix_sort.suffix_arrays(text, bounds)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 * len(text)
+
+
 @pytest.mark.parametrize("few", [0, 100_000])
 def test_components_of_chains_cycles_and_repeated_links(spark, monkeypatch, few):
     monkeypatch.setattr(graph, "FEW", few)
